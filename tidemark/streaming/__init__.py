@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline being rebuilt is batch only: bronze tables are loaded by batch
+reads, and no model keeps state across micro-batches, uses watermarks or
+event-time windows. Nothing is registered here; the one stateful operator,
+the subscription history (``tidemark.operators.history``), runs per batch.
+"""
