@@ -88,3 +88,159 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {n: q.sql for n, q in REGISTRY.items() if q.sql}
+
+
+# ---------------------------------------------------------------- subscription history
+from tidemark.operators import history as H  # noqa: E402
+from tidemark.sources.fixtures import subscription_batches  # noqa: E402
+
+AS_OF_PROBE = "2001-11-15 00:00:00"
+
+
+def subscription_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History after the three batches, merged in order from an empty history."""
+    batches = subscription_batches(pipeline(spark, sf_dir).stg_subscriptions)
+    stamp, first = batches[0]
+    hist = H.open_versions(first, stamp)
+    for stamp, batch in batches[1:]:
+        hist = H.merge_batch(hist, batch, stamp)
+    return hist
+
+
+register("snap_subscriptions_scd2", "SELECT * FROM h_history")(subscription_history)
+
+
+@register("snap_as_of", f"SELECT * FROM h_history WHERE valid_from <= TIMESTAMP '{AS_OF_PROBE}' "
+                        f"AND (valid_to IS NULL OR valid_to > TIMESTAMP '{AS_OF_PROBE}')")
+def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.as_of(subscription_history(spark, sf_dir), AS_OF_PROBE)
+
+
+# ---------------------------------------------------------------- data quality
+from tidemark.operators import quality as Q  # noqa: E402
+
+
+def _suite(kinds):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p = pipeline(spark, sf_dir)
+        return Q.run_suite(p.model, kinds=kinds)
+    return build
+
+
+for _kind in Q.TEST_KINDS:
+    register(f"dq_{_kind}", O.dq_report_sql([c for c in Q.SUITE if c.test == _kind]))(_suite([_kind]))
+register("dq_report", O.dq_report_sql(Q.SUITE))(_suite(None))
+
+
+@register("dq_duplicates_bronze", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {k} AS key_value, count(*) AS n_records FROM b_{t} "
+    f"WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1" for t, k in Q.BRONZE_KEYS.items()))
+def dq_duplicates_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.bronze_duplicates(pipeline(spark, sf_dir).bronze.as_dict())
+
+
+@register("dq_duplicates_usage_grain",
+          "SELECT subscription_id, usage_date, feature_name, count(*) AS n_records FROM b_feature_usage "
+          "GROUP BY subscription_id, usage_date, feature_name HAVING count(*) > 1")
+def dq_duplicates_usage_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.usage_grain_duplicates(pipeline(spark, sf_dir).bronze.feature_usage)
+
+
+@register("dq_multi_subscription_accounts",
+          "SELECT account_id, count(*) AS n_subscriptions FROM s_subscriptions "
+          "GROUP BY account_id HAVING count(*) > 1")
+def dq_multi_subscription_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.multi_subscription_accounts(pipeline(spark, sf_dir).stg_subscriptions)
+
+
+@register("dq_open_subscriptions",
+          "SELECT count(*) FILTER (WHERE end_date IS NULL) AS open_subscriptions FROM s_subscriptions")
+def dq_open_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.open_subscriptions(pipeline(spark, sf_dir).stg_subscriptions)
+
+
+@register("dq_row_lookup",
+          "SELECT * FROM b_feature_usage WHERE usage_id IN "
+          "(SELECT usage_id FROM b_feature_usage GROUP BY usage_id HAVING count(*) > 1)")
+def dq_row_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.duplicate_rows(pipeline(spark, sf_dir).bronze.feature_usage, "usage_id")
+
+
+# ---------------------------------------------------------------- bronze sources and sinks
+from tidemark.context import scratch_path  # noqa: E402
+from tidemark.sources import bronze as B  # noqa: E402
+from tidemark.sources import fixtures as FX  # noqa: E402
+from tidemark.sources.schemas import BRONZE_SCHEMAS, SOURCE_FILES, STAMP  # noqa: E402
+
+
+def _source_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five inputs as they arrive (CSV rows, before the stamp)."""
+    return {n: df.drop(STAMP) for n, df in FX.load_bronze(spark, sf_dir).as_dict().items()}
+
+
+def _land_csv(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """Write the source frames as CSV files under a fresh shared location."""
+    root = scratch_path(spark, "landing")
+    frames = _source_frames(spark, sf_dir)
+    for t in tables:
+        B.write_csv(frames[t], f"{root}/{t}.csv")
+    return root
+
+
+@register("bronze_csv_roundtrip", "SELECT * EXCLUDE (ingestion_ts) FROM b_subscriptions")
+def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _land_csv(spark, sf_dir, ["subscriptions"])
+    return B.read_csv(spark, f"{root}/subscriptions.csv", "subscriptions")
+
+
+@register("bronze_stamp", "SELECT * FROM b_accounts")
+def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _land_csv(spark, sf_dir, ["accounts"])
+    return B.stamp(B.read_csv(spark, f"{root}/accounts.csv", "accounts"), RunContext.pinned())
+
+
+def _ingest_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    root = _land_csv(spark, sf_dir, ["accounts"])
+    target = scratch_path(spark, "bronze", "accounts")
+    for _ in range(2):
+        B.ingest(spark, f"{root}/accounts.csv", "accounts", target, RunContext.pinned(), mode=mode)
+    return spark.read.parquet(target)
+
+
+@register("bronze_overwrite", "SELECT * FROM b_accounts")
+def bronze_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingest_twice(spark, sf_dir, "overwrite")
+
+
+@register("bronze_append", "SELECT * FROM b_accounts UNION ALL SELECT * FROM b_accounts")
+def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingest_twice(spark, sf_dir, "append")
+
+
+def _profile_sql() -> str:
+    parts = []
+    for t, schema in BRONZE_SCHEMAS.items():
+        fields = [(f.name, f.dataType.simpleString()) for f in schema.fields] + [(STAMP, "timestamp")]
+        for i, (c, typ) in enumerate(fields):
+            parts.append(f"SELECT '{t}' AS table_name, {i + 1} AS ordinal, '{c}' AS column_name, "
+                         f"'{typ}' AS data_type, count(*) AS row_count, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM b_{t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("bronze_ingest_all", _profile_sql())
+def bronze_ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load loop: land all five CSVs, ingest each, profile what was written."""
+    root = _land_csv(spark, sf_dir, list(BRONZE_SCHEMAS))
+    written = B.ingest_all(spark, root, scratch_path(spark, "bronze"), RunContext.pinned(), files=SOURCE_FILES)
+    return B.table_profile({t: spark.read.parquet(p) for t, p in written.items()})
+
+
+@register("table_profile", _profile_sql())
+def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.table_profile(pipeline(spark, sf_dir).bronze.as_dict())
+
+
+@register("preview_accounts", "SELECT * FROM b_accounts ORDER BY account_id LIMIT 10")
+def preview_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.preview(pipeline(spark, sf_dir).bronze.accounts, "account_id", 10)

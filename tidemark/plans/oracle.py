@@ -395,3 +395,76 @@ def with_ctes(final_sql: str) -> str:
         return final_sql.strip()
     body = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order)
     return f"WITH {body}\n{final_sql.strip()}"
+
+
+# ---------------------------------------------------------------- subscription history
+_N = "CAST(substr(subscription_id, 3) AS BIGINT)"
+_SNAP = ("subscription_id, account_id, start_date, end_date, plan_tier, seats, mrr_amount, arr_amount, "
+         "is_trial, upgrade_flag, downgrade_flag, churn_flag, billing_frequency, auto_renew_flag")
+_B2 = (f"subscription_id, account_id, start_date, "
+       f"CASE WHEN {_N} % 19 = 4 THEN DATE '2001-10-15' ELSE end_date END AS end_date, "
+       f"CASE WHEN {_N} % 10 = 1 THEN 'Enterprise' ELSE plan_tier END AS plan_tier, "
+       f"CASE WHEN {_N} % 13 = 0 THEN seats + 5 ELSE seats END AS seats, mrr_amount, arr_amount, is_trial, "
+       f"upgrade_flag, downgrade_flag, churn_flag, billing_frequency, auto_renew_flag")
+cte("h_batch2", f"SELECT {_B2} FROM s_subscriptions")
+cte("h_rows", f"""
+SELECT 1 AS batch_no, TIMESTAMP '2001-10-01 00:00:00' AS stamp, {_SNAP} FROM s_subscriptions WHERE {_N} % 17 <> 3
+UNION ALL
+SELECT 2, TIMESTAMP '2001-11-01 00:00:00', {_SNAP} FROM h_batch2
+UNION ALL
+SELECT 3, TIMESTAMP '2001-12-01 00:00:00', subscription_id, account_id, start_date, end_date, plan_tier, seats,
+       mrr_amount, arr_amount, is_trial, upgrade_flag, downgrade_flag,
+       CASE WHEN {_N} % 29 = 6 THEN CAST(NULL AS BOOLEAN) ELSE churn_flag END,
+       billing_frequency, auto_renew_flag
+FROM h_batch2 WHERE {_N} % 31 <> 8""")
+_CHECKED = ["plan_tier", "mrr_amount", "arr_amount", "seats", "churn_flag", "upgrade_flag", "downgrade_flag",
+            "auto_renew_flag"]
+cte("h_marked", "SELECT *, lag(batch_no) OVER w AS prev_batch, ("
+    + " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in _CHECKED)
+    + ") AS differs FROM h_rows WINDOW w AS (PARTITION BY subscription_id ORDER BY batch_no)")
+cte("h_history", f"""
+SELECT {_SNAP}, stamp AS ingestion_ts, stamp AS valid_from,
+       lead(stamp) OVER (PARTITION BY subscription_id ORDER BY batch_no) AS valid_to,
+       sha256(subscription_id || '|' || CAST(stamp AS VARCHAR)) AS version_id
+FROM h_marked WHERE prev_batch IS NULL OR differs""")
+
+# ---------------------------------------------------------------- data quality
+MODEL_CTE = {
+    "stg_accounts": "s_accounts", "stg_subscriptions": "s_subscriptions", "stg_feature_usage": "s_usage",
+    "stg_churn_events": "s_churn", "stg_support_tickets": "s_tickets",
+    "int_account_subscriptions": "i_subs", "int_account_churn": "i_churn", "int_account_support": "i_support",
+    "int_account_feature_usage": "i_usage", "int_account_360": "i_360",
+    "gold_account_health_summary": "g_health", "gold_churn_analysis": "g_churn", "gold_mrr_trends": "g_mrr",
+    "gold_feature_adoption": "g_features", "gold_support_performance": "g_support",
+    "gold_customer_segments": "g_segments",
+}
+
+
+def _quote(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def dq_check_sql(model: str, column: str, test: str, args: dict) -> str:
+    src = MODEL_CTE[model]
+    head = f"SELECT {_quote(model)} AS model, {_quote(column)} AS column_name, {_quote(test)} AS test, "
+    if test == "not_null":
+        return head + f"CAST(count(*) FILTER (WHERE {column} IS NULL) AS BIGINT) AS failures FROM {src}"
+    if test == "unique":
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {column} FROM {src} "
+                       f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1) d")
+    if test == "unique_combination":
+        return head + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT 1 FROM {src} GROUP BY {column} HAVING count(*) > 1) d"
+    if test == "relationships":
+        parent = MODEL_CTE[args["to"]]
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM {src} c WHERE c.{column} IS NOT NULL "
+                       f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{args['field']} = c.{column})")
+    if test == "accepted_values":
+        vals = ", ".join(_quote(v) for v in args["values"])
+        return head + (f"CAST(count(DISTINCT {column}) AS BIGINT) AS failures FROM {src} "
+                       f"WHERE {column} IS NOT NULL AND {column} NOT IN ({vals})")
+    raise ValueError(test)
+
+
+def dq_report_sql(checks) -> str:
+    body = "\nUNION ALL\n".join(dq_check_sql(c.model, c.column, c.test, c.args) for c in checks)
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n{body}\n) r")

@@ -179,3 +179,31 @@ def load_bronze(spark: SparkSession, sf_dir: str, ctx: RunContext | None = None)
         "support_tickets": fx_support_tickets(t("events")),
     }
     return Bronze(**{n: df.withColumn(STAMP, ctx.stamp()) for n, df in frames.items()})
+
+
+# Stamps of the three subscription batches (FIXTURES.md §4).
+BATCH_STAMPS = ["2001-10-01 00:00:00", "2001-11-01 00:00:00", "2001-12-01 00:00:00"]
+
+
+def subscription_batches(stg_subscriptions: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Three successive deliveries of the subscriptions table, derived from it.
+
+    1: without ids n % 17 = 3; 2: all ids, with plan / seat / end-date changes;
+    3: as 2 with some churn flags set to NULL and ids n % 31 = 8 missing.
+    Each batch carries its own stamp as ``ingestion_ts``.
+    """
+    n = F.substring(F.col("subscription_id"), 3, 1 << 20).cast("bigint")
+    cols = stg_subscriptions.columns
+    b1 = stg_subscriptions.filter(n % 17 != 3)
+    b2 = stg_subscriptions.withColumns({
+        "plan_tier": F.when(n % 10 == 1, F.lit("Enterprise")).otherwise(F.col("plan_tier")),
+        "seats": F.when(n % 13 == 0, F.col("seats") + 5).otherwise(F.col("seats")),
+        "end_date": F.when(n % 19 == 4, F.lit("2001-10-15").cast("date")).otherwise(F.col("end_date")),
+    })
+    b3 = b2.withColumn(
+        "churn_flag", F.when(n % 29 == 6, F.lit(None).cast("boolean")).otherwise(F.col("churn_flag"))
+    ).filter(n % 31 != 8)
+    out = []
+    for stamp, b in zip(BATCH_STAMPS, [b1, b2, b3]):
+        out.append((stamp, b.withColumn(STAMP, F.to_timestamp(F.lit(stamp))).select(*cols)))
+    return out
