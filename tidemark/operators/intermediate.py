@@ -151,23 +151,46 @@ def usage_with_account(stg_feature_usage: DataFrame, stg_subscriptions: DataFram
 
 
 def int_account_feature_usage(stg_feature_usage: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
-    """Feature breadth, volume, errors, top feature and recency per account."""
+    """Feature breadth, volume, errors, top feature and recency per account.
+
+    The three distinct counts (features, beta features, days) are computed
+    by pre-aggregating to (account, feature) and (account, day) instead of
+    one aggregate with three DISTINCTs: that would expand every row four
+    times and, with the string-valued top-feature pick, force a sort-based
+    aggregate over the expanded rows. Both levels here are hash aggregates
+    combined map-side; the two branches share the rollup's shuffle and meet
+    again on ``account_id`` (co-partitioned).
+    """
     u = usage_with_account(stg_feature_usage, stg_subscriptions)
-    cnt = F.col("total_usage_count")
-    return u.groupBy("account_id").agg(
-        F.countDistinct("feature_name").alias("distinct_features_used"),
-        F.sum(cnt).alias("total_usage_count"),
-        round2(F.sum("total_usage_duration_secs") / 3600.0).alias("total_usage_hours"),
-        F.sum("total_error_count").alias("total_error_count"),
-        pct(F.sum("total_error_count"), F.sum(cnt)).alias("error_rate_pct"),
-        F.countDistinct(F.when(F.col("is_beta_feature") == F.lit(True), F.col("feature_name")))
-        .alias("beta_features_used"),
+    cnt, feature = F.col("total_usage_count"), F.col("feature_name")
+    per_feature = u.groupBy("account_id", "feature_name").agg(
+        F.sum(cnt).alias("_count"),
+        F.sum("total_usage_duration_secs").alias("_secs"),
+        F.sum("total_error_count").alias("_errors"),
+        F.max(F.col("is_beta_feature") == F.lit(True)).alias("_beta"),
+        F.max(cnt).alias("_peak"),
+    )
+    features = per_feature.groupBy("account_id").agg(
+        F.count(feature).alias("distinct_features_used"),
+        F.sum("_count").alias("total_usage_count"),
+        round2(F.sum("_secs") / 3600.0).alias("total_usage_hours"),
+        F.sum("_errors").alias("total_error_count"),
+        pct(F.sum("_errors"), F.sum("_count")).alias("error_rate_pct"),
+        count_if(F.col("_beta") & feature.isNotNull()).alias("beta_features_used"),
         # Feature of the largest single daily row; ties go to the larger name.
-        F.max_by("feature_name", F.when(cnt.isNotNull(), F.struct(cnt, F.col("feature_name"))))
+        F.max_by(feature, F.when(F.col("_peak").isNotNull(), F.struct(F.col("_peak"), feature)))
         .alias("top_feature"),
-        F.max("usage_date").alias("last_usage_date"),
-        F.min("usage_date").alias("first_usage_date"),
-        F.countDistinct("usage_date").alias("active_days"),
+    )
+    days = u.groupBy("account_id", "usage_date").agg(F.count(F.lit(1)).alias("_rows")) \
+        .groupBy("account_id").agg(
+            F.max("usage_date").alias("last_usage_date"),
+            F.min("usage_date").alias("first_usage_date"),
+            F.count("usage_date").alias("active_days"),
+        )
+    return features.join(days, "account_id").select(
+        "account_id", "distinct_features_used", "total_usage_count", "total_usage_hours",
+        "total_error_count", "error_rate_pct", "beta_features_used", "top_feature",
+        "last_usage_date", "first_usage_date", "active_days",
     )
 
 

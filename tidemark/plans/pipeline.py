@@ -56,9 +56,7 @@ class Pipeline:
     def from_bronze_tables(cls, spark: SparkSession, root: str, ctx: RunContext | None = None,
                            fmt: str = "parquet", **kw) -> "Pipeline":
         """Bronze tables previously written under ``root/<table>``."""
-        r = lambda n: spark.read.format(fmt).load(f"{root.rstrip('/')}/{n}")
-        b = Bronze(r("accounts"), r("subscriptions"), r("churn_events"), r("feature_usage"),
-                   r("support_tickets"))
+        b = Bronze(factory=lambda n: spark.read.format(fmt).load(f"{root.rstrip('/')}/{n}"))
         return cls(spark, b, ctx, **kw)
 
     # ---- silver

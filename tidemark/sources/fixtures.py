@@ -10,7 +10,7 @@ whatever model reads it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,39 +146,52 @@ def fx_support_tickets(events: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
+BRONZE_TABLES = ["accounts", "subscriptions", "churn_events", "feature_usage", "support_tickets"]
+
+
 class Bronze:
-    """The five bronze inputs, stamped with ``ingestion_ts``."""
+    """The five bronze inputs, stamped with ``ingestion_ts``.
+
+    Each input is built on first access, so a query only resolves the source
+    tables it actually reads.
+    """
 
-    accounts: DataFrame
-    subscriptions: DataFrame
-    churn_events: DataFrame
-    feature_usage: DataFrame
-    support_tickets: DataFrame
+    def __init__(self, accounts=None, subscriptions=None, churn_events=None, feature_usage=None,
+                 support_tickets=None, factory: Callable[[str], DataFrame] | None = None):
+        given = dict(accounts=accounts, subscriptions=subscriptions, churn_events=churn_events,
+                     feature_usage=feature_usage, support_tickets=support_tickets)
+        self._frames = {k: v for k, v in given.items() if v is not None}
+        self._factory = factory
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            if self._factory is None:
+                raise KeyError(name)
+            self._frames[name] = self._factory(name)
+        return self._frames[name]
+
+    accounts = property(lambda self: self.table("accounts"))
+    subscriptions = property(lambda self: self.table("subscriptions"))
+    churn_events = property(lambda self: self.table("churn_events"))
+    feature_usage = property(lambda self: self.table("feature_usage"))
+    support_tickets = property(lambda self: self.table("support_tickets"))
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {
-            "accounts": self.accounts,
-            "subscriptions": self.subscriptions,
-            "churn_events": self.churn_events,
-            "feature_usage": self.feature_usage,
-            "support_tickets": self.support_tickets,
-        }
+        return {n: self.table(n) for n in BRONZE_TABLES}
 
 
 def load_bronze(spark: SparkSession, sf_dir: str, ctx: RunContext | None = None) -> Bronze:
-    """Bronze inputs derived from the driver tables under ``sf_dir``."""
+    """Bronze inputs derived from the driver tables under ``sf_dir`` (lazily)."""
     ctx = ctx or RunContext.pinned()
     t = lambda n: read_table(spark, sf_dir, n)
-    orders = t("orders")
-    frames = {
-        "accounts": fx_accounts(t("customer"), t("nation")),
-        "subscriptions": fx_subscriptions(orders),
-        "churn_events": fx_churn_events(orders),
-        "feature_usage": fx_feature_usage(t("lineitem"), orders),
-        "support_tickets": fx_support_tickets(t("events")),
+    builders = {
+        "accounts": lambda: fx_accounts(t("customer"), t("nation")),
+        "subscriptions": lambda: fx_subscriptions(t("orders")),
+        "churn_events": lambda: fx_churn_events(t("orders")),
+        "feature_usage": lambda: fx_feature_usage(t("lineitem"), t("orders")),
+        "support_tickets": lambda: fx_support_tickets(t("events")),
     }
-    return Bronze(**{n: df.withColumn(STAMP, ctx.stamp()) for n, df in frames.items()})
+    return Bronze(factory=lambda name: builders[name]().withColumn(STAMP, ctx.stamp()))
 
 
 # Stamps of the three subscription batches (FIXTURES.md §4).
