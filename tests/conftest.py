@@ -14,7 +14,8 @@ def spark():
     b = (SparkSession.builder.master("local[*]").appName("tidemark-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.ui.enabled", "false"))
+         .config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-warehouse-")))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     # Tests own their session: set a checkpoint folder only if none is configured.

@@ -59,6 +59,13 @@ class Pipeline:
         b = Bronze(factory=lambda n: spark.read.format(fmt).load(f"{root.rstrip('/')}/{n}"))
         return cls(spark, b, ctx, **kw)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, ctx: RunContext | None = None,
+                     prefix: str = "bronze_", **kw) -> "Pipeline":
+        """Bronze tables registered in the catalog as ``<database>.<prefix><table>``."""
+        b = Bronze(factory=lambda n: spark.table(f"{database}.{prefix}{n}"))
+        return cls(spark, b, ctx, **kw)
+
     # ---- silver
     @cached_property
     def stg_accounts(self) -> DataFrame:
@@ -166,12 +173,17 @@ class Pipeline:
     def models(self) -> dict[str, DataFrame]:
         return {n: self.model(n) for n in SILVER_MODELS + INTERMEDIATE_MODELS + GOLD_MODELS}
 
-    def run(self, output_root: str, models: list[str] | None = None, fmt: str = "parquet") -> dict[str, str]:
+    def run(self, output_root: str, models: list[str] | None = None, fmt: str = "parquet",
+            as_tables: bool = False) -> dict[str, str]:
         """Write the gold tables (or ``models``) under ``output_root/<model>``.
 
+        With ``as_tables``, ``output_root`` is a database and each model is
+        saved as the catalog table ``<database>.<model>`` (created if needed).
         The spine is materialized once and shared by its two gold readers.
         Each table is written in full with overwrite; re-running is safe.
         """
+        if as_tables:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {output_root}")
         if not self.materialize_spine:
             self.materialize_spine = True
             self.__dict__.pop("int_account_360", None)
@@ -179,7 +191,11 @@ class Pipeline:
                 self.__dict__.pop(n, None)
         out = {}
         for name in models or GOLD_MODELS:
-            path = f"{output_root.rstrip('/')}/{name}"
-            write_table(self.model(name), path, fmt=fmt)
-            out[name] = path
+            if as_tables:
+                target = f"{output_root}.{name}"
+                self.model(name).write.mode("overwrite").format(fmt).saveAsTable(target)
+            else:
+                target = f"{output_root.rstrip('/')}/{name}"
+                write_table(self.model(name), target, fmt=fmt)
+            out[name] = target
         return out

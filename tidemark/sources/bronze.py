@@ -108,3 +108,28 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
 def preview(df: DataFrame, order_by: str, n: int = 10) -> DataFrame:
     """First ``n`` rows in ``order_by`` order (a deterministic ``LIMIT``)."""
     return df.orderBy(F.col(order_by).asc()).limit(n)
+
+
+def ensure_schema(spark: SparkSession, name: str) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS`` -- the target database of the bronze and gold tables."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+
+
+def ingest_all_to_catalog(spark: SparkSession, base_path: str, database: str, ctx: RunContext,
+                          files: Iterable[tuple[str, str]] = SOURCE_FILES, mode: str = "overwrite",
+                          fmt: str = "parquet", prefix: str = "bronze_") -> dict[str, str]:
+    """The load loop writing catalog tables ``<database>.<prefix><table>``."""
+    ensure_schema(spark, database)
+    out = {}
+    for file_name, table in files:
+        name = f"{database}.{prefix}{table}"
+        df = stamp(read_csv(spark, f"{base_path.rstrip('/')}/{file_name}", table), ctx)
+        write_table(df, name, mode=mode, fmt=fmt, as_table=True)
+        out[table] = name
+    return out
+
+
+def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """``SHOW TABLES`` as a DataFrame: (database, table_name, is_temporary)."""
+    rows = [(t.database, t.name, t.isTemporary) for t in spark.catalog.listTables(database)]
+    return spark.createDataFrame(rows, "database string, table_name string, is_temporary boolean")

@@ -183,7 +183,13 @@ class Bronze:
 def load_bronze(spark: SparkSession, sf_dir: str, ctx: RunContext | None = None) -> Bronze:
     """Bronze inputs derived from the driver tables under ``sf_dir`` (lazily)."""
     ctx = ctx or RunContext.pinned()
-    t = lambda n: read_table(spark, sf_dir, n)
+    reads: dict[str, DataFrame] = {}
+
+    def t(name: str) -> DataFrame:  # each driver table is resolved once per pipeline
+        if name not in reads:
+            reads[name] = read_table(spark, sf_dir, name)
+        return reads[name]
+
     builders = {
         "accounts": lambda: fx_accounts(t("customer"), t("nation")),
         "subscriptions": lambda: fx_subscriptions(t("orders")),
