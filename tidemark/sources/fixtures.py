@@ -1,6 +1,6 @@
 """Driver tables -> the five bronze inputs.
 
-The reference ships no data. The test tables (TPC-H-like ``customer``,
+No source CSVs come with the pipeline. The test tables (TPC-H-like ``customer``,
 ``nation``, ``orders``, ``lineitem`` and ``events``) are mapped onto the five
 subscription-business inputs by fixed rules (see FIXTURES.md §3; the oracle
 SQL uses the same rules as text). All of it is narrow per-row projection plus
