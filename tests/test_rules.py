@@ -163,3 +163,12 @@ def test_month_spine_empty_and_future(spark):
     assert gold.month_spine(empty, ctx).count() == 0
     future = spark.createDataFrame([(D(2002, 1, 1), False)], "start_date date, is_trial boolean")
     assert gold.month_spine(future, ctx).count() == 0
+
+
+def test_presentation_order_applied_on_read(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2001, 1, 1), "Pro"), (dt.datetime(2001, 2, 1), "Basic"), (dt.datetime(2001, 1, 1), "Basic")],
+        "month_start timestamp, plan_tier string")
+    got = [(r.month_start.month, r.plan_tier) for r in gold.ordered("gold_mrr_trends", df).collect()]
+    assert got == [(1, "Basic"), (1, "Pro"), (2, "Basic")]
+    assert gold.ordered("not_a_report", df) is df

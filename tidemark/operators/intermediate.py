@@ -59,8 +59,7 @@ def latest_subscription(stg_subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def _account_context(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
-    """Accounts full-outer their latest subscription: everything churn needs per account."""
+def _churn_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> tuple[DataFrame, DataFrame]:
     accounts = stg_accounts.select(
         "account_id", "account_name", "industry", "country",
         F.col("plan_tier").alias("account_plan_tier"), "signup_date",
@@ -72,6 +71,12 @@ def _account_context(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> D
         F.col("arr_amount").alias("arr_at_churn"),
         "billing_frequency",
     )
+    return accounts, latest
+
+
+def _account_context(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
+    """Accounts full-outer their latest subscription: everything churn needs per account."""
+    accounts, latest = _churn_dimensions(stg_accounts, stg_subscriptions)
     return accounts.join(latest, "account_id", "full_outer")
 
 
@@ -88,8 +93,12 @@ _CHURN_EVENT_COLUMNS = [
 ]
 
 
-def _enrich_churn(events: DataFrame, account_ctx: DataFrame) -> DataFrame:
-    j = events.join(account_ctx, "account_id", "left")
+def _enrich_churn(events: DataFrame, account_ctx: DataFrame | tuple[DataFrame, DataFrame]) -> DataFrame:
+    if isinstance(account_ctx, tuple):  # (accounts, latest subscription): two co-partitioned left joins
+        accounts, latest = account_ctx
+        j = events.join(accounts, "account_id", "left").join(latest, "account_id", "left")
+    else:
+        j = events.join(account_ctx, "account_id", "left")
     return j.select(
         "churn_event_id", "account_id", "account_name", "industry", "country", "signup_date",
         F.datediff("churn_date", "signup_date").alias("days_to_churn"),
@@ -112,14 +121,15 @@ def latest_churn(stg_churn_events: DataFrame, stg_accounts: DataFrame,
                  stg_subscriptions: DataFrame) -> DataFrame:
     """Latest enriched churn event per account (ties: larger churn_event_id).
 
-    The latest event is picked before enrichment (map-side combined), then
-    enriched; a last per-account pick keeps one row even if an account id
-    repeats in the accounts table. That pick runs on the join's own hash
-    partitioning, so it adds no shuffle.
+    The latest event is picked before enrichment (map-side combined), so the
+    enrichment joins see one row per account on both sides and are chained
+    on the same key without a further shuffle. A last per-account pick keeps
+    one row even if an account id repeats in the accounts table; it runs on
+    the joins' own hash partitioning, so it adds no shuffle either.
     """
     events = latest_per_key(stg_churn_events, "account_id", ["churn_date", "churn_event_id"],
                             _CHURN_EVENT_COLUMNS)
-    enriched = _enrich_churn(events, _account_context(stg_accounts, stg_subscriptions))
+    enriched = _enrich_churn(events, _churn_dimensions(stg_accounts, stg_subscriptions))
     cols = [c for c in INT_CHURN_COLUMNS if c != "account_id"]
     return latest_per_key(enriched, "account_id", ["churn_date", "churn_event_id", "days_to_churn"], cols) \
         .select(*INT_CHURN_COLUMNS)

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import re
 
+from tidemark.sources.fixtures import MAPPING_SOURCES, mapping_text
+
 AS_OF = "DATE '2001-12-01'"
 RUN_TS = "TIMESTAMP '2001-12-01 00:00:00'"
 
@@ -45,60 +47,10 @@ def cte(name: str, sql: str) -> None:
 
 
 # ---------------------------------------------------------------- driver mapping (FIXTURES.md §3)
-cte("fx_accounts", """
-SELECT 'A-' || c_custkey AS account_id, c_name AS account_name, c_mktsegment AS industry, n_name AS country,
-       DATE '1995-01-01' + CAST((c_custkey * 7919) % 2526 AS INT) AS signup_date,
-       CASE c_custkey % 5 WHEN 0 THEN 'organic' WHEN 1 THEN 'ads' WHEN 2 THEN 'event' WHEN 3 THEN 'partner' ELSE 'other' END AS referral_source,
-       CASE c_custkey % 3 WHEN 0 THEN 'Basic' WHEN 1 THEN 'Pro' ELSE 'Enterprise' END AS plan_tier,
-       CAST(1 + c_custkey % 200 AS INT) AS seats,
-       c_custkey % 6 = 0 AS is_trial,
-       CASE WHEN c_custkey % 40 = 3 THEN CAST(NULL AS BOOLEAN) ELSE c_custkey % 5 = 2 END AS churn_flag
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
-cte("fx_subscriptions", """
-SELECT 'S-' || o_orderkey AS subscription_id,
-       CASE WHEN o_orderkey % 211 = 7 THEN CAST(NULL AS VARCHAR) WHEN o_orderkey % 113 = 5 THEN 'A-orphan' ELSE 'A-' || o_custkey END AS account_id,
-       CAST(o_orderdate AS DATE) AS start_date,
-       CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(15 + o_orderkey % 400 AS INT) END AS end_date,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'Enterprise' WHEN '2-HIGH' THEN 'Pro' WHEN '3-MEDIUM' THEN 'Pro' ELSE 'Basic' END AS plan_tier,
-       CAST(1 + o_orderkey % 200 AS INT) AS seats,
-       CAST(floor(o_totalprice / 100) AS BIGINT) AS mrr_amount,
-       12 * CAST(floor(o_totalprice / 100) AS BIGINT) AS arr_amount,
-       o_orderkey % 8 = 0 AS is_trial, o_orderkey % 10 = 1 AS upgrade_flag, o_orderkey % 23 = 2 AS downgrade_flag,
-       o_orderstatus = 'F' AND o_orderkey % 4 <> 3 AS churn_flag,
-       CASE WHEN o_orderkey % 3 = 0 THEN 'annual' ELSE 'monthly' END AS billing_frequency,
-       o_orderkey % 5 <> 0 AS auto_renew_flag
-FROM orders""")
-cte("fx_churn_events", """
-SELECT 'C-' || o_orderkey AS churn_event_id, 'A-' || o_custkey AS account_id,
-       DATE '1995-01-01' + CAST((o_custkey * 7919) % 2526 + o_orderkey % 500 - 10 AS INT) AS churn_date,
-       CASE o_orderkey % 6 WHEN 0 THEN 'pricing' WHEN 1 THEN 'support' WHEN 2 THEN 'features' WHEN 3 THEN 'budget' WHEN 4 THEN 'competitor' ELSE 'unknown' END AS reason_code,
-       CASE WHEN o_orderkey % 9 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(o_orderkey % 500 AS DOUBLE) / 4 END AS refund_amount_usd,
-       o_orderkey % 10 = 1 AS preceding_upgrade_flag, o_orderkey % 23 = 2 AS preceding_downgrade_flag,
-       o_orderkey % 12 = 0 AS is_reactivation,
-       CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS feedback_text
-FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 5 = 2""")
-cte("fx_feature_usage", """
-SELECT 'U-' || l_orderkey || '-' || l_linenumber AS usage_id,
-       CASE WHEN l_partkey % 331 = 9 THEN CAST(NULL AS VARCHAR) ELSE 'S-' || l_orderkey END AS subscription_id,
-       CAST(l_shipdate AS DATE) AS usage_date,
-       'feature_' || (l_partkey % (1 + o_custkey % 12)) AS feature_name,
-       CASE WHEN l_linenumber = 7 THEN CAST(0 AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END AS usage_count,
-       CAST(floor(l_extendedprice / 10) AS BIGINT) AS usage_duration_secs,
-       CAST(CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END AS INT) AS error_count,
-       l_partkey % (1 + o_custkey % 12) >= 10 AS is_beta_feature
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_linenumber <= 1 + o_custkey % 7 AND o_custkey % 50 <> 7""")
-cte("fx_support_tickets", """
-SELECT 'T-' || event_id AS ticket_id,
-       CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS VARCHAR) ELSE 'A-' || user_id END AS account_id,
-       CAST(ts AS TIMESTAMP) - CAST(8200 + event_id % 700 AS INT) * INTERVAL '1' DAY AS submitted_at,
-       CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS TIMESTAMP) - CAST(8200 + event_id % 700 AS INT) * INTERVAL '1' DAY + CAST(round(value * 4) AS INT) * INTERVAL '15' MINUTE END AS closed_at,
-       CASE WHEN event_id % 11 <> 0 THEN round(value * 4) / 4 END AS resolution_time_hours,
-       CASE event_type WHEN 'error' THEN 'urgent' WHEN 'purchase' THEN 'high' WHEN 'click' THEN 'medium' ELSE 'low' END AS priority,
-       CAST(event_id % 240 AS INT) AS first_response_time_minutes,
-       CASE WHEN event_id % 5 <> 0 THEN CAST(least(5, 1 + user_id % 5 + event_id % 2) AS INT) END AS satisfaction_score,
-       event_type = 'error' AND user_id % 3 = 0 AS escalation_flag
-FROM events""")
+# The fixture mapping is shared with the Spark side: it defines the inputs,
+# it is not an operator under test.
+for _t in MAPPING_SOURCES:
+    cte(f"fx_{_t}", mapping_text(_t))
 
 for _t in ["accounts", "subscriptions", "churn_events", "feature_usage", "support_tickets"]:
     cte(f"b_{_t}", f"SELECT *, {RUN_TS} AS ingestion_ts FROM fx_{_t}")

@@ -174,28 +174,38 @@ class Pipeline:
         return {n: self.model(n) for n in SILVER_MODELS + INTERMEDIATE_MODELS + GOLD_MODELS}
 
     def run(self, output_root: str, models: list[str] | None = None, fmt: str = "parquet",
-            as_tables: bool = False) -> dict[str, str]:
+            as_tables: bool = False, parallel_jobs: int = 4) -> dict[str, str]:
         """Write the gold tables (or ``models``) under ``output_root/<model>``.
 
         With ``as_tables``, ``output_root`` is a database and each model is
         saved as the catalog table ``<database>.<model>`` (created if needed).
-        The spine is materialized once and shared by its two gold readers.
-        Each table is written in full with overwrite; re-running is safe.
+        The spine is materialized once and shared by its two gold readers;
+        the gold tables are then independent and their write jobs are
+        submitted concurrently (``parallel_jobs`` driver threads), so small
+        jobs do not leave the executors idle. Each table is written in full
+        with overwrite; re-running is safe.
         """
+        from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
+
         if as_tables:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {output_root}")
         if not self.materialize_spine:
             self.materialize_spine = True
-            self.__dict__.pop("int_account_360", None)
-            for n in ("gold_account_health_summary", "gold_customer_segments"):
+            for n in ("int_account_360", "gold_account_health_summary", "gold_customer_segments"):
                 self.__dict__.pop(n, None)
-        out = {}
-        for name in models or GOLD_MODELS:
+        names = list(models or GOLD_MODELS)
+        if any(n in ("gold_account_health_summary", "gold_customer_segments") for n in names):
+            _ = self.int_account_360  # write the spine once, before its readers start
+        frames = {n: self.model(n) for n in names}
+
+        def write(name: str) -> tuple[str, str]:
             if as_tables:
                 target = f"{output_root}.{name}"
-                self.model(name).write.mode("overwrite").format(fmt).saveAsTable(target)
+                frames[name].write.mode("overwrite").format(fmt).saveAsTable(target)
             else:
                 target = f"{output_root.rstrip('/')}/{name}"
-                write_table(self.model(name), target, fmt=fmt)
-            out[name] = target
-        return out
+                write_table(frames[name], target, fmt=fmt)
+            return name, target
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+            return dict(pool.map(write, names))

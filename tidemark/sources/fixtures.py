@@ -2,148 +2,121 @@
 
 No source CSVs come with the pipeline. The test tables (TPC-H-like ``customer``,
 ``nation``, ``orders``, ``lineitem`` and ``events``) are mapped onto the five
-subscription-business inputs by fixed rules (see FIXTURES.md §3; the oracle
-SQL uses the same rules as text). All of it is narrow per-row projection plus
-one join per table, so it is pushed into the parquet scans and pipelined into
-whatever model reads it.
+subscription-business inputs by fixed rules (FIXTURES.md §3), kept as one SQL
+text per input that Spark and the DuckDB oracle both run. All of it is narrow
+per-row projection plus at most one join, so Catalyst pushes it into the
+parquet scans and pipelines it into whatever model reads it.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.sources.schemas import STAMP
 
 
+# Resolved source DataFrames per session and path. Resolving a parquet source
+# lists its files and reads a footer; on a large input the listing alone is
+# expensive, and reusing the resolved relation also pins every model of a run
+# to one snapshot of its inputs. Holds plan handles only, never data.
+_SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _id(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
-
-
-def _days_after(base: str, n: Column) -> Column:
-    return F.date_add(F.lit(base).cast("date"), n.cast("int"))
-
-
-def _case(key: Column, mapping: list[tuple[object, str]], default: str) -> Column:
-    out = None
-    for k, v in mapping:
-        out = (F.when(key == k, v) if out is None else out.when(key == k, v))
-    return out.otherwise(default)
-
-
-def _null_if(cond: Column, value: Column, dtype: str) -> Column:
-    return F.when(cond, F.lit(None).cast(dtype)).otherwise(value)
-
-
-# Fixed values of the mapping (FIXTURES.md §3).
-REFERRALS = [(0, "organic"), (1, "ads"), (2, "event"), (3, "partner")]  # else 'other'
-ACCOUNT_TIERS = [(0, "Basic"), (1, "Pro")]  # else 'Enterprise'
-ORDER_TIERS = [("1-URGENT", "Enterprise"), ("2-HIGH", "Pro"), ("3-MEDIUM", "Pro")]  # else 'Basic'
-REASONS = [(0, "pricing"), (1, "support"), (2, "features"), (3, "budget"), (4, "competitor")]  # else 'unknown'
-PRIORITIES = [("error", "urgent"), ("purchase", "high"), ("click", "medium")]  # else 'low'
-
-
-def fx_accounts(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
-        _id("A-", k).alias("account_id"),
-        F.col("c_name").alias("account_name"),
-        F.col("c_mktsegment").alias("industry"),
-        F.col("n_name").alias("country"),
-        _days_after("1995-01-01", (k * 7919) % 2526).alias("signup_date"),
-        _case(k % 5, REFERRALS, "other").alias("referral_source"),
-        _case(k % 3, ACCOUNT_TIERS, "Enterprise").alias("plan_tier"),
-        (1 + k % 200).cast("int").alias("seats"),
-        (k % 6 == 0).alias("is_trial"),
-        _null_if(k % 40 == 3, k % 5 == 2, "boolean").alias("churn_flag"),
-    )
-
-
-def fx_subscriptions(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("date")
-    mrr = F.floor(F.col("o_totalprice") / 100).cast("bigint")
-    finished = F.col("o_orderstatus") == "F"
-    return orders.select(
-        _id("S-", k).alias("subscription_id"),
-        F.when(k % 211 == 7, F.lit(None).cast("string"))
-        .when(k % 113 == 5, F.lit("A-orphan"))
-        .otherwise(_id("A-", F.col("o_custkey"))).alias("account_id"),
-        start.alias("start_date"),
-        F.when(finished, F.date_add(start, (15 + k % 400).cast("int"))).alias("end_date"),
-        _case(F.col("o_orderpriority"), ORDER_TIERS, "Basic").alias("plan_tier"),
-        (1 + k % 200).cast("int").alias("seats"),
-        mrr.alias("mrr_amount"),
-        (F.lit(12).cast("bigint") * mrr).alias("arr_amount"),
-        (k % 8 == 0).alias("is_trial"),
-        (k % 10 == 1).alias("upgrade_flag"),
-        (k % 23 == 2).alias("downgrade_flag"),
-        (finished & (k % 4 != 3)).alias("churn_flag"),
-        F.when(k % 3 == 0, "annual").otherwise("monthly").alias("billing_frequency"),
-        (k % 5 != 0).alias("auto_renew_flag"),
-    )
-
-
-def fx_churn_events(orders: DataFrame) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return orders.filter((F.col("o_orderstatus") == "F") & (c % 5 == 2)).select(
-        _id("C-", k).alias("churn_event_id"),
-        _id("A-", c).alias("account_id"),
-        _days_after("1995-01-01", (c * 7919) % 2526 + k % 500 - 10).alias("churn_date"),
-        _case(k % 6, REASONS, "unknown").alias("reason_code"),
-        _null_if(k % 9 == 0, (k % 500).cast("double") / 4, "double").alias("refund_amount_usd"),
-        (k % 10 == 1).alias("preceding_upgrade_flag"),
-        (k % 23 == 2).alias("preceding_downgrade_flag"),
-        (k % 12 == 0).alias("is_reactivation"),
-        F.when(k % 2 == 0, F.col("o_orderpriority")).alias("feedback_text"),
-    )
-
-
-def fx_feature_usage(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    o = orders.select("o_orderkey", "o_custkey").filter(F.col("o_custkey") % 50 != 7)
-    j = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "inner").filter(
-        F.col("l_linenumber") <= 1 + F.col("o_custkey") % 7
-    )
-    feat = F.col("l_partkey") % (1 + F.col("o_custkey") % 12)
-    return j.select(
-        F.concat(F.lit("U-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("usage_id"),
-        F.when(F.col("l_partkey") % 331 == 9, F.lit(None).cast("string"))
-        .otherwise(_id("S-", F.col("l_orderkey"))).alias("subscription_id"),
-        F.col("l_shipdate").cast("date").alias("usage_date"),
-        F.concat(F.lit("feature_"), feat.cast("string")).alias("feature_name"),
-        F.when(F.col("l_linenumber") == 7, F.lit(0).cast("bigint"))
-        .otherwise(F.col("l_quantity").cast("bigint")).alias("usage_count"),
-        F.floor(F.col("l_extendedprice") / 10).cast("bigint").alias("usage_duration_secs"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0)
-        .cast("int").alias("error_count"),
-        (feat >= 10).alias("is_beta_feature"),
-    )
-
-
-def fx_support_tickets(events: DataFrame) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    submitted = F.col("ts").cast("timestamp") - F.make_dt_interval(days=(8200 + e % 700).cast("int"))
-    closed_ok = e % 11 != 0
-    quarters = F.round(F.col("value") * 4)
-    return events.select(
-        _id("T-", e).alias("ticket_id"),
-        F.when(e % 97 == 0, F.lit(None).cast("string")).otherwise(_id("A-", u)).alias("account_id"),
-        submitted.alias("submitted_at"),
-        F.when(closed_ok, submitted + F.make_dt_interval(mins=(quarters.cast("int") * 15))).alias("closed_at"),
-        F.when(closed_ok, quarters / 4).alias("resolution_time_hours"),
-        _case(F.col("event_type"), PRIORITIES, "low").alias("priority"),
-        (e % 240).cast("int").alias("first_response_time_minutes"),
-        F.when(e % 5 != 0, F.least(F.lit(5), 1 + u % 5 + e % 2).cast("int")).alias("satisfaction_score"),
-        ((F.col("event_type") == "error") & (u % 3 == 0)).alias("escalation_flag"),
-    )
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _SOURCES.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
+
+
+def forget_sources(spark: SparkSession) -> None:
+    """Drop the resolved sources of ``spark`` (re-list the files on next use)."""
+    _SOURCES.pop(spark, None)
+
+
+# The mapping of FIXTURES.md §3 -- one SQL text per input that runs
+# unchanged in Spark and in DuckDB (the oracle uses the same text). ``{name}``
+# marks a driver table, bound to a DataFrame by ``spark.sql(text, name=df)``.
+MAPPING_SQL: dict[str, str] = {
+    "accounts": """
+SELECT 'A-' || c_custkey AS account_id, c_name AS account_name, c_mktsegment AS industry, n_name AS country,
+       DATE '1995-01-01' + CAST((c_custkey * 7919) % 2526 AS INT) AS signup_date,
+       CASE c_custkey % 5 WHEN 0 THEN 'organic' WHEN 1 THEN 'ads' WHEN 2 THEN 'event' WHEN 3 THEN 'partner' ELSE 'other' END AS referral_source,
+       CASE c_custkey % 3 WHEN 0 THEN 'Basic' WHEN 1 THEN 'Pro' ELSE 'Enterprise' END AS plan_tier,
+       CAST(1 + c_custkey % 200 AS INT) AS seats,
+       c_custkey % 6 = 0 AS is_trial,
+       CASE WHEN c_custkey % 40 = 3 THEN CAST(NULL AS BOOLEAN) ELSE c_custkey % 5 = 2 END AS churn_flag
+FROM {customer} LEFT JOIN {nation} ON c_nationkey = n_nationkey""",
+    "subscriptions": """
+SELECT 'S-' || o_orderkey AS subscription_id,
+       CASE WHEN o_orderkey % 211 = 7 THEN CAST(NULL AS STRING) WHEN o_orderkey % 113 = 5 THEN 'A-orphan' ELSE 'A-' || o_custkey END AS account_id,
+       CAST(o_orderdate AS DATE) AS start_date,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(15 + o_orderkey % 400 AS INT) END AS end_date,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'Enterprise' WHEN '2-HIGH' THEN 'Pro' WHEN '3-MEDIUM' THEN 'Pro' ELSE 'Basic' END AS plan_tier,
+       CAST(1 + o_orderkey % 200 AS INT) AS seats,
+       CAST(floor(o_totalprice / 100) AS BIGINT) AS mrr_amount,
+       12 * CAST(floor(o_totalprice / 100) AS BIGINT) AS arr_amount,
+       o_orderkey % 8 = 0 AS is_trial, o_orderkey % 10 = 1 AS upgrade_flag, o_orderkey % 23 = 2 AS downgrade_flag,
+       o_orderstatus = 'F' AND o_orderkey % 4 <> 3 AS churn_flag,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'annual' ELSE 'monthly' END AS billing_frequency,
+       o_orderkey % 5 <> 0 AS auto_renew_flag
+FROM {orders}""",
+    "churn_events": """
+SELECT 'C-' || o_orderkey AS churn_event_id, 'A-' || o_custkey AS account_id,
+       DATE '1995-01-01' + CAST((o_custkey * 7919) % 2526 + o_orderkey % 500 - 10 AS INT) AS churn_date,
+       CASE o_orderkey % 6 WHEN 0 THEN 'pricing' WHEN 1 THEN 'support' WHEN 2 THEN 'features' WHEN 3 THEN 'budget' WHEN 4 THEN 'competitor' ELSE 'unknown' END AS reason_code,
+       CASE WHEN o_orderkey % 9 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(o_orderkey % 500 AS DOUBLE) / 4 END AS refund_amount_usd,
+       o_orderkey % 10 = 1 AS preceding_upgrade_flag, o_orderkey % 23 = 2 AS preceding_downgrade_flag,
+       o_orderkey % 12 = 0 AS is_reactivation,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS feedback_text
+FROM {orders} WHERE o_orderstatus = 'F' AND o_custkey % 5 = 2""",
+    "feature_usage": """
+SELECT 'U-' || l_orderkey || '-' || l_linenumber AS usage_id,
+       CASE WHEN l_partkey % 331 = 9 THEN CAST(NULL AS STRING) ELSE 'S-' || l_orderkey END AS subscription_id,
+       CAST(l_shipdate AS DATE) AS usage_date,
+       'feature_' || (l_partkey % (1 + o_custkey % 12)) AS feature_name,
+       CASE WHEN l_linenumber = 7 THEN CAST(0 AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END AS usage_count,
+       CAST(floor(l_extendedprice / 10) AS BIGINT) AS usage_duration_secs,
+       CAST(CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END AS INT) AS error_count,
+       l_partkey % (1 + o_custkey % 12) >= 10 AS is_beta_feature
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+WHERE l_linenumber <= 1 + o_custkey % 7 AND o_custkey % 50 <> 7""",
+    "support_tickets": """
+SELECT 'T-' || event_id AS ticket_id,
+       CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) ELSE 'A-' || user_id END AS account_id,
+       CAST(ts AS TIMESTAMP) - CAST(8200 + event_id % 700 AS INT) * INTERVAL '1' DAY AS submitted_at,
+       CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS TIMESTAMP) - CAST(8200 + event_id % 700 AS INT) * INTERVAL '1' DAY + CAST(round(value * 4) AS INT) * INTERVAL '15' MINUTE END AS closed_at,
+       CASE WHEN event_id % 11 <> 0 THEN round(value * 4) / 4 END AS resolution_time_hours,
+       CASE event_type WHEN 'error' THEN 'urgent' WHEN 'purchase' THEN 'high' WHEN 'click' THEN 'medium' ELSE 'low' END AS priority,
+       CAST(event_id % 240 AS INT) AS first_response_time_minutes,
+       CASE WHEN event_id % 5 <> 0 THEN CAST(least(5, 1 + user_id % 5 + event_id % 2) AS INT) END AS satisfaction_score,
+       event_type = 'error' AND user_id % 3 = 0 AS escalation_flag
+FROM {events}""",
+}
+
+MAPPING_SOURCES: dict[str, list[str]] = {
+    "accounts": ["customer", "nation"],
+    "subscriptions": ["orders"],
+    "churn_events": ["orders"],
+    "feature_usage": ["lineitem", "orders"],
+    "support_tickets": ["events"],
+}
+
+
+def map_input(spark: SparkSession, name: str, tables: Callable[[str], DataFrame]) -> DataFrame:
+    """One bronze input from the driver tables (projection, filters, one join at most)."""
+    return spark.sql(MAPPING_SQL[name], **{t: tables(t) for t in MAPPING_SOURCES[name]})
+
+
+def mapping_text(name: str) -> str:
+    """The mapping with the driver tables named plainly (for SQL engines with views)."""
+    return MAPPING_SQL[name].format(**{t: t for t in MAPPING_SOURCES[name]})
 
 
 BRONZE_TABLES = ["accounts", "subscriptions", "churn_events", "feature_usage", "support_tickets"]
@@ -183,21 +156,10 @@ class Bronze:
 def load_bronze(spark: SparkSession, sf_dir: str, ctx: RunContext | None = None) -> Bronze:
     """Bronze inputs derived from the driver tables under ``sf_dir`` (lazily)."""
     ctx = ctx or RunContext.pinned()
-    reads: dict[str, DataFrame] = {}
-
-    def t(name: str) -> DataFrame:  # each driver table is resolved once per pipeline
-        if name not in reads:
-            reads[name] = read_table(spark, sf_dir, name)
-        return reads[name]
-
-    builders = {
-        "accounts": lambda: fx_accounts(t("customer"), t("nation")),
-        "subscriptions": lambda: fx_subscriptions(t("orders")),
-        "churn_events": lambda: fx_churn_events(t("orders")),
-        "feature_usage": lambda: fx_feature_usage(t("lineitem"), t("orders")),
-        "support_tickets": lambda: fx_support_tickets(t("events")),
-    }
-    return Bronze(factory=lambda name: builders[name]().withColumn(STAMP, ctx.stamp()))
+    def t(name: str) -> DataFrame:
+        return read_table(spark, sf_dir, name)
+
+    return Bronze(factory=lambda name: map_input(spark, name, t).withColumn(STAMP, ctx.stamp()))
 
 
 # Stamps of the three subscription batches (FIXTURES.md §4).
