@@ -93,13 +93,29 @@ def test_as_of(spark):
     assert H.as_of(hist, "2001-09-01 00:00:00").count() == 0
 
 
-def test_history_store_writes_new_versions(spark):
+def test_history_store_appends_closed_versions_and_keeps_states(spark):
     store = H.HistoryStore(spark, scratch_path(spark, "test-history"))
     assert store.read() is None
-    first = store.apply(spark.createDataFrame([row("S-1")], SCHEMA), T1)
-    p1 = store.current_path()
-    second = store.apply(spark.createDataFrame([row("S-1", seats=7, stamp=T2)], SCHEMA), T2)
-    p2 = store.current_path()
-    assert p1 != p2
-    assert first.count() == 1 and second.count() == 2
-    assert spark.read.parquet(p1).count() == 1  # the previous version is untouched
+    store.apply(spark.createDataFrame([row("S-1"), row("S-2")], SCHEMA), T1)
+    seq1, dirs1 = store.state()
+    assert seq1 == 1 and len(dirs1) == 1
+    data = lambda: spark.read.parquet(store._data())
+    second = store.apply(spark.createDataFrame([row("S-1", seats=7, stamp=T2), row("S-2", stamp=T2)], SCHEMA), T2)
+    seq2, dirs2 = store.state()
+    assert seq2 == 2 and dirs2[:1] == dirs1 and len(dirs2) == 2
+    assert second.count() == 3
+    closed_by_second = data().filter((F.col("merge") == dirs2[1]) & ~F.col("_open"))
+    assert closed_by_second.count() == 1                          # only the version this batch closed
+    assert data().filter(F.col("merge") == dirs1[0]).count() == 2  # the first merge is never rewritten
+    # a batch without changes closes nothing and keeps the same rows
+    third = store.apply(spark.createDataFrame([row("S-1", seats=7, stamp=T3), row("S-2", stamp=T3)], SCHEMA), T3)
+    seq3, dirs3 = store.state()
+    assert seq3 == 3 and data().filter((F.col("merge") == dirs3[2]) & ~F.col("_open")).count() == 0
+    cols = H.HISTORY_COLUMNS
+    assert third.select(cols).exceptAll(second.select(cols)).count() == 0
+    assert second.select(cols).exceptAll(third.select(cols)).count() == 0
+    # the same history as the in-memory fold
+    b = [spark.createDataFrame([row("S-1"), row("S-2")], SCHEMA),
+         spark.createDataFrame([row("S-1", seats=7, stamp=T2), row("S-2", stamp=T2)], SCHEMA)]
+    folded = H.merge_batch(H.open_versions(b[0], T1), b[1], T2)
+    assert folded.select(cols).exceptAll(second.select(cols)).count() == 0

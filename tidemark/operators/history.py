@@ -7,9 +7,10 @@ that are stored but not checked (end date, trial flag, billing frequency,
 start date, stamp) keep the values of the row that opened the version.
 
 Each merge is one full outer join of the batch with the *open* versions on
-the unique key; closed versions pass through untouched. On storage, every
-merge result is written to a fresh location and a pointer is switched, so a
-history is never read and overwritten in place.
+the unique key; closed versions pass through untouched. On storage
+(:class:`HistoryStore`) closed versions are appended once and never
+rewritten, only the open set is rewritten per batch, and states are tracked
+in an append-only log, so a history is never read and overwritten in place.
 """
 
 from __future__ import annotations
@@ -107,35 +108,72 @@ def as_of(history: DataFrame, ts: dt.datetime | str) -> DataFrame:
 
 
 class HistoryStore:
-    """A history kept as immutable versions under ``root``.
-
-    Every merge writes the full new history to ``root/v-<uuid>`` and then a
-    one-line pointer table ``root/_current`` naming it. Readers follow the
-    pointer; an interrupted merge leaves the previous version current.
+    """A history kept under ``root`` so that each batch costs O(open versions + batch).
+
+    Layout:
+
+    * ``root/data`` -- one append-only table partitioned by ``merge`` (one id
+      per applied batch) and ``_open``. ``_open=false`` holds the versions
+      that merge closed -- the history's bulk, growing by appends only;
+      ``_open=true`` every version still open after that merge. A partition
+      is written once and never rewritten.
+    * ``root/log`` -- append-only text table of states, one line
+      ``<seq>|<position>|<merge id>`` per merge of that state.
+
+    The history of a state is the closed part of all its merges plus the
+    open part of the newest one; partition pruning reads only those files. A
+    merge joins the batch with the current open versions only (one full
+    outer join on the key), appends its result, and then appends the new
+    state to the log. Nothing is read and overwritten in place; if a job dies
+    before the log append, the previous state stays current and the orphaned
+    merge partition is never read.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
-    def _pointer(self) -> str:
-        return f"{self.root}/_current"
+    def _log(self) -> str:
+        return f"{self.root}/log"
+
+    def _data(self) -> str:
+        return f"{self.root}/data"
 
-    def current_path(self) -> str | None:
+    def state(self) -> tuple[int, list[str]] | None:
+        """(sequence, merge ids oldest first) of the latest state, or None when empty."""
         try:
-            row = self.spark.read.text(self._pointer()).first()
-        except Exception:  # noqa: BLE001 -- no history yet
+            parts = F.split(F.col("value"), r"\|")
+            lines = self.spark.read.text(self._log()).select(
+                parts.getItem(0).cast("long").alias("seq"), parts.getItem(1).cast("int").alias("pos"),
+                parts.getItem(2).alias("merge"))
+            latest = lines.filter(F.col("seq") == lines.select(F.max("seq")).scalar())
+            rows = latest.orderBy("pos").collect()  # one line per merge: metadata only
+        except Exception:  # noqa: BLE001 -- no log yet
             return None
-        return row[0] if row else None
+        return (rows[0].seq, [r.merge for r in rows]) if rows else None
+
+    def _versions(self, merges: list[str], open_from: str | None) -> DataFrame:
+        """Closed versions of ``merges`` plus the open versions of merge ``open_from``."""
+        data = self.spark.read.format(self.fmt).load(self._data())
+        closed = F.col("merge").isin(merges) & (F.col("_open") == F.lit(False))
+        wanted = closed | ((F.col("merge") == F.lit(open_from)) & F.col("_open")) if open_from else closed
+        return data.filter(wanted).select(*HISTORY_COLUMNS)
 
     def read(self) -> DataFrame | None:
-        path = self.current_path()
-        return self.spark.read.format(self.fmt).load(path) if path else None
+        st = self.state()
+        return self._versions(st[1], st[1][-1]) if st else None
 
     def apply(self, batch: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
-        prev = self.read()
-        new = open_versions(batch, batch_ts) if prev is None else merge_batch(prev, batch, batch_ts)
-        path = f"{self.root}/v-{uuid.uuid4().hex}"
-        new.write.format(self.fmt).mode("error").save(path)
-        self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer())
-        return self.spark.read.format(self.fmt).load(path)
+        st = self.state()
+        seq, merges = st if st else (0, [])
+        if merges:
+            current = self._versions([], merges[-1])
+            merged = merge_batch(current, batch, batch_ts)
+        else:
+            merged = open_versions(batch, batch_ts)
+        merge_id = "m" + uuid.uuid4().hex  # never parsed as a number by partition discovery
+        merged.withColumns({"merge": F.lit(merge_id), "_open": F.col("valid_to").isNull()}) \
+            .write.format(self.fmt).mode("append").partitionBy("merge", "_open").save(self._data())
+        merges = merges + [merge_id]
+        self.spark.createDataFrame([(f"{seq + 1}|{i}|{m}",) for i, m in enumerate(merges)], "value string") \
+            .coalesce(1).write.mode("append").text(self._log())
+        return self.read()

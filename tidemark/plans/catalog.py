@@ -110,6 +110,17 @@ def subscription_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("snap_subscriptions_scd2", "SELECT * FROM h_history")(subscription_history)
 
 
+@register("snap_subscriptions_stored", "SELECT * FROM h_history")
+def subscription_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three batches applied through the persistent store (one write per batch)."""
+    from tidemark.context import scratch_path  # noqa: PLC0415
+
+    store = H.HistoryStore(spark, scratch_path(spark, "history"))
+    for stamp, batch in subscription_batches(pipeline(spark, sf_dir).stg_subscriptions):
+        store.apply(batch, stamp)
+    return store.read()
+
+
 @register("snap_as_of", f"SELECT * FROM h_history WHERE valid_from <= TIMESTAMP '{AS_OF_PROBE}' "
                         f"AND (valid_to IS NULL OR valid_to > TIMESTAMP '{AS_OF_PROBE}')")
 def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
