@@ -84,12 +84,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for materialized tables and lineage cuts.
 
     Taken from the session's ``spark.checkpoint.dir`` (on a cluster it names a
-    shared file system). Only when it is unset -- as in a bare test session --
-    do we set our own.
+    shared file system). Only a local-mode session without one -- a bare test
+    session -- gets a folder of its own; on a cluster a machine-local folder
+    would not survive the loss of that machine, so it is an error instead.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on a shared file system")
         path = tempfile.mkdtemp(prefix="tidemark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
