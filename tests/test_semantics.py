@@ -58,7 +58,7 @@ def test_subscription_summary_equals_join_then_aggregate(spark):
         sub("S-3", "A-2", D(2000, 6, 1), D(2000, 9, 1), "Basic", 5, down=True),
         sub("S-4", "A-orphan", D(2000, 2, 1), None, "Basic", 7),
     ], SUBS)
-    fast = mid.subscription_summary(subs, accounts, CTX)
+    fast = mid.subscription_summary(subs, accounts)
     joined = mid.int_account_subscriptions(subs, accounts, CTX)
     a = F.col("is_active")
     slow = joined.groupBy("account_id").agg(

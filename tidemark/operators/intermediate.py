@@ -51,12 +51,40 @@ def int_account_subscriptions(stg_subscriptions: DataFrame, stg_accounts: DataFr
     return subs.join(accounts, "account_id", "left").select(*INT_SUBSCRIPTION_COLUMNS)
 
 
+LATEST_SUBSCRIPTION_COLUMNS = ["subscription_id", "start_date", "plan_tier", "mrr_amount", "arr_amount",
+                               "billing_frequency"]
+
+
+def subscription_rollup(stg_subscriptions: DataFrame) -> DataFrame:
+    """Everything the account models need from the subscriptions, in one aggregate per account.
+
+    The summary measures and the latest subscription (``max_by`` on start
+    date, then id) come from one pass: the subscription summary and the
+    churn enrichment both read this rollup, and since the plans are
+    identical Spark reuses its shuffle, so the subscriptions are scanned and
+    shuffled once for the whole account spine.
+    """
+    active = F.col("end_date").isNull()
+    latest = F.struct(*[F.col(c) for c in LATEST_SUBSCRIPTION_COLUMNS])
+    return stg_subscriptions.groupBy("account_id").agg(
+        F.count("subscription_id").alias("total_subscriptions"),
+        F.sum("mrr_amount").alias("total_mrr"),
+        F.sum("arr_amount").alias("total_arr"),
+        F.max("mrr_amount").alias("peak_mrr"),
+        count_if(active).alias("active_subscriptions"),
+        F.max(F.when(active, F.col("plan_tier"))).alias("current_plan_tier"),
+        F.max(F.when(active, F.col("mrr_amount"))).alias("current_mrr"),
+        F.bool_or("upgrade_flag").alias("ever_upgraded"),
+        F.bool_or("downgrade_flag").alias("ever_downgraded"),
+        F.max("start_date").alias("latest_subscription_start"),
+        F.max_by(latest, F.struct(F.col("start_date"), F.col("subscription_id"))).alias("_latest"),
+    )
+
+
 def latest_subscription(stg_subscriptions: DataFrame) -> DataFrame:
     """Most recently started subscription per account (ties: larger subscription_id)."""
-    return latest_per_key(
-        stg_subscriptions, "account_id", ["start_date", "subscription_id"],
-        ["subscription_id", "start_date", "plan_tier", "mrr_amount", "arr_amount", "billing_frequency"],
-    )
+    return subscription_rollup(stg_subscriptions).select(
+        "account_id", *[F.col(f"_latest.{c}").alias(c) for c in LATEST_SUBSCRIPTION_COLUMNS])
 
 
 def _churn_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,28 +239,14 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def subscription_summary(stg_subscriptions: DataFrame, stg_accounts: DataFrame,
-                         ctx: RunContext) -> DataFrame:
+def subscription_summary(stg_subscriptions: DataFrame, stg_accounts: DataFrame) -> DataFrame:
     """Per-account subscription rollup over ``int_account_subscriptions``.
 
     Aggregated straight from the subscriptions (combined map-side), then
     scaled by how many account rows each key has -- the fan-out the
     subscription/account left join would have produced (1 for orphans).
     """
-    subs = _with_activity(stg_subscriptions, ctx)
-    active = F.col("is_active")
-    per_account = subs.groupBy("account_id").agg(
-        F.count("subscription_id").alias("total_subscriptions"),
-        F.sum("mrr_amount").alias("total_mrr"),
-        F.sum("arr_amount").alias("total_arr"),
-        F.max("mrr_amount").alias("peak_mrr"),
-        count_if(active).alias("active_subscriptions"),
-        F.max(F.when(active, F.col("plan_tier"))).alias("current_plan_tier"),
-        F.max(F.when(active, F.col("mrr_amount"))).alias("current_mrr"),
-        F.bool_or("upgrade_flag").alias("ever_upgraded"),
-        F.bool_or("downgrade_flag").alias("ever_downgraded"),
-        F.max("start_date").alias("latest_subscription_start"),
-    )
+    per_account = subscription_rollup(stg_subscriptions)
     multiplicity = stg_accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
     k = F.coalesce(F.col("_k"), F.lit(1)).cast("bigint")
     scaled = {c: F.col(c) * k for c in ["total_subscriptions", "total_mrr", "total_arr", "active_subscriptions"]}

@@ -114,7 +114,7 @@ class Pipeline:
 
     @cached_property
     def subscription_summary(self) -> DataFrame:
-        return mid.subscription_summary(self.stg_subscriptions, self.stg_accounts, self.ctx)
+        return mid.subscription_summary(self.stg_subscriptions, self.stg_accounts)
 
     @cached_property
     def int_account_360(self) -> DataFrame:
