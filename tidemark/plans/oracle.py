@@ -15,6 +15,12 @@ from __future__ import annotations
 
 import re
 
+from tidemark.functions.rules import (
+    CUSTOMER_SEGMENTS,
+    RECOMMENDED_ACTIONS,
+    TENURE_BUCKETS,
+    TENURE_LIMITS_DAYS,
+)
 from tidemark.sources.fixtures import MAPPING_SOURCES, mapping_text
 
 AS_OF = "DATE '2001-12-01'"
@@ -39,6 +45,10 @@ def month(x: str) -> str:
     return f"CAST(date_trunc('month', CAST({x} AS TIMESTAMP)) AS TIMESTAMP)"
 
 
+def _sql_list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
 CTES: dict[str, str] = {}
 
 
@@ -214,19 +224,15 @@ SELECT account_id, account_name, industry, country,
        health_score, distinct_features_used, active_days, total_tickets, avg_satisfaction_score,
        escalation_rate_pct, ever_upgraded, ever_downgraded, signup_date, last_usage_date,
        idle_days AS days_since_last_activity,
-       ['Champion', 'Loyal', 'Promising', 'New Customer', 'At Risk – Downgraded', 'Hibernating',
-        'Critical – Likely to Churn', 'Needs Attention'][rule_no] AS customer_segment,
-       ['Upsell / Advocacy program', 'Nurture and expand', 'Onboarding check-in', 'Send welcome sequence',
-        'CSM outreach – retention offer', 'Re-engagement campaign', 'Urgent CSM intervention',
-        'Monitor and check in'][rule_no] AS recommended_action,
+       {_sql_list(CUSTOMER_SEGMENTS)}[rule_no] AS customer_segment,
+       {_sql_list(RECOMMENDED_ACTIONS)}[rule_no] AS recommended_action,
        {RUN_TS} AS updated_at
 FROM g_segments_base""")
+_TENURE_WHENS = " ".join(f"WHEN days_to_churn < {d} THEN '{b}'" for d, b in zip(TENURE_LIMITS_DAYS, TENURE_BUCKETS))
 cte("g_churn", f"""
 SELECT churn_event_id, account_id, account_name, industry, country, plan_tier_at_churn, billing_frequency,
        signup_date, churn_date, days_to_churn, {month('churn_date')} AS churn_month,
-       CASE WHEN days_to_churn < 30 THEN '< 1 month' WHEN days_to_churn < 90 THEN '1–3 months'
-            WHEN days_to_churn < 180 THEN '3–6 months' WHEN days_to_churn < 365 THEN '6–12 months'
-            ELSE '12+ months' END AS tenure_bucket,
+       CASE {_TENURE_WHENS} ELSE '{TENURE_BUCKETS[-1]}' END AS tenure_bucket,
        reason_code AS churn_reason, churn_path, preceding_upgrade_flag, preceding_downgrade_flag,
        is_reactivation, feedback_text,
        coalesce(mrr_at_churn, 0) AS mrr_lost, coalesce(arr_at_churn, 0) AS arr_lost,
