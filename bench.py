@@ -51,7 +51,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app_name="tidemark-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     results = {}
     for name in names:
         run_once(spark, name, sf_dir)  # warm-up

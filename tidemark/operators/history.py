@@ -60,10 +60,6 @@ def open_versions(batch: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
     )
 
 
-def empty_history(spark: SparkSession, like: DataFrame) -> DataFrame:
-    return open_versions(like, "1970-01-01 00:00:00").limit(0)
-
-
 def merge_batch(history: DataFrame, batch: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
     """Apply one batch to a history; returns the new history (lazy)."""
     ts = _ts(batch_ts)
