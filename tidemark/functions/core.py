@@ -67,4 +67,6 @@ def latest_per_key(
     payload = F.struct(*[F.col(c) for c in columns])
     ordering = F.struct(*[F.col(c) for c in order])
     picked = df.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_latest"))
+    if not prefix:
+        return picked.select(*keys, "_latest.*")
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(prefix + c) for c in columns])

@@ -83,8 +83,7 @@ def subscription_rollup(stg_subscriptions: DataFrame) -> DataFrame:
 
 def latest_subscription(stg_subscriptions: DataFrame) -> DataFrame:
     """Most recently started subscription per account (ties: larger subscription_id)."""
-    return subscription_rollup(stg_subscriptions).select(
-        "account_id", *[F.col(f"_latest.{c}").alias(c) for c in LATEST_SUBSCRIPTION_COLUMNS])
+    return subscription_rollup(stg_subscriptions).select("account_id", "_latest.*")
 
 
 def _churn_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> tuple[DataFrame, DataFrame]:
