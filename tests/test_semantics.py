@@ -126,3 +126,19 @@ def test_feature_usage_rollup_equals_distinct_aggregate(spark):
     a1 = fast.filter("account_id = 'A-1'").first()
     assert (a1.distinct_features_used, a1.beta_features_used, a1.top_feature, a1.active_days) == (3, 1, "f3", 3)
     assert fast.filter("account_id = 'A-2'").first().error_rate_pct is None
+
+
+def test_feature_adoption_monthly_preaggregation_equals_daily_averages(spark):
+    from tidemark.operators import gold
+    subs = spark.createDataFrame([sub("S-1", "A-1", D(2000, 1, 1), tier="Pro"),
+                                  sub("S-2", "A-2", D(2000, 1, 1), tier="Pro")], SUBS)
+    usage = spark.createDataFrame([
+        ("S-1", D(2001, 1, 1), "f1", 5, 100, 1, False),
+        ("S-1", D(2001, 1, 9), "f1", 8, None, 0, False),      # NULL duration: left out of its average
+        ("S-2", D(2001, 1, 3), "f1", 3, 50, 2, False),
+        ("S-2", D(2001, 2, 3), "f1", None, None, None, False),  # all-NULL month -> NULL averages
+    ], USAGE)
+    got = {(r.usage_month.month, r.active_accounts, r.total_usage_count, r.avg_usage_per_account,
+            r.avg_session_minutes, r.total_errors)
+           for r in gold.gold_feature_adoption(usage, subs, CTX).collect()}
+    assert got == {(1, 2, 16, 5.33, 1.25, 3), (2, 1, None, None, None, None)}

@@ -216,18 +216,35 @@ def mrr_trends_dense(int_subs: DataFrame, trends: DataFrame, ctx: RunContext) ->
 
 def gold_feature_adoption(stg_feature_usage: DataFrame, stg_subscriptions: DataFrame,
                           ctx: RunContext) -> DataFrame:
-    """Reach, volume, duration and errors per feature x month x plan tier x beta flag."""
+    """Reach, volume, duration and errors per feature x month x plan tier x beta flag.
+
+    Usage is daily per (subscription, feature); the report is monthly. The
+    daily rows are first summed per (subscription, feature, month, beta) --
+    map-side combined -- so the join with the subscriptions, and its shuffle,
+    see up to a month's worth fewer rows. Averages over the daily rows are
+    rebuilt exactly from sums and non-NULL counts, the way ``avg`` itself
+    accumulates them.
+    """
     c = F.col
-    u = usage_with_account(stg_feature_usage, stg_subscriptions, extra=["plan_tier"]) \
-        .withColumn("usage_month", month_start(c("usage_date")))
+    monthly = stg_feature_usage.withColumn("usage_month", month_start(c("usage_date"))).groupBy(
+        "subscription_id", "feature_name", "usage_month", "is_beta_feature"
+    ).agg(
+        F.sum("total_usage_count").alias("_count"),
+        F.count("total_usage_count").alias("_count_rows"),
+        F.sum("total_usage_duration_secs").alias("_secs"),
+        F.count("total_usage_duration_secs").alias("_secs_rows"),
+        F.sum("total_error_count").alias("_errors"),
+    )
+    u = usage_with_account(monthly, stg_subscriptions, extra=["plan_tier"])
+    total = F.sum("_count")
     return u.groupBy("feature_name", "usage_month", "plan_tier", "is_beta_feature").agg(
         F.countDistinct("account_id").alias("active_accounts"),
-        F.sum("total_usage_count").alias("total_usage_count"),
-        round2(F.avg("total_usage_count")).alias("avg_usage_per_account"),
-        round2(F.sum("total_usage_duration_secs") / 3600.0).alias("total_usage_hours"),
-        round2(F.avg("total_usage_duration_secs") / 60.0).alias("avg_session_minutes"),
-        F.sum("total_error_count").alias("total_errors"),
-        pct(F.sum("total_error_count"), F.sum("total_usage_count")).alias("error_rate_pct"),
+        total.alias("total_usage_count"),
+        round2(safe_divide(total.cast("double"), F.sum("_count_rows"))).alias("avg_usage_per_account"),
+        round2(F.sum("_secs") / 3600.0).alias("total_usage_hours"),
+        round2(safe_divide(F.sum("_secs").cast("double"), F.sum("_secs_rows")) / 60.0).alias("avg_session_minutes"),
+        F.sum("_errors").alias("total_errors"),
+        pct(F.sum("_errors"), total).alias("error_rate_pct"),
     ).withColumn("updated_at", ctx.stamp())
 
 
