@@ -5,12 +5,17 @@ Plan notes (scale):
 * Every "latest row per account" is an aggregate (``max_by``), combined
   map-side, so one account holding a large share of rows never lands whole in
   one task.
-* The subscription summary is aggregated *before* it meets the accounts; the
-  accounts contribute only their key multiplicity, so results equal the
+* The subscriptions are rolled up per account once (summary measures and the
+  latest subscription together); every consumer reads that same plan, so the
+  shuffle is reused. The summary meets the accounts only after aggregation,
+  through the accounts' key multiplicity, so results equal the
   join-then-aggregate form even if an account id were duplicated.
-* Churn enrichment joins the two per-account dimensions first (both ~one row
-  per account) and then the churn facts once, which leaves a single
-  left-outer join whose fact side AQE may split when a key is skewed.
+* Churn facts are enriched in one left join against the two per-account
+  dimensions (joined first), so AQE may split a skewed account on the fact
+  side. For the latest event per account the event is picked first, and the
+  one-row-per-account sides are joined on the same key without a shuffle.
+* The usage rollup pre-aggregates to (account, feature) and (account, day)
+  instead of three COUNT(DISTINCT)s over every daily row.
 * The spine joins five inputs that are all keyed (and hash-partitioned) on
   ``account_id``; Spark reuses that partitioning across the chain.
 """
