@@ -26,6 +26,7 @@ GOLD_MODELS = [
     "gold_support_performance",
     "gold_customer_segments",
 ]
+SPINE_READERS = ("gold_account_health_summary", "gold_customer_segments")
 SILVER_MODELS = ["stg_accounts", "stg_subscriptions", "stg_churn_events",
                  "stg_feature_usage", "stg_support_tickets"]
 INTERMEDIATE_MODELS = ["int_account_subscriptions", "int_account_churn", "int_account_support",
@@ -179,11 +180,11 @@ class Pipeline:
 
         With ``as_tables``, ``output_root`` is a database and each model is
         saved as the catalog table ``<database>.<model>`` (created if needed).
-        The spine is materialized once and shared by its two gold readers;
-        the gold tables are then independent and their write jobs are
-        submitted concurrently (``parallel_jobs`` driver threads), so small
-        jobs do not leave the executors idle. Each table is written in full
-        with overwrite; re-running is safe.
+        The spine is materialized once and shared by its two gold readers.
+        The write jobs are submitted concurrently (``parallel_jobs`` driver
+        threads), so small jobs do not leave the executors idle, and the
+        tables that do not read the spine overlap its materialization. Each
+        table is written in full with overwrite; re-running is safe.
         """
         from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
 
@@ -191,21 +192,24 @@ class Pipeline:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {output_root}")
         if not self.materialize_spine:
             self.materialize_spine = True
-            for n in ("int_account_360", "gold_account_health_summary", "gold_customer_segments"):
+            for n in ("int_account_360", *SPINE_READERS):
                 self.__dict__.pop(n, None)
         names = list(models or GOLD_MODELS)
-        if any(n in ("gold_account_health_summary", "gold_customer_segments") for n in names):
-            _ = self.int_account_360  # write the spine once, before its readers start
-        frames = {n: self.model(n) for n in names}
 
-        def write(name: str) -> tuple[str, str]:
+        def write(name: str, df: DataFrame) -> tuple[str, str]:
             if as_tables:
                 target = f"{output_root}.{name}"
-                frames[name].write.mode("overwrite").format(fmt).saveAsTable(target)
+                df.write.mode("overwrite").format(fmt).saveAsTable(target)
             else:
                 target = f"{output_root.rstrip('/')}/{name}"
-                write_table(frames[name], target, fmt=fmt)
+                write_table(df, target, fmt=fmt)
             return name, target
 
+        # Models are defined on this thread (plans only); the write jobs run on
+        # the pool. Tables that do not read the spine start at once, overlapping
+        # the spine's own write; its two readers follow as soon as it is stored.
         with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-            return dict(pool.map(write, names))
+            first = [pool.submit(write, n, self.model(n)) for n in names if n not in SPINE_READERS]
+            readers = [n for n in names if n in SPINE_READERS]
+            later = [pool.submit(write, n, self.model(n)) for n in readers]  # model() writes the spine first
+            return dict(f.result() for f in first + later)
