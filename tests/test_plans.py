@@ -90,3 +90,52 @@ def test_hot_account_is_split_by_adaptive_skew_join(spark):
     assert got["A-hot"] == (n // 3, sum(range(0, n, 3)))
     assert sum(v[0] for v in got.values()) == n
     assert "skew=true" in final.replace(" ", "") or "isSkewJoin=true" in final.replace(" ", ""), final[:2000]
+
+
+CHURN = ("churn_event_id string, account_id string, churn_date date, reason_code string, "
+         "refund_amount_usd double, preceding_upgrade_flag boolean, preceding_downgrade_flag boolean, "
+         "is_reactivation boolean, feedback_text string, ingestion_ts timestamp")
+
+
+def test_hot_account_in_churn_facts_is_split(spark):
+    """Churn facts meet both per-account dimensions in one join, so a hot account can be split."""
+    n = 30000
+    churn = spark.range(n).select(
+        F.concat(F.lit("C-"), F.col("id").cast("string")).alias("churn_event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("A-hot"))
+        .otherwise(F.concat(F.lit("A-"), (F.col("id") % 500).cast("string"))).alias("account_id"),
+        F.lit(dt.date(2001, 1, 1)).alias("churn_date"), F.lit("pricing").alias("reason_code"),
+        F.lit(1.0).alias("refund_amount_usd"), F.lit(False).alias("preceding_upgrade_flag"),
+        F.lit(False).alias("preceding_downgrade_flag"), F.lit(False).alias("is_reactivation"),
+        F.lit(None).cast("string").alias("feedback_text"), F.lit(None).cast("timestamp").alias("ingestion_ts"),
+    ).repartition(8)
+    accounts = spark.createDataFrame(
+        [(f"A-{i}", "n", None, None, dt.date(2000, 1, 1), None, "Pro", 1, False, False, None) for i in range(500)]
+        + [("A-hot", "hot", None, None, dt.date(2000, 1, 1), None, "Pro", 1, False, False, None)], ACCOUNTS)
+    subs = spark.createDataFrame(
+        [("S-1", "A-hot", dt.date(2000, 1, 1), None, "Enterprise", 1, 50, 600, False, False, False, False,
+          "annual", True, None)],
+        "subscription_id string, account_id string, start_date date, end_date date, plan_tier string, seats int, "
+        "mrr_amount bigint, arr_amount bigint, is_trial boolean, upgrade_flag boolean, downgrade_flag boolean, "
+        "churn_flag boolean, billing_frequency string, auto_renew_flag boolean, ingestion_ts timestamp")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = mid.int_account_churn(churn, accounts, subs).select("churn_event_id", "account_id", "mrr_at_churn")
+        rows = df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == n
+    assert sum(1 for r in rows if r.account_id == "A-hot" and r.mrr_at_churn == 50) == n // 3
+    assert "skew=true" in final.replace(" ", ""), final[:2000]
