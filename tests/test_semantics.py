@@ -142,3 +142,18 @@ def test_feature_adoption_monthly_preaggregation_equals_daily_averages(spark):
             r.avg_session_minutes, r.total_errors)
            for r in gold.gold_feature_adoption(usage, subs, CTX).collect()}
     assert got == {(1, 2, 16, 5.33, 1.25, 3), (2, 1, None, None, None, None)}
+
+
+def test_subscription_fanout_equals_account_join(spark):
+    accounts = spark.createDataFrame([acct("A-1"), acct("A-1"), acct("A-1"), acct("A-2")], ACCOUNTS)
+    subs = spark.createDataFrame([
+        sub("S-1", "A-1", D(2000, 1, 1)), sub("S-2", "A-2", D(2000, 2, 1)), sub("S-3", "A-orphan", D(2000, 3, 1)),
+    ], SUBS)
+    cols = [c for c in subs.columns if c != "ingestion_ts"]
+    joined = mid.int_account_subscriptions(subs, accounts, CTX).select(*cols)
+    for limit in (500_000, 0):  # broadcast path, shuffle path
+        fanned = mid.subscriptions_with_fanout(subs, accounts, broadcast_rows=limit).select(*cols)
+        assert same(fanned, joined), limit
+    assert mid.subscriptions_with_fanout(subs, accounts).filter("account_id = 'A-1'").count() == 3
+    plan = mid.subscriptions_with_fanout(subs, accounts)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -110,9 +110,13 @@ def gold_churn_analysis(int_churn: DataFrame, ctx: RunContext) -> DataFrame:
 
 # ---------------------------------------------------------------- recurring revenue
 
-def revenue_subscriptions(int_subs: DataFrame) -> DataFrame:
-    """Non-trial subscriptions (a NULL trial flag is excluded too)."""
-    return int_subs.filter(F.col("is_trial") == F.lit(False))
+def revenue_subscriptions(subs: DataFrame) -> DataFrame:
+    """Non-trial subscriptions (a NULL trial flag is excluded too).
+
+    ``subs`` is ``int_account_subscriptions`` or anything with its
+    subscription columns and rows (see ``subscriptions_with_fanout``).
+    """
+    return subs.filter(F.col("is_trial") == F.lit(False))
 
 
 def mrr_movements(int_subs: DataFrame) -> DataFrame:
@@ -176,6 +180,9 @@ def _spine_length(first: Column, ctx: RunContext) -> Column:
 def month_spine(int_subs: DataFrame, ctx: RunContext) -> DataFrame:
     """Month starts from the earliest (non-trial) subscription start up to the as-of date.
 
+    Only a minimum is needed, so the staging subscriptions can be passed
+    directly: the account join's repetitions do not change it.
+
     Counts ``floor(months_between(as_of, first))`` months past the first, so a
     first day later in its month than the as-of day drops the last month.
     """
@@ -193,8 +200,9 @@ MRR_MEASURES = ["new_mrr", "churned_mrr", "expansion_mrr", "contraction_mrr", "n
 def mrr_trends_dense(int_subs: DataFrame, trends: DataFrame, ctx: RunContext) -> DataFrame:
     """``gold_mrr_trends`` with zero rows for every spine month x plan tier.
 
-    The grid is generated per tier (the distinct tiers of revenue
-    subscriptions) from the spine bounds, which enter as one scalar
+    Like the spine it needs only a minimum and a distinct set, so the staging
+    subscriptions can be passed directly. The grid is generated per tier (the
+    distinct tiers of revenue subscriptions) from the spine bounds, which enter as one scalar
     subquery -- no cross join. Rows of the trend table outside the spine are
     kept (full outer join), so nothing is dropped.
     """

@@ -56,6 +56,28 @@ def int_account_subscriptions(stg_subscriptions: DataFrame, stg_accounts: DataFr
     return subs.join(accounts, "account_id", "left").select(*INT_SUBSCRIPTION_COLUMNS)
 
 
+# Largest set of duplicated account ids that is broadcast (two columns per row).
+FANOUT_BROADCAST_ROWS = 500_000
+
+
+def subscriptions_with_fanout(stg_subscriptions: DataFrame, stg_accounts: DataFrame,
+                              broadcast_rows: int = FANOUT_BROADCAST_ROWS) -> DataFrame:
+    """The subscription columns of ``int_account_subscriptions`` without its account join.
+
+    The left join with the accounts repeats a subscription once per account
+    row with its id (and keeps it once when there is none). Only ids that
+    occur more than once change anything, and those are normally few. They
+    are counted first (a size check): up to ``broadcast_rows`` they are
+    broadcast and the affected subscriptions repeated, so the subscriptions
+    are never shuffled for this; beyond it an ordinary shuffle join is used.
+    """
+    dup = stg_accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1)
+    side = F.broadcast(dup) if dup.count() <= broadcast_rows else dup
+    j = stg_subscriptions.join(side, "account_id", "left")
+    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_k"), F.lit(1)))))\
+        .drop("_k", "_copy")
+
+
 LATEST_SUBSCRIPTION_COLUMNS = ["subscription_id", "start_date", "plan_tier", "mrr_amount", "arr_amount",
                                "billing_frequency"]
 

@@ -140,9 +140,14 @@ class Pipeline:
     def gold_churn_analysis(self) -> DataFrame:
         return gold.gold_churn_analysis(self.int_account_churn, self.ctx)
 
+    @cached_property
+    def revenue_base(self) -> DataFrame:
+        """Subscription rows as the account join yields them, without shuffling for it."""
+        return mid.subscriptions_with_fanout(self.stg_subscriptions, self.stg_accounts)
+
     @cached_property
     def mrr_movements(self) -> DataFrame:
-        return gold.mrr_movements(self.int_account_subscriptions)
+        return gold.mrr_movements(self.revenue_base)
 
     @cached_property
     def mrr_movement_agg(self) -> DataFrame:
@@ -154,11 +159,11 @@ class Pipeline:
 
     @cached_property
     def month_spine(self) -> DataFrame:
-        return gold.month_spine(self.int_account_subscriptions, self.ctx)
+        return gold.month_spine(self.stg_subscriptions, self.ctx)
 
     @cached_property
     def mrr_trends_dense(self) -> DataFrame:
-        return gold.mrr_trends_dense(self.int_account_subscriptions, self.gold_mrr_trends, self.ctx)
+        return gold.mrr_trends_dense(self.stg_subscriptions, self.gold_mrr_trends, self.ctx)
 
     @cached_property
     def gold_feature_adoption(self) -> DataFrame:
