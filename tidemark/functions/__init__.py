@@ -1 +1 @@
-"""Package."""
+"""Column-level helpers and the fixed business-rule tables."""

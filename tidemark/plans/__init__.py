@@ -1 +1 @@
-"""Package."""
+"""Model graph, query catalogue, oracle SQL and verification."""
