@@ -29,3 +29,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "health_status" in df.columns
+
+
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                   "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_result_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SMALL)
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(entry.oracle_sql()[name])
+    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == oracle_types
