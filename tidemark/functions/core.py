@@ -70,3 +70,19 @@ def latest_per_key(
     if not prefix:
         return picked.select(*keys, "_latest.*")
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(prefix + c) for c in columns])
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """``UNION ALL BY NAME`` of many frames, combined pairwise.
+
+    A balanced tree instead of a left-deep chain: every union re-analyzes the
+    plan built so far, so pairing keeps plan construction near n log n.
+    Catalyst flattens the nested unions into one operator either way.
+    """
+    level = list(frames)
+    if not level:
+        raise ValueError("union_all needs at least one frame")
+    while len(level) > 1:
+        level = [level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i]
+                 for i in range(0, len(level), 2)]
+    return level[0]

@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.core import union_all
 from tidemark.functions.rules import CUSTOMER_SEGMENTS, HEALTH_STATUSES
 
 REPORT_COLUMNS = ["model", "column_name", "test", "failures", "status"]
@@ -174,10 +175,7 @@ def run_suite(models: Callable[[str], DataFrame], checks: Sequence[Check] = SUIT
             parts.append(relationship_count(c.model, df, c.column, models(c.args["to"]), c.args["field"]))
         elif c.test == "accepted_values":
             parts.append(accepted_values_count(c.model, df, c.column, c.args["values"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return _finish(out)
+    return _finish(union_all(parts))
 
 
 # ---------------------------------------------------------------- ad-hoc checks
@@ -194,15 +192,11 @@ BRONZE_KEYS = {
 
 def bronze_duplicates(bronze: dict[str, DataFrame]) -> DataFrame:
     """Duplicated key values in every bronze table: (table_name, key_value, n_records)."""
-    parts = [
+    return union_all([
         duplicate_groups(bronze[t], [k]).select(
             F.lit(t).alias("table_name"), F.col(k).alias("key_value"), "n_records")
         for t, k in BRONZE_KEYS.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ])
 
 
 USAGE_GRAIN = ["subscription_id", "usage_date", "feature_name"]

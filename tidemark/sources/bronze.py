@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
+from tidemark.functions.core import union_all
 from tidemark.sources.schemas import BRONZE_SCHEMAS, SOURCE_FILES, STAMP
 
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd",
@@ -99,10 +100,7 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
                                 F.explode(rows).alias("c"))
                      .select("table_name", "c.ordinal", "c.column_name", "c.data_type", "row_count",
                              "c.null_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts)
 
 
 def preview(df: DataFrame, order_by: str, n: int = 10) -> DataFrame:
