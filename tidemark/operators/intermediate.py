@@ -5,11 +5,13 @@ Plan notes (scale):
 * Every "latest row per account" is an aggregate (``max_by``), combined
   map-side, so one account holding a large share of rows never lands whole in
   one task.
-* The subscriptions are rolled up per account once (summary measures and the
-  latest subscription together); every consumer reads that same plan, so the
-  shuffle is reused. The summary meets the accounts only after aggregation,
-  through the accounts' key multiplicity, so results equal the
-  join-then-aggregate form even if an account id were duplicated.
+* The spine rolls the subscriptions up per account once (summary measures and
+  the latest subscription in one aggregate) and completes the churn columns
+  from that rollup and the account row, so it scans and shuffles the
+  subscriptions and the accounts once each (plus the accounts' key count).
+  The summary meets the accounts only after aggregation, through the
+  accounts' key multiplicity, so results equal the join-then-aggregate form
+  even if an account id were duplicated.
 * Churn facts are enriched in one left join against the two per-account
   dimensions (joined first), so AQE may split a skewed account on the fact
   side. For the latest event per account the event is picked first, and the
@@ -86,10 +88,9 @@ def subscription_rollup(stg_subscriptions: DataFrame) -> DataFrame:
     """Everything the account models need from the subscriptions, in one aggregate per account.
 
     The summary measures and the latest subscription (``max_by`` on start
-    date, then id) come from one pass: the subscription summary and the
-    churn enrichment both read this rollup, and since the plans are
-    identical Spark reuses its shuffle, so the subscriptions are scanned and
-    shuffled once for the whole account spine.
+    date, then id) come from one pass, so the account spine needs a single
+    scan and shuffle of the subscriptions. (Used alone, Catalyst prunes the
+    aggregates a consumer does not read.)
     """
     active = F.col("end_date").isNull()
     latest = F.struct(*[F.col(c) for c in LATEST_SUBSCRIPTION_COLUMNS])
@@ -265,18 +266,28 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def subscription_summary(stg_subscriptions: DataFrame, stg_accounts: DataFrame) -> DataFrame:
+def subscription_summary(stg_subscriptions: DataFrame, stg_accounts: DataFrame,
+                         keep_latest: bool = False) -> DataFrame:
     """Per-account subscription rollup over ``int_account_subscriptions``.
 
     Aggregated straight from the subscriptions (combined map-side), then
     scaled by how many account rows each key has -- the fan-out the
     subscription/account left join would have produced (1 for orphans).
+    With ``keep_latest`` the latest subscription (struct ``_latest``) is kept
+    too, so the spine needs no second pass over the subscriptions.
     """
     per_account = subscription_rollup(stg_subscriptions)
     multiplicity = stg_accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
     k = F.coalesce(F.col("_k"), F.lit(1)).cast("bigint")
     scaled = {c: F.col(c) * k for c in ["total_subscriptions", "total_mrr", "total_arr", "active_subscriptions"]}
-    return per_account.join(multiplicity, "account_id", "left").withColumns(scaled).select(*SUMMARY_COLUMNS)
+    cols = SUMMARY_COLUMNS + (["_latest"] if keep_latest else [])
+    return per_account.join(multiplicity, "account_id", "left").withColumns(scaled).select(*cols)
+
+
+def latest_churn_event(stg_churn_events: DataFrame) -> DataFrame:
+    """The latest churn event per account (ties: larger churn_event_id), not yet enriched."""
+    return latest_per_key(stg_churn_events, "account_id", ["churn_date", "churn_event_id"],
+                          _CHURN_EVENT_COLUMNS)
 
 
 ACCOUNT_360_COLUMNS = [
@@ -294,16 +305,25 @@ ACCOUNT_360_COLUMNS = [
 ]
 
 
-def int_account_360(stg_accounts: DataFrame, summary: DataFrame, churn_latest: DataFrame,
+def int_account_360(stg_accounts: DataFrame, summary: DataFrame, churn_event: DataFrame,
                     support: DataFrame, usage: DataFrame) -> DataFrame:
-    """The account spine: accounts left-joined to four one-row-per-account rollups."""
+    """The account spine: accounts left-joined to four one-row-per-account rollups.
+
+    ``summary`` must carry the latest subscription (``keep_latest=True``) and
+    ``churn_event`` is the latest churn event per account. The churn columns
+    are completed here from the account row itself (tenure at churn) and
+    from the summary (revenue of the latest subscription), which equals
+    enriching every event first and then picking the latest, without a
+    second pass over accounts and subscriptions.
+    """
     accounts = stg_accounts.select(
         "account_id", "account_name", "industry", "country", "signup_date", "referral_source",
         F.col("plan_tier").alias("original_plan_tier"), "seats", "is_trial", "churn_flag",
     )
-    churn = churn_latest.select(
-        "account_id", "churn_date", F.col("reason_code").alias("churn_reason"), "refund_amount_usd",
-        "churn_path", "days_to_churn", "mrr_at_churn",
+    churn = churn_event.select(
+        "account_id", F.col("churn_event_id").alias("_event"), "churn_date",
+        F.col("reason_code").alias("churn_reason"), "refund_amount_usd",
+        F.col("preceding_upgrade_flag").alias("_up"), F.col("preceding_downgrade_flag").alias("_down"),
     )
     tickets = support.select("account_id", "total_tickets", "avg_resolution_time_hours",
                              "avg_satisfaction_score", "escalation_rate_pct", "last_ticket_date")
@@ -318,8 +338,12 @@ def int_account_360(stg_accounts: DataFrame, summary: DataFrame, churn_latest: D
              "distinct_features_used": "_features", "total_usage_count": "_usage",
              "total_error_count": "_errors", "error_rate_pct": "_err_rate",
              "beta_features_used": "_beta", "active_days": "_days"}), "account_id", "left"))
+    churned = F.col("_event").isNotNull()
     zero = F.lit(0)
     filled = {
+        "churn_path": F.when(churned, churn_path(F.col("_down"), F.col("_up"))),
+        "days_to_churn": F.datediff("churn_date", "signup_date"),
+        "mrr_at_churn": F.when(churned, F.col("_latest.mrr_amount")),
         "total_tickets": F.coalesce("_tickets", zero).cast("bigint"),
         "escalation_rate_pct": F.coalesce(F.col("_esc"), F.lit(0.0)),
         "distinct_features_used": F.coalesce("_features", zero).cast("bigint"),

@@ -119,8 +119,11 @@ class Pipeline:
 
     @cached_property
     def int_account_360(self) -> DataFrame:
-        df = mid.int_account_360(self.stg_accounts, self.subscription_summary, self.latest_churn,
-                                 self.int_account_support, self.int_account_feature_usage)
+        df = mid.int_account_360(
+            self.stg_accounts,
+            mid.subscription_summary(self.stg_subscriptions, self.stg_accounts, keep_latest=True),
+            mid.latest_churn_event(self.stg_churn_events),
+            self.int_account_support, self.int_account_feature_usage)
         if self.materialize_spine:
             path = scratch_path(self.spark, "int_account_360")
             write_table(df, path)
