@@ -33,3 +33,12 @@ def test_path_run_materializes_spine_once(spark):
     assert p.materialize_spine
     health = spark.read.parquet(out["gold_account_health_summary"])
     assert health.count() == p.stg_accounts.count()
+
+
+def test_scratch_output_lives_under_the_sessions_checkpoint_dir(spark):
+    from tidemark.context import shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark) == configured
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(configured.rstrip("/")) and a != b  # fresh location per call
