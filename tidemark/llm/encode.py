@@ -2,57 +2,157 @@
 
 The ids of a text are exactly those of ``Tokenizer.encode``. For the two
 vocabularies whose pre-tokenizer never joins a non-space character to the
-white space after it, a text falls apart into units (a word with the white
-space before it, or a bare word) that encode independently; each distinct
-unit is encoded once and looked up afterwards. Any other tokenizer, and any
-text with the separators U+001C..U+001F (white space to Python, not to the
-tokenizer), is encoded whole.
+white space after it, nor a letter to the full stops and commas that end a
+word, a text falls apart into units that encode independently: words led by
+their white space (``space_led``) or bare words (``bare``). Each distinct unit
+is encoded once and looked up afterwards. Any other tokenizer (``whole``), and
+any text with the separators U+001C..U+001F (white space to Python, not to
+the tokenizer), is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-SPACE_LED = re.compile(r"\s*\S+|\s+")  # white space before a word belongs to it
-BARE = re.compile(r"\S+")              # white space is dropped
+FIRST = "\x1f"  # marks the first unit of a text, which has no white space before it
 ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
-UNITS = {"space_led": SPACE_LED, "bare": BARE, "whole": None}
+UNEVEN_SPACE = re.compile(r"\s[ \n]")
+WORD_WITH_SPACE = re.compile(r"\s*\S+|\s+")
+
+
+def space_led(text: str) -> list[str]:
+    """Units of a text: ``word`` stands for the word after one space, any other white space is spelled out."""
+    if UNEVEN_SPACE.search(text):
+        out = WORD_WITH_SPACE.findall(text)
+        return [FIRST + out[0], *(u[1:] if u[0] == " " and len(u) > 1 and not u[1].isspace() else FIRST + u for u in out[1:])]
+    out = text.replace("\n", " \n").split(" ")  # a unit that begins with a line end has no space before it
+    out[0] = FIRST + out[0]
+    return out
+
+
+def spelled(unit: str) -> str:
+    return unit[1:] if unit[:1] == FIRST else unit if unit[:1] == "\n" else " " + unit
+
+
+def byte_characters() -> dict[int, int]:
+    """Byte -> printable character, the rule of byte-level vocabularies: printable bytes stand for themselves."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
+    others = (b for b in range(256) if b not in set(printable))
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = byte_characters()
+
+
+def byte_level(word: str) -> str:
+    return word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+
+
+def lower_byte_level(word: str) -> str:
+    return byte_level(word.lower())
+
+
+def is_plain(word: str) -> bool:
+    """A word of Latin letters in normal form: one piece to either pre-tokenizer."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)
+                                                   and word.lower().isalpha()))
+
+
+# How to split a text into units, what a unit stands for, and what a plain word is to the model.
+SPLIT = {"space_led": (space_led, spelled, lambda w: byte_level(" " + w)), "bare": (str.split, str, lower_byte_level),
+         "whole": (None, None, None)}
 
 
 class UnitEncoder:
     """Encodes texts to little-endian uint32 bytes; keeps at most ``limit`` units between calls."""
 
-    def __init__(self, path: str, units: str = "whole", limit: int = 300_000):
+    def __init__(self, path: str, units: str = "whole", limit: int = 800_000):
         from tokenizers import Tokenizer  # noqa: PLC0415 -- loaded in the tasks
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern = UNITS[units]
+        self.split, self.spelled, self.for_model = SPLIT[units]
+        self.model = self.tok.model
         self.limit = limit
         self.known: dict[str, bytes] = {}
+        # A second instance reads its last special token as a mark between units: one call encodes them all.
+        self.marked = Tokenizer.from_file(path)
+        special = [(i, t.content) for i, t in self.marked.get_added_tokens_decoder().items() if t.special]
+        self.mark_id, self.mark = max(special, default=(None, None))
+        self.specials = [t for _, t in special]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit. Plain words go straight to the vocabulary's model; where another
+        unit spells a special token, those others are encoded one by one."""
+        plain = [u for u in units if is_plain(u)]
+        if len(plain) < len(units):
+            rest = [u for u in units if not is_plain(u)]
+            known = dict(zip(rest, self._encode_spelled([self.spelled(u) for u in rest])))
+        tokenize, words, ids, ends = self.model.tokenize, map(self.for_model, plain), [], [0]
+        for w in words:
+            ids += [t.id for t in tokenize(w)]
+            ends.append(4 * len(ids))
+        coded = np.asarray(ids, dtype="<u4").tobytes()
+        out = [coded[a:b] for a, b in zip(ends, ends[1:])]
+        if len(plain) < len(units):
+            known.update(zip(plain, out))
+            out = [known[u] for u in units]
+        return out
+
+    def _encode_spelled(self, units: list[str]) -> list[bytes]:
+        if not units:
+            return []
+        if self.mark is None or any(t in "\n".join(units) for t in self.specials):
+            return self._whole(units)
+        ids = np.asarray(self.marked.encode_batch_fast([self.mark.join(units)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = 4 * np.flatnonzero(ids == self.mark_id)
+        coded = ids.tobytes()
+        return [coded[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(coded)])]
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Add the ids of new units to ``known``; returns what was added."""
+        known, parts, need = self.known, [], set()
+        for u in new:
+            stem = u.rstrip(".,") if u and u[-1] in ".," else u
+            if stem is not u and stem and is_plain(stem[-1]):
+                tail = self.tail(u[len(stem):])
+                parts.append((u, stem, tail))
+                need.update((stem, tail))
+            else:
+                need.add(u)
+        need = [u for u in need if u not in known]
+        known.update(zip(need, self._encode_units(need)))
+        for u, stem, tail in parts:
+            known[u] = known[stem] + known[tail]
+        return need + [p[0] for p in parts]
+
+    def tail(self, marks: str) -> str:
+        """Full stops and commas that end a word, as a unit."""
+        return FIRST + marks if self.split is space_led else marks
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.pattern is None:
-            return self._encode(texts)
-        split = [None if ODD_SEPARATORS.search(t) else self.pattern.findall(t) for t in texts]
+        if self.split is None:
+            return self._whole(texts)
+        split = [None if ODD_SEPARATORS.search(t) else self.split(t) if t else () for t in texts]
         known = self.known
-        new = list({u for s in split if s for u in s if u not in known})
-        known.update(zip(new, self._encode(new)))
-        out = [b"" if s is None else b"".join([known[u] for u in s]) for s in split]
+        added = self._learn([u for u in set().union(*(s for s in split if s)) if u not in known])
+        get = known.__getitem__
+        out = [b"" if s is None else b"".join(map(get, s)) for s in split]
         whole = [i for i, s in enumerate(split) if s is None]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         if len(known) > self.limit:  # frequent units came early and stay; the rest are encoded again when met
-            for u in new:
+            for u in added:
                 del known[u]
         return out
 
@@ -67,7 +167,13 @@ def encoder(path: str, units: str) -> UnitEncoder:
     return _ENCODERS[path, units]
 
 
-def slices(texts: list[str], chars: int = 2_000_000):
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer  # noqa: PLC0415
+
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+
+
+def slices(texts: list[str], chars: int = 6_000_000):
     """Index ranges of about ``chars`` characters of text each (one text at least)."""
     start = size = 0
     for i, t in enumerate(texts):

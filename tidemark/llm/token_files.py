@@ -3,7 +3,8 @@
 ``write_token_files`` sorts the documents by id across partitions, encodes
 each partition (a shard) and writes, per shard,
 
-* ``shard-N.ids``      the ids of all its documents, unsigned 32-bit little-endian, nothing else,
+* ``shard-N.ids``      the ids of all its documents, unsigned little-endian, nothing else: 16 bits wide where
+  every id of the vocabulary fits, else 32,
 * ``shard-N.docs``     the documents' ids, signed 64-bit little-endian,
 * ``shard-N.offsets``  for each document its first id's place in the whole sequence of ids, and one
   closing entry: unsigned 64-bit little-endian,
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, ship, text_or_empty
-from tidemark.llm.encode import encoder, slices
+from tidemark.llm.encode import encoder, slices, vocabulary_size
 
 NULL_ID = -(2**63)
 SHARD_SCHEMA = "shard int, n_docs long, n_tokens long"
@@ -61,6 +62,11 @@ class _Published:
         self.fs.move(self.temp, self.path)
 
 
+def id_type(ids: int) -> str:
+    """The narrowest of the two file types that holds ids 0..ids-1."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
 def _load(fs: pafs.FileSystem, path: str, dtype: str) -> np.ndarray:
     if isinstance(fs, pafs.LocalFileSystem):
         size = fs.get_file_info(path).size
@@ -75,6 +81,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, *, end_id: i
     spark = docs.sparkSession
     ship(spark)
     end = np.asarray([end_id], dtype="<u4").tobytes()
+    width = id_type(max(vocabulary_size(tokenizer), end_id + 1))
 
     def write_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
@@ -89,7 +96,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, *, end_id: i
                     fs.create_dir(root, recursive=True)
                     ids_file = _Published(fs, f"{root}/shard-{shard:06d}.ids", attempt)
                 coded = [c + end for c in enc.encode(texts[a:b])]
-                ids_file.write(b"".join(coded))
+                ids_file.write(np.frombuffer(b"".join(coded), dtype="<u4").astype(width).tobytes())
                 lengths.extend(len(c) // 4 for c in coded)
         if ids_file is None:
             return
@@ -129,8 +136,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, *, end_id: i
      .mapInArrow(add_base, "shard int, base long, n_docs long, n_tokens long").write.parquet(f"{folder}/manifest"))
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (doc_id, start, n_tokens, ids_crc32) read back from the files of ``folder``."""
+def read_token_files(spark: SparkSession, folder: str, width: str) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, ids_crc32) read back from the files of ``folder``.
+
+    ``width`` is the type of the ids files (see id_type); ``ids_crc32`` is taken over 32-bit ids whatever it is.
+    """
     ship(spark)
 
     def read_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +148,13 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 path = f"{root}/shard-{row['shard']:06d}"
-                ids, docs, offsets = (_load(fs, f"{path}.{n}", t) for n, t in (("ids", "<u4"), ("docs", "<i8"), ("offsets", "<u8")))
+                ids, docs, offsets = (_load(fs, f"{path}.{n}", t) for n, t in (("ids", width), ("docs", "<i8"), ("offsets", "<u8")))
                 at = (offsets - np.uint64(row["base"])).astype(np.int64)
                 if len(docs) != row["n_docs"] or at[-1] != len(ids) or len(ids) != row["n_tokens"]:
                     raise ValueError(f"{path}: the files and the manifest disagree")
                 for a in range(0, len(docs), 10_000):
                     b = min(a + 10_000, len(docs))
-                    crc = [zlib.crc32(ids[at[i]:at[i + 1]]) for i in range(a, b)]
+                    crc = [zlib.crc32(ids[at[i]:at[i + 1]].astype("<u4")) for i in range(a, b)]
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": pa.array(docs[a:b], pa.int64(), mask=np.asarray(docs[a:b] == NULL_ID)),
                         "start": pa.array(offsets[a:b].astype(np.int64)),
@@ -159,4 +169,4 @@ def round_trip(docs: DataFrame, tokenizer: str, *, end_id: int = 2, units: str =
     """Write ``docs`` as token files in the shared folder and read them back."""
     folder = scratch(docs.sparkSession, "token-files")
     write_token_files(docs, tokenizer, folder, end_id=end_id, units=units)
-    return read_token_files(docs.sparkSession, folder)
+    return read_token_files(docs.sparkSession, folder, id_type(max(vocabulary_size(tokenizer), end_id + 1)))
