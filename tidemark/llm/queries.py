@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_files
-from tidemark.llm.common import read_table
+from tidemark.llm import langid, packing, token_files, toxicity
+from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labelled documents whose id is not in fold 0 of 5."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.classify(docs, labels, fold("doc_id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), units="bare")
 
@@ -30,8 +38,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), units="space_led")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from documents whose id is not in fold 1 of 3."""
+    found = langid.identify(read_table(spark, sf_dir, "documents"), fold("doc_id", 3) != 1)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_token_files)}
+    return {f.__name__: f for f in (op1_toxicity, op3_best_fit_packing, op5_token_files, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:
