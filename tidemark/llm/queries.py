@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, token_files, toxicity
+from tidemark.llm import decontaminate, jaccard_join, langid, packing, token_files, toxicity
 from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +70,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class (the smallest doc_id it is linked to, over any number of links) and its number of links."""
+    return jaccard_join.link_documents(read_table(spark, sf_dir, "documents")).drop("_id", "_th")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op9_language)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op9_language, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
