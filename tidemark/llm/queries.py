@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, langid, packing, token_files, toxicity
+from tidemark.llm import decontaminate, fingerprints, jaccard_join, langid, licenses, packing, token_files, toxicity
 from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), units="space_led")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from documents whose id is not in fold 1 of 3."""
     found = langid.identify(read_table(spark, sf_dir, "documents"), fold("doc_id", 3) != 1)
@@ -76,7 +84,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op9_language, op10_jaccard_join)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op7_licenses, op8_fingerprints, op9_language,
+        op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -80,14 +80,15 @@ class Classifier:
         self.words: dict[str, float] = {}
 
     def evidence(self, word: str) -> float:
-        return float(self.weights[word_features(word)].sum())
+        return sum(self.weights.item(f) for f in word_features(word))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out, known = np.empty(len(texts)), self.words
         for i, text in enumerate(texts):
             words = words_of(text)
-            for w in words - known.keys():
-                known[w] = self.evidence(w)
+            for w in words:
+                if w not in known:
+                    known[w] = self.evidence(w)
             out[i] = sum(map(known.__getitem__, words)) * scale_of(len(words))
             if len(known) > 500_000:
                 known.clear()
