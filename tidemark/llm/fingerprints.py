@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize, row_key
 
 SHINGLE = 5
-BINS = 256
+BINS = 128
 BITS = 8
-_PRIME = 257  # the least prime above the number of bins
+PROBES = 8
+_PRIME = 131  # the least prime above the number of bins
 _WHITE = " \t\n\x0b\f\r"
 
 
@@ -35,16 +36,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def words(text: Column) -> Column:
+    """The words between white space of the lower-cased text."""
+    text = F.lower(text)
+    for c in _WHITE[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
 def shingle_hashes(text: Column) -> Column:
     """Hashes of the shingles of a text, in order; an empty array without words."""
-    def of(words: Column) -> Column:
-        n = F.size(words)
-        runs = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(SHINGLE))))
-        return F.when(n >= SHINGLE, runs).otherwise(F.array(F.xxhash64(words)))
+    def of(w: Column) -> Column:
+        n = F.size(w)
+        runs = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))))
+        return F.when(n >= SHINGLE, runs).when(n > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
 
-    trimmed = F.trim(F.lower(text), F.lit(_WHITE))
-    hashed = F.transform(F.split(trimmed, r"\s+"), lambda w: F.xxhash64(w))
-    return F.when(trimmed == "", F.array().cast("array<bigint>")).otherwise(let(hashed, of))
+    return let(F.transform(words(text), lambda w: F.xxhash64(w)), of)
 
 
 def bin_of(h: Column) -> Column:
@@ -52,29 +59,44 @@ def bin_of(h: Column) -> Column:
     return (F.shiftright(h, 64 - (BINS - 1).bit_length()) + BINS // 2).cast("int")
 
 
+def _orders() -> Column:
+    """For each bin the start of its order of bins t = a k + b modulo _PRIME (k = 0, 1, ...), b and the inverse of a: constants."""
+    state, drawn = 1, []
+    for _ in range(2 * BINS):
+        state = (state * 6364136223846793005 + 1442695040888963407) % 2**64
+        drawn.append(state >> 33)
+    a, b = [x % (_PRIME - 1) + 1 for x in drawn[::2]], [x % _PRIME for x in drawn[1::2]]
+    starts = [[(x * k + y) % _PRIME for k in range(PROBES)] for x, y in zip(a, b)]
+    return F.arrays_zip(F.lit(starts).alias("start"), F.lit(b).alias("b"), F.lit([pow(x, -1, _PRIME) for x in a]).alias("inverse"))
+
+
+def densified(full: Column, values: Column) -> Column:
+    """All BINS values from the full bins (ascending) and their values: empty bins borrow from the first full bin in their order.
+
+    The first PROBES bins of an order are looked up; where they are all empty, the full bins are compared by their place in it.
+    """
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: F.get(values, F.array_position(full, j).cast("int") - 1))
+
+    def borrowed(dense: Column, order: Column) -> Column:
+        probe = F.get(F.array_compact(F.transform(order["start"], lambda t: F.get(dense, t))), 0)
+        place = F.array_min(F.transform(full, lambda t, i: order["inverse"] * (t - order["b"] + _PRIME) % _PRIME * BINS + i))
+        return F.coalesce(probe, F.get(values, place % BINS))
+
+    return let(dense, lambda d: F.transform(_orders(), lambda order, j: F.coalesce(F.get(d, j), borrowed(d, order))))
+
+
 def bins(text: Column) -> Column:
     """The BITS low-order bits of each bin's value (an array of BINS small integers; empty without words)."""
     def of_minima(minima: Column) -> Column:
         full = F.transform(minima, bin_of)
         values = F.transform(minima, lambda h: h.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))
-
-        def of_bins(f: Column, v: Column) -> Column:
-            def value(j: Column) -> Column:
-                a = F.pmod(F.xxhash64(j), F.lit(_PRIME - 1)).cast("int") + 1
-                b = F.pmod(F.xxhash64(j, F.lit(1)), F.lit(_PRIME)).cast("int")
-                # The full bin that comes first in the order of bin j, with its place in the lower digits.
-                order = lambda a, b: F.array_min(F.transform(f, lambda t, i: (a * t + b) % _PRIME * BINS + i)) % BINS
-                borrowed = let(F.struct(a.alias("a"), b.alias("b")), lambda s: order(s["a"], s["b"]))
-                return let(F.array_position(f, j), lambda at: F.get(v, F.when(at > 0, at.cast("int") - 1).otherwise(borrowed)))
-            return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value)
-
-        return let(F.struct(full.alias("f"), values.alias("v")), lambda s: of_bins(s["f"], s["v"]))
+        return let(F.struct(full.alias("f"), values.alias("v")), lambda s: densified(s["f"], s["v"]))
 
     def of_sorted(h: Column) -> Column:
         first = F.filter(h, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(h, i - 1))))
         return F.when(F.size(h) == 0, F.array().cast("array<int>")).otherwise(let(first, of_minima))
 
-    return let(F.array_sort(shingle_hashes(text)), of_sorted)
+    return let(F.sort_array(shingle_hashes(text)), of_sorted)
 
 
 def packed(values: Column) -> Column:
