@@ -239,8 +239,10 @@ def link_documents(docs: DataFrame, *, threshold: float = THRESHOLD, recall: flo
                .join(cluster.withColumnRenamed("node", "set_id"), "set_id", "right"))
     least = (grouped.join(classes, "set_id").groupBy("component").agg(F.min("least_id").alias("class_id")))
     others = grouped.join(least, "component").select("set_id", "class_id", "linked")
-    per_class = classes.join(others, "set_id", "left").select(
-        "set_id", F.coalesce("class_id", "least_id").alias("class_id"), (F.coalesce("linked", F.lit(0)) + F.col("documents") - 1).alias("n_links"))
+    # Written, so that the last join is a plain one between two tables and the copies of a hot class can be split.
+    per_class = materialize(classes.join(others, "set_id", "left").select(
+        "set_id", F.coalesce("class_id", "least_id").alias("class_id"),
+        (F.coalesce("linked", F.lit(0)) + F.col("documents") - 1).alias("n_links")), "linked-classes")
     return rows.join(per_class, "set_id", "left").select(
         "doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "_id", "_th")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, jaccard_join, langid, licenses, packing, token_files, toxicity
+from tidemark.llm import decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, token_files, toxicity
 from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,37 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), units="space_led")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without recurring lines: doc_id, n_lines, n_dropped and the text that is left."""
+    cleaned = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+
+
+_DID = "coalesce(doc_id, hash(text))"
+OP6_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_DID} AS did, text, string_split(text, chr(10)) AS lines FROM documents),
+raw AS (SELECT r, did, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM d WHERE text IS NOT NULL),
+spaced AS (SELECT r, did, pos, regexp_replace(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ 	
+]+', ' ', 'g') AS line FROM raw),
+l AS (SELECT r, did, pos, line, string_split(line, ' ') AS f FROM (SELECT r, did, pos,
+    regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM spaced) WHERE len(string_split(line, ' ')) >= 3),
+k AS (SELECT *, CAST(len(f) AS VARCHAR) || ':' || array_to_string(f[1:3], ' ') AS leaf FROM l),
+g AS (SELECT leaf, line, any_value(f) AS f, count(*) AS n, min(did) AS least, max(did) AS most FROM k
+    WHERE leaf IN (SELECT leaf FROM k GROUP BY leaf HAVING min(did) <> max(did)) GROUP BY leaf, line),
+votes AS (SELECT leaf, p, field, sum(n) AS n FROM (SELECT leaf, n, unnest(range(0, len(f))) AS p, unnest(f) AS field FROM g) GROUP BY ALL),
+usual AS (SELECT leaf, p, field FROM votes QUALIFY row_number() OVER (PARTITION BY leaf, p ORDER BY n DESC, field DESC) = 1),
+template AS (SELECT leaf, list(field ORDER BY p) AS t FROM usual GROUP BY leaf),
+named AS (SELECT leaf, line, least, most, CASE WHEN len(list_filter(list_zip(f, t), lambda x: x[1] = x[2])) >= 0.8 * len(f)
+    AND leaf IN (SELECT leaf FROM g GROUP BY leaf HAVING count(*) > 1) THEN NULL ELSE line END AS itself FROM g JOIN template USING (leaf)),
+decided AS (SELECT leaf, line, min(least) OVER w AS head, max(most) OVER w AS tail FROM named WINDOW w AS (PARTITION BY leaf, itself)),
+gone AS (SELECT r, pos FROM k JOIN decided USING (leaf, line) WHERE head <> tail AND did <> head),
+left_over AS (SELECT raw.r, string_agg(line, chr(10) ORDER BY pos) AS text FROM raw ANTI JOIN gone USING (r, pos) GROUP BY raw.r),
+dropped AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_dropped,
+    CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(left_over.text, '') END AS text
+FROM d LEFT JOIN left_over USING (r) LEFT JOIN dropped USING (r)"""
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -85,9 +116,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op7_licenses, op8_fingerprints, op9_language,
+        op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op6_line_dedup, op7_licenses, op8_fingerprints, op9_language,
         op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL}
+    return {"op2_decontamination": OP2_SQL, "op6_line_dedup": OP6_SQL}
