@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, token_files, toxicity
+from tidemark.llm import ctw, decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, token_files, toxicity
 from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), units="bare")
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from documents whose id is not in fold 0 of 10."""
+    scored = ctw.score(read_table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), units="space_led")
 
@@ -116,7 +122,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_decontamination, op3_best_fit_packing, op5_token_files, op6_line_dedup, op7_licenses, op8_fingerprints, op9_language,
+        op1_toxicity, op2_decontamination, op3_best_fit_packing, op4_context_tree, op5_token_files, op6_line_dedup, op7_licenses, op8_fingerprints, op9_language,
         op10_jaccard_join)}
 
 
