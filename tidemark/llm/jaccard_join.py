@@ -68,11 +68,11 @@ def signature(grams: np.ndarray, depths: list[int], functions: tuple[np.ndarray,
         least = np.minimum(least, h.min(axis=1))
     least, out, at = mix(least), np.empty(len(depths), dtype=np.uint64), 0
     for t, d in enumerate(depths):
-        h = np.uint64(t)
-        for value in least[at:at + d]:
-            h = (h ^ value) * _GOLD
+        h = np.full(1, t, dtype=np.uint64)
+        for k in range(at, at + d):
+            h = (h ^ least[k:k + 1]) * _GOLD
             h ^= h >> np.uint64(29)
-        out[t], at = h, at + d
+        out[t], at = h[0], at + d
     return out
 
 
