@@ -125,7 +125,7 @@ class Level:
 
     def sums(self, parent_keys: np.ndarray) -> np.ndarray:
         """For each parent the log of the product of its children's P_w."""
-        return np.bincount(np.searchsorted(parent_keys, self.parents()), self.log_weighted, len(parent_keys))
+        return np.bincount(np.searchsorted(parent_keys, self.parents()), self.log_weighted, len(parent_keys)).astype(np.float64)
 
     def mixed(self, key: np.ndarray, bit: np.ndarray, deeper: np.ndarray) -> np.ndarray:
         """Probability of each decision from this depth on, NaN where it was never seen; ``deeper``: the same one byte deeper."""

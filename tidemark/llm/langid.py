@@ -101,7 +101,8 @@ class Model:
         h = self.cross_entropies(texts)
         known = ~np.isnan(h).any(axis=1) if len(self.languages) else np.zeros(len(texts), bool)
         best = np.zeros(len(texts), int)
-        best[known] = h[known].argmin(axis=1)
+        if known.any():
+            best[known] = h[known].argmin(axis=1)
         lang = [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known)]
         score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
         if known.any():

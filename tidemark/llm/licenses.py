@@ -116,7 +116,7 @@ def template_index(threshold: float) -> tuple[list[tuple[str, int]], dict[tuple[
             index[g].append(i)
     sizes = [len(g) for _, g in sets]
     return ([(n, len(g)) for n, g in sets], dict(index),
-            int(min(sizes) * threshold / (2 - threshold)), int(max(sizes) * (2 - threshold) / threshold) + 1)
+            int(min(sizes) * threshold / (2 - threshold) + 1e-9), int(max(sizes) * (2 - threshold) / threshold) + 1)
 
 
 def match(words: list[str], threshold: float = THRESHOLD) -> tuple[float, str, int] | None:
@@ -131,7 +131,7 @@ def match(words: list[str], threshold: float = THRESHOLD) -> tuple[float, str, i
     best = None
     for i, common in found.items():
         name, size = templates[i]
-        if size * threshold <= len(grams) * (2 - threshold) and len(grams) * threshold <= size * (2 - threshold):
+        if max(size, len(grams)) * threshold <= min(size, len(grams)) * (2 - threshold) + 1e-9:  # equality is within the bounds
             d = 2 * common / (len(grams) + size)
             if d >= threshold and (best is None or (-d, -size, name) < (-best[0], -best[2], best[1])):
                 best = (d, name, size)
