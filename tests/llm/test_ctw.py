@@ -95,7 +95,7 @@ def test_odd_rows_no_training_and_empty(spark):
 
 def test_probabilities_sum_to_one():
     gram, count = np.unique(ctw.grams([sequence(letters(i, 30)) for i in range(20)])[0], return_counts=True)
-    levels = ctw.build(gram, count, range(ctw.DEPTH, -1, -1))
+    levels = ctw.build(gram, count)
     for text in (b"the st", b"zzzzzz", b"abcdef"):
         context = sum(c << (8 * (k + 1)) for k, c in enumerate(text))
         p = 10 ** ctw.log10_probabilities(np.arange(256, dtype=np.uint64) + np.uint64(context), levels)

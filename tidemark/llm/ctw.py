@@ -111,13 +111,23 @@ class Level:
         self.weight = np.ones(len(key)) if below is None else np.exp(log(0.5) + own - self.log_weighted)
 
     @classmethod
-    def of_grams(cls, gram: np.ndarray, count: np.ndarray, depth: int, deeper: Level | None) -> Level:
-        key, bit = decisions(gram, depth)
-        keys, at = np.unique(key, return_inverse=True)
-        weight = np.tile(count, (8, 1)).ravel()
-        ones = np.bincount(at.ravel(), weight * bit.ravel().astype(np.int64), len(keys)).astype(np.int64)
-        total = np.bincount(at.ravel(), weight, len(keys)).astype(np.int64)
-        return cls(keys, total - ones, ones, None if deeper is None else deeper.sums(keys))
+    def deepest(cls, gram: np.ndarray, count: np.ndarray) -> Level:
+        """From sorted distinct grams: the decisions of one place in the byte come in the order of their keys."""
+        rows = []
+        for key, bit in zip(*decisions(gram, DEPTH)):
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+            total, ones = (np.add.reduceat(c, first) if len(key) else c for c in (count, count * bit.astype(np.int64)))
+            rows.append((key[first], total - ones, ones))
+        key, zeros, ones = (np.concatenate(c) for c in zip(*rows))
+        order = np.argsort(key)
+        key = key[order]
+        return cls(key, zeros[order], ones[order], None)
+
+    def above(self) -> Level:
+        """The level one byte of context shorter."""
+        keys, at = np.unique(self.parents(), return_inverse=True)
+        zeros, ones = (np.bincount(at, c, len(keys)).astype(np.int64) for c in (self.zeros, self.ones))
+        return Level(keys, zeros, ones, self.sums(keys))
 
     def parents(self) -> np.ndarray:
         """Keys of the nodes one byte of context shorter (the byte farthest back goes)."""
@@ -139,11 +149,11 @@ class Level:
         return np.where(seen, np.where(np.isnan(deeper), own, w * own + (1 - w) * deeper), np.nan)
 
 
-def build(gram: np.ndarray, count: np.ndarray, depths: range) -> dict[int, Level]:
-    """Levels of the given depths (descending) from sorted distinct grams."""
-    levels: dict[int, Level] = {}
-    for d in depths:
-        levels[d] = Level.of_grams(gram, count, d, levels.get(d + 1))
+def build(gram: np.ndarray, count: np.ndarray, to: int = 0) -> dict[int, Level]:
+    """Levels of the depths DEPTH .. ``to`` from sorted distinct grams."""
+    levels = {DEPTH: Level.deepest(gram, count)}
+    for d in range(DEPTH - 1, to - 1, -1):
+        levels[d] = levels[d + 1].above()
     return levels
 
 
@@ -151,8 +161,11 @@ def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     """Sorted distinct keys and their summed counts."""
     if not parts:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return key, np.bincount(at, np.concatenate([c for _, c in parts]), len(key)).astype(np.int64)
+    key, count = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key, count = key[order], count[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(key) else count
 
 
 def log10_probabilities(gram: np.ndarray, levels: dict[int, Level]) -> np.ndarray:
@@ -192,35 +205,36 @@ def word_bucket(word: bytes, buckets: int) -> int:
     return zlib.crc32(word) % buckets
 
 
+def batches(table: pa.Table, size: int = 4_000_000):
+    """(rows, words of each, sequences) for about ``size`` bytes of text at a time."""
+    texts, start, total = table.column("text"), 0, 0
+    lengths = pc.binary_length(texts).to_numpy()
+    for i, n in enumerate(lengths.tolist()):
+        total += n
+        if total >= size or i + 1 == len(lengths):
+            words = [words_of(t) for t in texts.slice(start, i + 1 - start).to_pylist()]
+            yield slice(start, i + 1), words, [b" ".join(w) + END for w in words]
+            start, total = i + 1, 0
+
+
 class Chunk:
     """Distinct grams and words of a chunk's documents, each with their count in the documents to learn from."""
 
     def __init__(self, buckets: int):
         self.buckets = buckets
 
-    @staticmethod
-    def batches(table: pa.Table, size: int = 4_000_000):
-        """(rows, words of each, sequences) for about ``size`` characters of text at a time."""
-        texts, start, total = table.column("text"), 0, 0
-        lengths = pc.binary_length(texts).to_numpy()
-        for i, n in enumerate(lengths.tolist()):
-            total += n
-            if total >= size or i + 1 == len(lengths):
-                words = [words_of(t) for t in texts.slice(start, i + 1 - start).to_pylist()]
-                yield slice(start, i + 1), words, [b" ".join(w) + END for w in words]
-                start, total = i + 1, 0
-
     def distinct(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
         learn = table.column("learn").to_numpy(zero_copy_only=False)
         parts, words = [], Counter()
-        for rows, texts, sequences in self.batches(table):
+        for rows, texts, sequences in batches(table):
             key, lengths = grams(sequences)
             learned = np.repeat(learn[rows], lengths)
-            key, at = np.unique(key, return_inverse=True) if not learned.all() else np.unique(key, return_counts=True)
-            parts.append((key, at if learned.all() else np.bincount(at, learned, len(key)).astype(np.int64)))
+            parts.append(np.unique(key[learned], return_counts=True))
+            other = np.unique(key[~learned])
+            parts.append((other, np.zeros(len(other), np.int64)))
             for w, yes in zip(texts, learn[rows]):
                 words.update(w) if yes else words.update(dict.fromkeys(w, 0))
-            if len(parts) > 4:
+            if len(parts) > 16:
                 parts = [merge(parts)]
         return *merge(parts), words
 
@@ -260,7 +274,7 @@ def _total(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
 def _top_sums(table: pa.Table) -> pa.Table:
     """The bucket's share in the nodes of depth TOP - 1: counts, and the log-product of the P_w below."""
     gram, count, _ = _total(table)
-    levels = build(gram, count, range(DEPTH, TOP - 1, -1))
+    levels = build(gram, count, TOP)
     below = levels[TOP]
     keys, at = np.unique(below.parents(), return_inverse=True)
     zeros, ones = (np.bincount(at, c, len(keys)).astype(np.int64) for c in (below.zeros, below.ones))
@@ -272,21 +286,18 @@ def finish_top(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.
     order = np.argsort(node.astype(np.uint64))
     levels = {TOP - 1: Level(node.astype(np.uint64)[order], zeros[order], ones[order], below[order])}
     for d in range(TOP - 2, -1, -1):
-        deeper = levels[d + 1]
-        keys, at = np.unique(deeper.parents(), return_inverse=True)
-        z, o = (np.bincount(at, c, len(keys)).astype(np.int64) for c in (deeper.zeros, deeper.ones))
-        levels[d] = Level(keys, z, o, deeper.sums(keys))
+        levels[d] = levels[d + 1].above()
     return levels
 
 
 def _gram_answers(top):
     def of(table: pa.Table) -> pa.Table:
         gram, count, asked = _total(table)
-        levels = build(gram, count, range(DEPTH, TOP - 1, -1)) | top.value
+        levels = build(gram, count, TOP) | top.value
         wanted = np.unique(np.concatenate(asked))
         logs = np.concatenate([log10_probabilities(wanted[a:a + 200_000], levels) for a in range(0, len(wanted), 200_000)])
         answers = [pack(logs[np.searchsorted(wanted, k)], "<f4") for k in asked]
-        return pa.table({"chunk": table.column("chunk"), "kind": ["g"] * len(answers), "bucket": table.column("bucket"),
+        return pa.table({"chunk": table.column("chunk"), "kind": ["g"] * len(answers), "keys": table.column("keys"),
                          "answer": pa.array(answers, pa.binary())})
     return of
 
@@ -305,31 +316,47 @@ def _word_answers(table: pa.Table) -> pa.Table:
     asked, total = _word_counts(table)
     answers = [pack(np.array([total[w] for w in part]), "<i8") for part in asked]
     sums = np.array([sum(total.values()), sum(c > 0 for c in total.values())])
-    bucket = table.column("bucket")[0].as_py()
     return pa.table({"chunk": pa.array([*table.column("chunk").to_pylist(), -1], pa.int32()), "kind": ["w"] * len(answers) + ["sum"],
-                     "bucket": pa.array([bucket] * (len(answers) + 1), pa.int32()), "answer": pa.array([*answers, pack(sums, "<i8")], pa.binary())})
+                     "keys": pa.array([*table.column("keys").to_pylist(), b""], pa.binary()),
+                     "answer": pa.array([*answers, pack(sums, "<i8")], pa.binary())})
+
 
+def text_sums(gram: np.ndarray, log_of: np.ndarray, key: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each text the sum of the values of its grams; ``gram`` (sorted) has them all.
 
-def _scorer(buckets: int, tokens: int, distinct: int, ends: int):
+    Up to 256 texts at a time are told apart in the byte that a gram leaves free, so that one sort
+    brings equal grams of a text together and the look-ups into order.
+    """
+    out, ends = np.zeros(len(lengths)), np.cumsum(lengths)
+    for a in range(0, len(lengths), 256):
+        b = min(a + 256, len(lengths))
+        text = np.repeat(np.arange(b - a, dtype=np.uint64), lengths[a:b])
+        both = np.sort((key[ends[a] - lengths[a]:ends[b - 1]] << _BYTE) | text)
+        first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+        times = np.diff(np.append(first, len(both)))
+        both = both[first]
+        value = log_of[np.searchsorted(gram, both >> _BYTE)]
+        out[a:b] = np.bincount((both & np.uint64(255)).astype(np.int64), value * times, b - a)
+    return out
+
+
+def _scorer(tokens: int, distinct: int, ends: int):
     base = log10(tokens + 0.1 * (distinct + 1))
 
     def of(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = Chunk(buckets)
-        gram, _, words = chunk.distinct(docs)
-        got = {(k, b): a for k, b, a in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "answer")))}
-        log_of = np.empty(len(gram))
-        for b, at in enumerate(chunk.gram_parts(gram)):
-            if len(at):
-                log_of[at] = unpack(got["g", b], "<f4")
-        count_of: dict[bytes, int] = {}
-        for b, part in enumerate(chunk.word_parts(words)):
-            if part:
-                count_of.update(zip(part, unpack(got["w", b], "<i8").tolist()))
+        grams_of, logs_of, count_of = [], [], {}
+        for kind, keys, answer in zip(*(answers.column(c).to_pylist() for c in ("kind", "keys", "answer"))):
+            if kind == "g":
+                grams_of.append(unpack_sorted(keys))
+                logs_of.append(unpack(answer, "<f4"))
+            else:
+                count_of.update(zip(zlib.decompress(keys).split(b"\n"), unpack(answer, "<i8").tolist()))
+        gram, logs = np.concatenate(grams_of), np.concatenate(logs_of).astype(np.float64)
+        order = np.argsort(gram)
+        gram, logs = gram[order], logs[order]
         scores, bases, known, n_tokens = [], [], [], []
-        for _, texts, sequences in chunk.batches(docs):
-            key, lengths = grams(sequences)
-            logs = log_of[np.searchsorted(gram, key)]
-            scores.append(np.add.reduceat(logs, np.cumsum(lengths) - lengths))
+        for _, texts, sequences in batches(docs):
+            scores.append(text_sums(gram, logs, *grams(sequences)))
             for w in texts:
                 c = np.fromiter(map(count_of.__getitem__, w), dtype=np.float64, count=len(w))
                 n_tokens.append(len(w) + 1)
@@ -360,12 +387,12 @@ def score(docs: DataFrame, learn: Column, *, chunk_bytes: int = CHUNK_BYTES) ->
             .groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))).toPandas()
     top = spark.sparkContext.broadcast(finish_top(*(sums[c].to_numpy() for c in ("node", "zeros", "ones", "below"))))
 
-    answer = "chunk int, kind string, bucket int, answer binary"
+    answer = "chunk int, kind string, keys binary, answer binary"
     word_answers = materialize(of_words.groupBy("bucket").applyInArrow(_word_answers, answer), "word-answers")
     totals = [unpack(bytes(r["answer"]), "<i8") for r in word_answers.where("kind = 'sum'").toLocalIterator()]
     tokens, distinct = (int(sum(t[i] for t in totals)) for i in (0, 1))
     answers = of_grams.groupBy("bucket").applyInArrow(_gram_answers(top), answer).union(word_answers.where("kind = 'w'"))
     # The end of a text is a token too, seen once in every document learned from.
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _scorer(buckets, tokens + rows, distinct + (rows > 0), rows),
+        _scorer(tokens + rows, distinct + (rows > 0), rows),
         "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
