@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from tidemark.plans import catalog
 from tidemark.context import RunContext
 from tidemark.operators import intermediate as mid
 
@@ -21,15 +21,15 @@ FORBIDDEN = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_forbidden_operators(spark, name):
-    plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for op, why in FORBIDDEN.items():
         assert op not in plan, f"{name}: {op} ({why})"
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = entry.queries()["gold_support_performance"](spark, SMALL)._jdf.queryExecution() \
+    plan = catalog.queries()["gold_support_performance"](spark, SMALL)._jdf.queryExecution() \
         .executedPlan().toString()
     # the ticket KPIs need 5 of the 6 event columns; the JSON payload column is never read
     assert "props" not in plan

@@ -144,16 +144,27 @@ def test_feature_adoption_monthly_preaggregation_equals_daily_averages(spark):
     assert got == {(1, 2, 16, 5.33, 1.25, 3), (2, 1, None, None, None, None)}
 
 
-def test_subscription_fanout_equals_account_join(spark):
+def test_movements_repeat_with_the_account_rows(spark):
+    """Summing per account and multiplying equals joining every subscription with every account row."""
+    from tidemark.operators import gold
     accounts = spark.createDataFrame([acct("A-1"), acct("A-1"), acct("A-1"), acct("A-2")], ACCOUNTS)
     subs = spark.createDataFrame([
         sub("S-1", "A-1", D(2000, 1, 1)), sub("S-2", "A-2", D(2000, 2, 1)), sub("S-3", "A-orphan", D(2000, 3, 1)),
+        sub("S-4", "A-1", D(2000, 2, 1)), sub("S-5", None, D(2000, 2, 1)),
     ], SUBS)
-    cols = [c for c in subs.columns if c != "ingestion_ts"]
-    joined = mid.int_account_subscriptions(subs, accounts, CTX).select(*cols)
-    for limit in (500_000, 0):  # broadcast path, shuffle path
-        fanned = mid.subscriptions_with_fanout(subs, accounts, broadcast_rows=limit).select(*cols)
-        assert same(fanned, joined), limit
-    assert mid.subscriptions_with_fanout(subs, accounts).filter("account_id = 'A-1'").count() == 3
-    plan = mid.subscriptions_with_fanout(subs, accounts)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    joined = gold.mrr_movements(mid.int_account_subscriptions(subs, accounts, CTX))
+    want = joined.groupBy("month_start", "plan_tier", "mrr_type").agg(
+        F.sum("mrr_amount").alias("mrr_movement"), F.count(F.lit(1)).alias("subscription_count"))
+    assert same(gold.mrr_movement_agg(subs, accounts), want)
+    assert joined.count() == 9
+
+
+def test_null_tier_is_one_row_a_month_in_the_dense_trend(spark):
+    from tidemark.operators import gold
+    accounts = spark.createDataFrame([acct("A-1")], ACCOUNTS)
+    subs = spark.createDataFrame([sub("S-1", "A-1", D(2001, 10, 1), tier=None), sub("S-2", "A-1", D(2001, 11, 1), tier="Pro")], SUBS)
+    trends = gold.gold_mrr_trends(gold.mrr_movement_agg(subs, accounts), CTX)
+    rows = gold.mrr_trends_dense(subs, trends, CTX).collect()
+    grain = [(r["month_start"], r["plan_tier"]) for r in rows]
+    assert len(grain) == len(set(grain)) == 6
+    assert sum(r["new_subscriptions"] for r in rows) == 2

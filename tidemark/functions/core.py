@@ -28,11 +28,6 @@ def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def is_true(c: Column) -> Column:
-    """``c = true`` with SQL three-valued logic folded to a plain boolean (NULL -> false)."""
-    return F.coalesce(c, F.lit(False))
-
-
 def month_start(c: Column) -> Column:
     """``date_trunc('month', c)`` -- a timestamp at the first of the month."""
     return F.date_trunc("month", c.cast("timestamp"))

@@ -20,7 +20,7 @@ from tidemark.functions.rules import (
     segment_conditions,
     tenure_bucket,
 )
-from tidemark.operators.intermediate import usage_with_account
+from tidemark.operators.intermediate import account_multiplicity, usage_with_account
 
 # Presentation orders of the reporting tables (applied on read).
 PRESENTATION_ORDER = {  # (column, ascending)
@@ -114,12 +114,12 @@ def revenue_subscriptions(subs: DataFrame) -> DataFrame:
     """Non-trial subscriptions (a NULL trial flag is excluded too).
 
     ``subs`` is ``int_account_subscriptions`` or anything with its
-    subscription columns and rows (see ``subscriptions_with_fanout``).
+    subscription columns and rows.
     """
     return subs.filter(F.col("is_trial") == F.lit(False))
 
 
-def mrr_movements(int_subs: DataFrame) -> DataFrame:
+def mrr_movements(int_subs: DataFrame, *keep: str) -> DataFrame:
     """Tagged revenue movements, one row per (subscription, movement type).
 
     new / expansion / contraction land in the start month, churned in the end
@@ -142,17 +142,26 @@ def mrr_movements(int_subs: DataFrame) -> DataFrame:
     )
     return (
         revenue_subscriptions(int_subs)
-        .select("plan_tier", F.explode(F.array_compact(moves)).alias("m"))
-        .select("m.month_start", "plan_tier", "m.mrr_amount", "m.mrr_type")
+        .select(*keep, "plan_tier", F.explode(F.array_compact(moves)).alias("m"))
+        .select(*keep, "m.month_start", "plan_tier", "m.mrr_amount", "m.mrr_type")
         .filter(c("month_start").isNotNull())
     )
 
 
-def mrr_movement_agg(movements: DataFrame) -> DataFrame:
-    return movements.groupBy("month_start", "plan_tier", "mrr_type").agg(
-        F.sum("mrr_amount").alias("mrr_movement"),
-        F.count(F.lit(1)).alias("subscription_count"),
-    )
+def mrr_movement_agg(stg_subscriptions: DataFrame, stg_accounts: DataFrame) -> DataFrame:
+    """Movements summed by month, tier and type, as the account join would repeat them.
+
+    The left join with the accounts repeats a subscription once per account
+    row with its id. Movements are first summed per account; then the
+    account's multiplicity is joined and multiplied in. So the join's input is
+    already aggregated, and nothing is repeated row by row.
+    """
+    keys = ["month_start", "plan_tier", "mrr_type"]
+    per_account = mrr_movements(stg_subscriptions, "account_id").groupBy("account_id", *keys).agg(
+        F.sum("mrr_amount").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    k = F.coalesce(F.col("_k"), F.lit(1))
+    return per_account.join(account_multiplicity(stg_accounts), "account_id", "left").groupBy(*keys).agg(
+        F.sum(F.col("_sum") * k).alias("mrr_movement"), F.sum(F.col("_n") * k).alias("subscription_count"))
 
 
 def gold_mrr_trends(movement_agg: DataFrame, ctx: RunContext) -> DataFrame:
@@ -213,9 +222,13 @@ def mrr_trends_dense(int_subs: DataFrame, trends: DataFrame, ctx: RunContext) ->
     grid = tiers.select(
         "plan_tier", F.explode(F.when(n >= 0, F.sequence(F.lit(0), n))).alias("pos")
     ).select(month_start(F.add_months(first, F.col("pos"))).alias("month_start"), "plan_tier")
-    dense = grid.join(trends.drop("updated_at"), ["month_start", "plan_tier"], "full_outer")
+    # NULL-safe: a NULL tier is a tier like any other, on both sides.
+    keys = ["month_start", "plan_tier"]
+    g, t = grid.alias("g"), trends.drop("updated_at").alias("t")
+    dense = g.join(t, F.col("g.month_start").eqNullSafe(F.col("t.month_start"))
+                   & F.col("g.plan_tier").eqNullSafe(F.col("t.plan_tier")), "full_outer")
     return dense.select(
-        "month_start", "plan_tier",
+        *[F.coalesce(F.col(f"g.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
         *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MRR_MEASURES],
     ).withColumn("updated_at", ctx.stamp())
 
@@ -277,9 +290,12 @@ def gold_support_performance(stg_support_tickets: DataFrame, ctx: RunContext,
     def q(col: str, p: float):
         return round2(F.percentile_approx(col, p, accuracy))
 
-    return t.groupBy("ticket_month", "priority").agg(
+    # Distinct accounts from deduplicated keys, on their own: next to the
+    # percentiles they would make Spark keep a sketch per account.
+    accounts = t.select("ticket_month", "priority", "account_id").distinct().groupBy("ticket_month", "priority").agg(
+        F.count("account_id").alias("accounts_with_tickets"))
+    measures = t.groupBy("ticket_month", "priority").agg(
         tickets.alias("total_tickets"),
-        F.countDistinct("account_id").alias("accounts_with_tickets"),
         escalated.alias("escalated_tickets"),
         round2(F.avg("resolution_time_hours")).alias("avg_resolution_time_hours"),
         q("resolution_time_hours", 0.5).alias("median_resolution_time_hours"),
@@ -291,11 +307,14 @@ def gold_support_performance(stg_support_tickets: DataFrame, ctx: RunContext,
         count_if(c("satisfaction_score") <= 2).alias("dissatisfied_tickets"),
         pct(escalated, tickets).alias("escalation_rate_pct"),
         pct(F.count("satisfaction_score"), tickets).alias("csat_response_rate_pct"),
-    ).withColumn("updated_at", ctx.stamp())
+    )
+    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"a.{k}")) for k in ("ticket_month", "priority")]
+    joined = measures.alias("m").join(accounts.alias("a"), same[0] & same[1])
+    columns = [F.col(f"m.{x}") for x in measures.columns]
+    return joined.select(*columns[:3], "accounts_with_tickets", *columns[3:]).withColumn("updated_at", ctx.stamp())
 
 
 __all__ = [
-    "safe_divide",
     "gold_account_health_summary", "gold_customer_segments", "at_risk_accounts",
     "gold_churn_analysis", "mrr_movements", "mrr_movement_agg", "gold_mrr_trends",
     "month_spine", "mrr_trends_dense", "gold_feature_adoption", "gold_support_performance",

@@ -50,9 +50,9 @@ def version_id(key: Column, valid_from: Column) -> Column:
 
 
 def open_versions(batch: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
-    """Every batch row as a newly opened version."""
+    """Every batch row with a key as a newly opened version (as in a merge, rows without one are left out)."""
     vf = _ts(batch_ts)
-    return batch.select(*SNAPSHOT_COLUMNS).select(
+    return batch.filter(F.col(KEY).isNotNull()).select(*SNAPSHOT_COLUMNS).select(
         *SNAPSHOT_COLUMNS,
         vf.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
@@ -113,16 +113,21 @@ class HistoryStore:
       that merge closed -- the history's bulk, growing by appends only;
       ``_open=true`` every version still open after that merge. A partition
       is written once and never rewritten.
-    * ``root/log`` -- append-only text table of states, one line
-      ``<seq>|<position>|<merge id>`` per merge of that state.
-
-    The history of a state is the closed part of all its merges plus the
-    open part of the newest one; partition pruning reads only those files. A
-    merge joins the batch with the current open versions only (one full
-    outer join on the key), appends its result, and then appends the new
-    state to the log. Nothing is read and overwritten in place; if a job dies
-    before the log append, the previous state stays current and the orphaned
-    merge partition is never read.
+    * ``root/log`` -- one small file per merge, named by its sequence number,
+      with the merge's id.
+
+    The history is the closed part of all merges plus the open part of the
+    newest one; partition pruning reads only those files. A merge joins the
+    batch with the current open versions only (one full outer join on the
+    key), appends its result, and then claims the next sequence number by creating
+    its log file. Creating a file that exists fails, so of two writers that read
+    the same state one fails instead of losing the other's batch. Nothing is
+    read and overwritten in place; if a job dies before the log file is there,
+    the previous state stays current and the orphaned merge partition is
+    never read. A log that cannot be read is an error, never an empty history.
+
+    A batch must have one row per key and no NULL key: anything else is refused
+    before a row is written.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -134,18 +139,34 @@ class HistoryStore:
     def _data(self) -> str:
         return f"{self.root}/data"
 
+    def _file(self, path: str):
+        """(file system, path) of the session's Hadoop configuration."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def state(self) -> tuple[int, list[str]] | None:
-        """(sequence, merge ids oldest first) of the latest state, or None when empty."""
-        try:
-            parts = F.split(F.col("value"), r"\|")
-            lines = self.spark.read.text(self._log()).select(
-                parts.getItem(0).cast("long").alias("seq"), parts.getItem(1).cast("int").alias("pos"),
-                parts.getItem(2).alias("merge"))
-            latest = lines.filter(F.col("seq") == lines.select(F.max("seq")).scalar())
-            rows = latest.orderBy("pos").collect()  # one line per merge: metadata only
-        except Exception:  # noqa: BLE001 -- no log yet
+        """(sequence, merge ids oldest first) of the latest state, or None when no merge was logged yet."""
+        fs, log = self._file(self._log())
+        if not fs.exists(log):
             return None
-        return (rows[0].seq, [r.merge for r in rows]) if rows else None
+        parts = F.split(F.col("value"), r"\|")
+        rows = (self.spark.read.text(self._log())
+                .select(parts.getItem(0).cast("long").alias("seq"), parts.getItem(1).alias("merge"))
+                .orderBy("seq").collect())  # one line per merge: metadata only
+        return (rows[-1].seq, [r.merge for r in rows]) if rows else None
+
+    def _claim(self, seq: int, merge: str) -> None:
+        """Log ``merge`` as number ``seq``; fails if that number is taken."""
+        fs, path = self._file(f"{self._log()}/{seq:09d}")
+        out = fs.create(path, False)
+        out.write(bytearray(f"{seq}|{merge}\n".encode()))
+        out.close()
+
+    def _check(self, batch: DataFrame) -> None:
+        bad = (batch.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col(KEY).isNull() | (F.col("n") > 1)).limit(5).collect())
+        if bad:
+            raise ValueError(f"a batch needs one row per {KEY} and no NULL: {[(r[KEY], r['n']) for r in bad]}")
 
     def _versions(self, merges: list[str], open_from: str | None) -> DataFrame:
         """Closed versions of ``merges`` plus the open versions of merge ``open_from``."""
@@ -159,6 +180,7 @@ class HistoryStore:
         return self._versions(st[1], st[1][-1]) if st else None
 
     def apply(self, batch: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
+        self._check(batch)
         st = self.state()
         seq, merges = st if st else (0, [])
         if merges:
@@ -169,7 +191,5 @@ class HistoryStore:
         merge_id = "m" + uuid.uuid4().hex  # never parsed as a number by partition discovery
         merged.withColumns({"merge": F.lit(merge_id), "_open": F.col("valid_to").isNull()}) \
             .write.format(self.fmt).mode("append").partitionBy("merge", "_open").save(self._data())
-        merges = merges + [merge_id]
-        self.spark.createDataFrame([(f"{seq + 1}|{i}|{m}",) for i, m in enumerate(merges)], "value string") \
-            .coalesce(1).write.mode("append").text(self._log())
+        self._claim(seq + 1, merge_id)
         return self.read()

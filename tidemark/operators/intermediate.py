@@ -58,26 +58,9 @@ def int_account_subscriptions(stg_subscriptions: DataFrame, stg_accounts: DataFr
     return subs.join(accounts, "account_id", "left").select(*INT_SUBSCRIPTION_COLUMNS)
 
 
-# Largest set of duplicated account ids that is broadcast (two columns per row).
-FANOUT_BROADCAST_ROWS = 500_000
-
-
-def subscriptions_with_fanout(stg_subscriptions: DataFrame, stg_accounts: DataFrame,
-                              broadcast_rows: int = FANOUT_BROADCAST_ROWS) -> DataFrame:
-    """The subscription columns of ``int_account_subscriptions`` without its account join.
-
-    The left join with the accounts repeats a subscription once per account
-    row with its id (and keeps it once when there is none). Only ids that
-    occur more than once change anything, and those are normally few. They
-    are counted first (a size check): up to ``broadcast_rows`` they are
-    broadcast and the affected subscriptions repeated, so the subscriptions
-    are never shuffled for this; beyond it an ordinary shuffle join is used.
-    """
-    dup = stg_accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1)
-    side = F.broadcast(dup) if dup.count() <= broadcast_rows else dup
-    j = stg_subscriptions.join(side, "account_id", "left")
-    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_k"), F.lit(1)))))\
-        .drop("_k", "_copy")
+def account_multiplicity(stg_accounts: DataFrame) -> DataFrame:
+    """(account_id, _k): how often an account row joins; ids that no account has are missing."""
+    return stg_accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
 
 
 LATEST_SUBSCRIPTION_COLUMNS = ["subscription_id", "start_date", "plan_tier", "mrr_amount", "arr_amount",
@@ -129,9 +112,15 @@ def _churn_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame) ->
     return accounts, latest
 
 
-def _account_context(stg_accounts: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
-    """Accounts full-outer their latest subscription: everything churn needs per account."""
-    accounts, latest = _churn_dimensions(stg_accounts, stg_subscriptions)
+def _account_context(stg_accounts: DataFrame, stg_subscriptions: DataFrame, churned: DataFrame) -> DataFrame:
+    """Churned accounts full-outer their latest subscription: everything churn needs per account.
+
+    Both dimensions are first cut down to the ids that churned (``churned``), so
+    neither all subscriptions are rolled up nor all accounts joined.
+    """
+    ids = churned.select("account_id").distinct()
+    accounts, latest = _churn_dimensions(stg_accounts.join(ids, "account_id", "left_semi"),
+                                         stg_subscriptions.join(ids, "account_id", "left_semi"))
     return accounts.join(latest, "account_id", "full_outer")
 
 
@@ -169,7 +158,7 @@ def int_account_churn(stg_churn_events: DataFrame, stg_accounts: DataFrame,
                       stg_subscriptions: DataFrame) -> DataFrame:
     """One row per churn event with account demographics and the revenue lost."""
     events = stg_churn_events.select("account_id", *_CHURN_EVENT_COLUMNS)
-    return _enrich_churn(events, _account_context(stg_accounts, stg_subscriptions))
+    return _enrich_churn(events, _account_context(stg_accounts, stg_subscriptions, events))
 
 
 def latest_churn(stg_churn_events: DataFrame, stg_accounts: DataFrame,
@@ -223,8 +212,8 @@ def int_account_feature_usage(stg_feature_usage: DataFrame, stg_subscriptions: D
     one aggregate with three DISTINCTs: that would expand every row four
     times and, with the string-valued top-feature pick, force a sort-based
     aggregate over the expanded rows. Both levels here are hash aggregates
-    combined map-side; the two branches share the rollup's shuffle and meet
-    again on ``account_id`` (co-partitioned).
+    combined map-side and meet again on ``account_id`` (co-partitioned). Each
+    branch reads only the columns it needs, so the usage is scanned once for each.
     """
     u = usage_with_account(stg_feature_usage, stg_subscriptions)
     cnt, feature = F.col("total_usage_count"), F.col("feature_name")

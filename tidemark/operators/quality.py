@@ -133,6 +133,16 @@ def unique_count(model: str, df: DataFrame, column: str) -> DataFrame:
     return duplicate_groups(df, [column]).agg(*_row(model, column, "unique", F.count(F.lit(1))))
 
 
+def key_counts(model: str, df: DataFrame, column: str) -> DataFrame:
+    """The not_null and unique tests of one key in one aggregate: two report rows."""
+    null, n = F.col(column).isNull(), F.col("_n")
+    agg = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum(F.when(null, n)), F.lit(0)).alias("_nulls"), F.count(F.when(~null & (n > 1), 1)).alias("_dups"))
+    rows = F.array(F.struct(*_row(model, column, "not_null", F.col("_nulls"))),
+                   F.struct(*_row(model, column, "unique", F.col("_dups"))))
+    return agg.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def unique_combination_count(model: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return duplicate_groups(df, list(columns), skip_nulls=False).agg(
         *_row(model, ",".join(columns), "unique_combination", F.count(F.lit(1))))
@@ -156,18 +166,26 @@ def accepted_values_count(model: str, df: DataFrame, column: str, values: Sequen
 
 def run_suite(models: Callable[[str], DataFrame], checks: Sequence[Check] = SUITE,
               kinds: Sequence[str] | None = None) -> DataFrame:
-    """Report of ``checks`` (optionally only some test kinds); ``models(name)`` gives a model."""
+    """Report of ``checks`` (optionally only some test kinds); ``models(name)`` gives a model.
+
+    A key's not_null and unique tests are one aggregate; the other not_null
+    tests of a model are one pass. Give stored models where a model is costly.
+    """
     chosen = [c for c in checks if kinds is None or c.test in kinds]
     parts: list[DataFrame] = []
     nn: dict[str, list[str]] = {}
+    not_null = {(c.model, c.column) for c in chosen if c.test == "not_null"}
+    keys = [(c.model, c.column) for c in chosen if c.test == "unique" and (c.model, c.column) in not_null]
     for c in chosen:
-        if c.test == "not_null":
+        if c.test == "not_null" and (c.model, c.column) not in keys:
             nn.setdefault(c.model, []).append(c.column)
+    for model, column in keys:
+        parts.append(key_counts(model, models(model), column))
     for model, cols in nn.items():
         parts.append(not_null_counts(model, models(model), cols))
     for c in chosen:
         df = models(c.model)
-        if c.test == "unique":
+        if c.test == "unique" and (c.model, c.column) not in keys:
             parts.append(unique_count(c.model, df, c.column))
         elif c.test == "unique_combination":
             parts.append(unique_combination_count(c.model, df, c.column.split(",")))

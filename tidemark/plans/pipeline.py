@@ -44,7 +44,7 @@ class Pipeline:
                  materialize_spine: bool = False):
         self.spark = spark
         self.bronze = bronze
-        self.ctx = ctx or RunContext.pinned()
+        self.ctx = ctx or RunContext.now()  # one clock for the whole run
         self.materialize_spine = materialize_spine
 
     @classmethod
@@ -143,18 +143,13 @@ class Pipeline:
     def gold_churn_analysis(self) -> DataFrame:
         return gold.gold_churn_analysis(self.int_account_churn, self.ctx)
 
-    @cached_property
-    def revenue_base(self) -> DataFrame:
-        """Subscription rows as the account join yields them, without shuffling for it."""
-        return mid.subscriptions_with_fanout(self.stg_subscriptions, self.stg_accounts)
-
     @cached_property
     def mrr_movements(self) -> DataFrame:
-        return gold.mrr_movements(self.revenue_base)
+        return gold.mrr_movements(self.int_account_subscriptions)
 
     @cached_property
     def mrr_movement_agg(self) -> DataFrame:
-        return gold.mrr_movement_agg(self.mrr_movements)
+        return gold.mrr_movement_agg(self.stg_subscriptions, self.stg_accounts)
 
     @cached_property
     def gold_mrr_trends(self) -> DataFrame:

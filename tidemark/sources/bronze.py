@@ -1,8 +1,9 @@
 """Bronze ingestion: CSV files -> stamped tables.
 
-* ``read_csv``: header row, *declared* schema per table (schema inference is
-  an opt-in: it costs an extra pass over the files and can change types from
-  one delivery to the next).
+* ``read_csv``: columns are taken by the names in the header row, typed by the
+  *declared* schema per table (schema inference is an opt-in: it costs an extra
+  pass over the files and can change types from one delivery to the next). A
+  value that does not fit its type stops the load; ``malformed_rows`` shows such rows.
 * ``stamp``: adds ``ingestion_ts`` = the run timestamp.
 * ``write_table``: full overwrite (schema replaced) or append. Append is
   kept for parity with the append-style loader; re-running it duplicates rows,
@@ -18,29 +19,54 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.context import RunContext
 from tidemark.functions.core import union_all
 from tidemark.sources.schemas import BRONZE_SCHEMAS, SOURCE_FILES, STAMP
 
-CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd",
+CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "dateFormat": "yyyy-MM-dd",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 KNOWN_READ_OPTIONS = {"header", "inferSchema", "sep", "delimiter", "quote", "escape", "mode", "nullValue",
-                      "emptyValue", "dateFormat", "timestampFormat", "encoding", "multiLine", "comment"}
+                      "emptyValue", "dateFormat", "enforceSchema", "timestampFormat", "encoding", "multiLine", "comment"}
+
+
+def _by_name(spark: SparkSession, path: str, table: str, options: dict[str, str]) -> StructType:
+    """The declared schema in the order of the file's header; columns that are not declared are read as strings."""
+    header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(path).columns
+    declared = {f.name: f for f in BRONZE_SCHEMAS[table].fields}
+    missing = [n for n in declared if n not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    return StructType([declared.get(n, StructField(n, StringType())) for n in header])
 
 
 def read_csv(spark: SparkSession, path: str, table: str | None = None, infer: bool = False,
              **options: str) -> DataFrame:
-    """CSV scan with a header; typed by the declared schema of ``table`` unless ``infer``."""
+    """CSV scan with a header; typed by the declared schema of ``table`` unless ``infer``.
+
+    Columns are matched by name: they may come in any order, columns that are
+    not declared are left out, and a missing one is an error.
+    """
     unknown = set(options) - KNOWN_READ_OPTIONS
     if unknown:
         raise ValueError(f"unsupported CSV read options: {sorted(unknown)}")
-    reader = spark.read.options(**{**CSV_OPTIONS, **options})
+    chosen = {**CSV_OPTIONS, **options}
+    reader = spark.read.options(**chosen)
     if infer or table is None:
-        reader = reader.option("inferSchema", "true")
-    else:
-        reader = reader.schema(BRONZE_SCHEMAS[table])
-    return reader.csv(path)
+        return reader.option("inferSchema", "true").csv(path)
+    # enforceSchema=false: every file's header is compared with the names, not only the first one's.
+    return reader.option("enforceSchema", "false").schema(_by_name(spark, path, table, chosen)).csv(path).select(*BRONZE_SCHEMAS[table].fieldNames())
+
+
+def malformed_rows(spark: SparkSession, path: str, table: str, **options: str) -> DataFrame:
+    """The raw lines of which some value does not fit the declared schema, as column ``line``."""
+    chosen = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    schema = StructType([*_by_name(spark, path, table, {**CSV_OPTIONS, **options}).fields, StructField("_line", StringType())])
+    rows = spark.read.options(**chosen).schema(schema).csv(path)
+    # Always true, but it needs every column: Spark only parses what a query asks for.
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in BRONZE_SCHEMAS[table].fieldNames()])) >= 0
+    return rows.filter(F.col("_line").isNotNull() & parsed).select(F.col("_line").alias("line"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -10,7 +10,6 @@ parquet scans and pipelines it into whatever model reads it.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,24 +19,8 @@ from tidemark.context import RunContext
 from tidemark.sources.schemas import STAMP
 
 
-# Resolved source DataFrames per session and path. Resolving a parquet source
-# lists its files and reads a footer; on a large input the listing alone is
-# expensive, and reusing the resolved relation also pins every model of a run
-# to one snapshot of its inputs. Holds plan handles only, never data.
-_SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _SOURCES.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
-
-
-def forget_sources(spark: SparkSession) -> None:
-    """Drop the resolved sources of ``spark`` (re-list the files on next use)."""
-    _SOURCES.pop(spark, None)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The mapping of FIXTURES.md §3 -- one SQL text per input that runs
@@ -156,8 +139,12 @@ class Bronze:
 def load_bronze(spark: SparkSession, sf_dir: str, ctx: RunContext | None = None) -> Bronze:
     """Bronze inputs derived from the driver tables under ``sf_dir`` (lazily)."""
     ctx = ctx or RunContext.pinned()
+    handles: dict[str, DataFrame] = {}  # each source is resolved once for all models of these inputs
+
     def t(name: str) -> DataFrame:
-        return read_table(spark, sf_dir, name)
+        if name not in handles:
+            handles[name] = read_table(spark, sf_dir, name)
+        return handles[name]
 
     return Bronze(factory=lambda name: map_input(spark, name, t).withColumn(STAMP, ctx.stamp()))
 
