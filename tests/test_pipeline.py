@@ -18,19 +18,19 @@ def test_catalog_run_matches_lazy_models(spark):
 
     p = Pipeline.from_catalog(spark, "tm_test", ctx)
     written = p.run("tm_gold", as_tables=True)
-    assert set(written) == set(GOLD_MODELS)
+    assert set(written) == {*GOLD_MODELS, "int_account_360"}
     lazy = Pipeline.from_driver_tables(spark, SMALL, ctx)
-    for model in GOLD_MODELS:
+    for model in (*GOLD_MODELS, "int_account_360"):
         got, want = spark.table(f"tm_gold.{model}"), lazy.model(model)
         cols = want.columns
         assert got.select(cols).exceptAll(want.select(cols)).count() == 0, model
         assert want.select(cols).exceptAll(got.select(cols)).count() == 0, model
 
 
-def test_path_run_materializes_spine_once(spark):
+def test_path_run_stores_the_spine_as_a_table(spark):
     p = Pipeline.from_driver_tables(spark, SMALL)
     out = p.run(scratch_path(spark, "test-gold"))
-    assert p.materialize_spine
+    assert spark.read.parquet(out["int_account_360"]).count() == p.stg_accounts.count()
     health = spark.read.parquet(out["gold_account_health_summary"])
     assert health.count() == p.stg_accounts.count()
 

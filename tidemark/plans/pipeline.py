@@ -26,6 +26,7 @@ GOLD_MODELS = [
     "gold_support_performance",
     "gold_customer_segments",
 ]
+SPINE = "int_account_360"
 SPINE_READERS = ("gold_account_health_summary", "gold_customer_segments")
 SILVER_MODELS = ["stg_accounts", "stg_subscriptions", "stg_churn_events",
                  "stg_feature_usage", "stg_support_tickets"]
@@ -183,7 +184,8 @@ class Pipeline:
 
         With ``as_tables``, ``output_root`` is a database and each model is
         saved as the catalog table ``<database>.<model>`` (created if needed).
-        The spine is materialized once and shared by its two gold readers.
+        The spine is a table of its own, ``int_account_360``: it is stored with its
+        first reader and shared by both.
         The write jobs are submitted concurrently (``parallel_jobs`` driver
         threads), so small jobs do not leave the executors idle, and the
         tables that do not read the spine overlap its materialization. Each
@@ -193,11 +195,7 @@ class Pipeline:
 
         if as_tables:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {output_root}")
-        if not self.materialize_spine:
-            self.materialize_spine = True
-            for n in ("int_account_360", *SPINE_READERS):
-                self.__dict__.pop(n, None)
-        names = list(models or GOLD_MODELS)
+        names = [n for n in models or GOLD_MODELS if n != SPINE]
 
         def write(name: str, df: DataFrame) -> tuple[str, str]:
             if as_tables:
@@ -214,5 +212,12 @@ class Pipeline:
         with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
             first = [pool.submit(write, n, self.model(n)) for n in names if n not in SPINE_READERS]
             readers = [n for n in names if n in SPINE_READERS]
-            later = [pool.submit(write, n, self.model(n)) for n in readers]  # model() writes the spine first
-            return dict(f.result() for f in first + later)
+            stored = {}
+            if readers or SPINE in (models or ()):
+                for n in (SPINE, *SPINE_READERS):
+                    self.__dict__.pop(n, None)
+                stored = dict([write(SPINE, self.model(SPINE))])
+                target = stored[SPINE]
+                self.__dict__[SPINE] = self.spark.table(target) if as_tables else self.spark.read.format(fmt).load(target)
+            later = [pool.submit(write, n, self.model(n)) for n in readers]
+            return stored | dict(f.result() for f in first + later)
