@@ -100,6 +100,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique location under the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return "/".join([base, "tidemark", *parts, uuid.uuid4().hex])
+    """A fresh, unique location under the shared folder, removed when the application ends."""
+    path = "/".join([shared_dir(spark).rstrip("/"), "tidemark", *parts, uuid.uuid4().hex])
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
