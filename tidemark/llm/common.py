@@ -42,11 +42,7 @@ def ship(spark: SparkSession) -> None:
 
 def scratch(spark: SparkSession, kind: str) -> str:
     """A fresh location in the shared folder, removed when the application ends."""
-    path = scratch_path(spark, "llm", kind)
-    sc = spark.sparkContext
-    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
+    return scratch_path(spark, "llm", kind)
 
 
 def materialize(df: DataFrame, kind: str) -> DataFrame:
