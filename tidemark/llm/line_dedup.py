@@ -19,6 +19,8 @@ greater string; an empty table gives no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,25 +32,39 @@ VARIABLE = "<*>"
 _WHITE = " \t\x0b\f\r"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def document_key() -> list[Column]:
     """_did names the document, _th the row's text."""
     return [F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("_did"), F.xxhash64("text").alias("_th")]
 
 
-def masked(line: Column) -> Column:
+def masked(raw: Column) -> Column:
     """The line with one space between fields and every field with a digit as ``<*>``."""
-    line = F.trim(line, F.lit(_WHITE))
-    line = F.when(line.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(line, r"[ \t\x0B\f\r]+", " ")).otherwise(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(line)
+    def of(line: Column) -> Column:
+        spaced = F.regexp_replace(line, r"[ \t\x0B\f\r]+", " ")
+        plain = ~(line.rlike(r"[0-9\t\x0B\f\r]") | line.contains("  "))  # most lines: nothing to replace
+        return F.when(plain, line).otherwise(F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE))
+    return let(F.trim(raw, F.lit(_WHITE)), of)
+
+
+def parsed(raw: Column) -> Column:
+    """(line, leaf) of a raw line, NULL if it has fewer than LEAD fields; ``leaf`` hashes the number of fields and the first ones."""
+    def of(line: Column) -> Column:
+        fields = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+        return let(fields, lambda n: F.when(n >= LEAD, F.struct(
+            line.alias("line"), F.xxhash64(n, F.substring_index(line, " ", LEAD)).alias("leaf"))))
+    return let(masked(raw), of)
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(_did, _th, pos, line, leaf) of every line of LEAD fields or more; ``leaf`` hashes the number of fields and the first ones."""
-    lines = docs.where("text IS NOT NULL").select(*document_key(), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    lines = lines.select("_did", "_th", "pos", masked(F.col("raw")).alias("line"))
-    fields = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return (lines.where(fields >= LEAD)
-            .withColumn("leaf", F.xxhash64(fields, F.substring_index("line", " ", LEAD))))
+    """(_did, _th, pos, line, leaf) of every line of LEAD fields or more; each line is parsed once, before the rows are made."""
+    lines = docs.where("text IS NOT NULL").select(
+        *document_key(), F.posexplode(F.transform(F.split("text", "\n"), parsed)).alias("pos", "_line"))
+    return lines.where("_line IS NOT NULL").select("_did", "_th", "pos", "_line.line", "_line.leaf")
 
 
 def recurring_leaves(lines: DataFrame) -> DataFrame:
