@@ -39,8 +39,8 @@ from tidemark.llm.common import materialize, ship, text_or_empty
 
 DEPTH = 6
 TOP = 3  # contexts shorter than this are finished centrally
-CHUNK_BYTES = 32 << 20
-BUCKET_CHUNKS = 2  # chunks per bucket
+CHUNK_BYTES = 16 << 20
+BUCKET_CHUNKS = 4  # chunks per bucket
 END = b"\n"
 _BYTE = np.uint64(8)
 
@@ -205,7 +205,7 @@ def word_bucket(word: bytes, buckets: int) -> int:
     return zlib.crc32(word) % buckets
 
 
-def batches(table: pa.Table, size: int = 4_000_000):
+def batches(table: pa.Table, size: int = 2_000_000):
     """(rows, words of each, sequences) for about ``size`` bytes of text at a time."""
     texts, start, total = table.column("text"), 0, 0
     lengths = pc.binary_length(texts).to_numpy()
@@ -234,7 +234,7 @@ class Chunk:
             parts.append((other, np.zeros(len(other), np.int64)))
             for w, yes in zip(texts, learn[rows]):
                 words.update(w) if yes else words.update(dict.fromkeys(w, 0))
-            if len(parts) > 16:
+            if len(parts) > 8:
                 parts = [merge(parts)]
         return *merge(parts), words
 
@@ -295,7 +295,7 @@ def _gram_answers(top):
         gram, count, asked = _total(table)
         levels = build(gram, count, TOP) | top.value
         wanted = np.unique(np.concatenate(asked))
-        logs = np.concatenate([log10_probabilities(wanted[a:a + 200_000], levels) for a in range(0, len(wanted), 200_000)])
+        logs = np.concatenate([log10_probabilities(wanted[a:a + 50_000], levels) for a in range(0, len(wanted), 50_000)])
         answers = [pack(logs[np.searchsorted(wanted, k)], "<f4") for k in asked]
         return pa.table({"chunk": table.column("chunk"), "kind": ["g"] * len(answers), "keys": table.column("keys"),
                          "answer": pa.array(answers, pa.binary())})
