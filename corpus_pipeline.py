@@ -17,7 +17,8 @@ from tidemark.llm import decontaminate, jaccard_join, line_dedup, packing, toxic
 from tidemark.llm.common import fold, materialize, read_table
 from tidemark.llm.queries import vocabulary
 
-# A document of which lines found elsewhere make up this share is a copy: the join below decides about it as a whole.
+# A document of which lines found elsewhere make up this share and that is shown to be a near copy of one other document keeps
+# that document's lines: the join below decides about it as a whole. All others lose theirs; a text that loses all becomes empty.
 COPY_SHARE = 0.8
 
 

@@ -49,6 +49,21 @@ def test_copies_can_be_left_whole(spark):
     assert cleaned(docs, copy_share=0.8) == {0: copy, 1: copy, 2: texts[2], 3: own(201, 80)}
 
 
+def test_only_shown_copies_are_left_whole(spark):
+    a, b, c = (letters(10 + k, 60) for k in range(3))
+    copy = [own(300 + k, 30) for k in range(10)]
+    near = "\n".join([*copy[:9], own(320, 6)])
+    texts = [f"{a}\n{own(1, 80)}", f"{b}\n{own(2, 80)}", f"{a}\n{own(3)}\n{b}",      # passages of two documents: no copy of any one
+             "\n".join([c, *copy]), "\n".join([c, near]),                           # a near copy
+             "\n".join(copy[:3]),                                                   # an excerpt: no near copy of the whole
+             f"{c}\n{a}", f"{a}\n{c}"]                                              # copies of each other, of other documents' lines
+    got = cleaned(documents(spark, texts), copy_share=0.8)
+    assert got == dict(enumerate(texts)) | {2: own(3), 5: "", 6: "", 7: ""}
+    # A copy loses what its original loses, so that both still meet in the join.
+    texts = [f"{a}\n{own(1, 80)}", "\n".join([a, *copy]), "\n".join([a, *copy])]
+    assert cleaned(documents(spark, texts), copy_share=0.8) == {0: texts[0], 1: "\n".join(copy), 2: "\n".join(copy)}
+
+
 def test_counts_and_odd_rows(spark):
     odd = odd_documents(spark).where("doc_id IS NOT NULL")
     out = L.dedup_lines(odd)

@@ -28,6 +28,8 @@ from tidemark.llm.common import materialize
 
 LEAD = 3
 SIMILAR = 0.8
+LINKED = 0.8
+SHINGLE = 5
 VARIABLE = "<*>"
 _WHITE = " \t\x0b\f\r"
 
@@ -97,7 +99,44 @@ def decisions(lines: DataFrame, similar: float) -> DataFrame:
             .select("n.leaf", "n.line", "w.first"))
 
 
-def dropped_lines(docs: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
+def without(text: Column, gone: Column) -> Column:
+    """``text`` without the lines at the positions ``gone``."""
+    def of(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    return let(F.split(text, "\n"), of)
+
+
+def shingle_hashes(text: Column) -> Column:
+    """The distinct hashes of five consecutive words (all words of a shorter text), as the document join takes them."""
+    words = F.filter(F.split(F.lower(text), r"[\s\x1c-\x1f\x85\p{Z}]+"), lambda w: w != "")
+    return let(words, lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, SHINGLE))))))
+
+
+def copies(docs: DataFrame, rows: DataFrame, copy_share: float, linked: float) -> DataFrame:
+    """(_did, _th) of the documents that are shown to be near copies of the one document most of their lines come from.
+
+    ``rows``: (_did, _th, dropped, original, shared). Lines to drop make up ``copy_share`` of such a document's characters, and what it
+    keeps of them (the original's) and what the original keeps have a Jaccard similarity of ``linked`` or more. The original
+    is no such document itself, so what it keeps is certain.
+    """
+    keyed = docs.where("text IS NOT NULL").select(*document_key(), "text").dropDuplicates(["_did", "_th"])
+    lines = F.split("text", "\n")
+    chars = F.aggregate("dropped", F.lit(0), lambda n, i: n + F.length(F.get(lines, i)))
+    many = F.coalesce(chars >= copy_share * (F.length("text") - F.size(lines) + 1), F.lit(False))
+    suspects = materialize(keyed.join(rows, ["_did", "_th"]).where(many).select(
+        "_did", "_th", "original", shingle_hashes(without(F.col("text"), F.array_except("dropped", "shared"))).alias("grams")), "suspected-copies")
+    none = F.array().cast("array<int>")
+    originals = (keyed.join(suspects.select(F.col("original").alias("_did")).distinct(), "_did", "left_semi")
+                 .join(rows, ["_did", "_th"], "left").where(~many)
+                 .select(F.col("_did").alias("original"), shingle_hashes(without(F.col("text"), F.coalesce("dropped", none))).alias("of")))
+    common = F.size(F.array_intersect("grams", "of"))
+    return (suspects.join(materialize(originals, "originals"), "original")
+            .where((common > 0) & (common >= linked * (F.size("grams") + F.size("of") - common))).select("_did", "_th").distinct())
+
+
+def dropped_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: float | None = None, linked: float = LINKED) -> DataFrame:
     """(_did, _th, dropped): the positions of the lines to drop, for each row that has any."""
     lines = parsed_lines(docs)
     # Only lines that may recur are looked at more closely; they are a small part of the texts.
@@ -105,26 +144,28 @@ def dropped_lines(docs: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
     distinct = likely.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("_did").alias("least"), F.max("_did").alias("most"))
     decided = materialize(decisions(materialize(distinct, "distinct-lines"), similar), "recurring-templates")
     places = likely.join(decided, ["leaf", "line"]).where(F.col("_did") != F.col("first"))
-    return places.groupBy("_did", "_th").agg(F.collect_set("pos").alias("dropped"))
-
-
-def dedup_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: float | None = None) -> DataFrame:
+    if copy_share is None:
+        return places.groupBy("_did", "_th").agg(F.collect_set("pos").alias("dropped"))
+    # Lines by the document that keeps them; the one that keeps most of the characters is the original, if it is a copy.
+    by_first = places.groupBy("_did", "_th", "first").agg(F.sum(F.length("line")).alias("chars"), F.collect_set("pos").alias("at"))
+    by_row = by_first.groupBy("_did", "_th").agg(F.max(F.struct("chars", "first", "at")).alias("most"), F.flatten(F.collect_list("at")).alias("dropped"))
+    rows = materialize(by_row.select("_did", "_th", "dropped", F.col("most.first").alias("original"), F.col("most.at").alias("shared")), "dropped-lines")
+    shown = copies(docs, rows, copy_share, linked).withColumn("copy", F.lit(True))
+    return rows.join(shown, ["_did", "_th"], "left").select(
+        "_did", "_th", F.when(F.col("copy"), F.array_except("dropped", "shared")).otherwise(F.col("dropped")).alias("dropped"))
+
+
+def dedup_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: float | None = None, linked: float = LINKED) -> DataFrame:
     """``docs`` without the lines of recurring templates, with the same columns and ``_n_lines`` and ``_n_dropped``.
 
-    ``copy_share``: leave a document whole if the lines to drop make up this share of its characters or more; it is then a copy of
-    other documents rather than a document with boilerplate, and a matter for document deduplication.
+    ``copy_share``: a document of which the lines to drop make up this share of its characters or more keeps those that it has from one other
+    document if it is shown to be a near copy of it (Jaccard similarity of ``linked`` or more, of what both keep): it is then a
+    matter for document deduplication. All other documents lose all their recurring lines.
     """
     keyed = docs.withColumns(dict(zip(("_tm_did", "_tm_th"), document_key())))
-    dropped = dropped_lines(docs, similar=similar).toDF("_tm_did", "_tm_th", "_tm_dropped")
-    lines = F.split("text", "\n")
-    none = F.array().cast("array<int>")
-    gone = F.coalesce("_tm_dropped", none)
-    if copy_share is not None:
-        chars = F.aggregate(gone, F.lit(0), lambda n, i: n + F.length(F.get(F.col("_tm_lines"), i)))
-        gone = F.when(chars >= copy_share * (F.length("text") - F.size("_tm_lines") + 1), none).otherwise(gone)
-    joined = (keyed.join(dropped, ["_tm_did", "_tm_th"], "left").withColumn("_tm_lines", lines).withColumn("_tm_gone", gone))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_tm_lines") - 1), F.col("_tm_gone"))
-    text = F.when(F.size("_tm_gone") == 0, F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(F.col("_tm_lines"), i)), "\n"))
-    counts = [F.coalesce(F.size("_tm_lines"), F.lit(0)).cast("long").alias("_n_lines"), F.size("_tm_gone").cast("long").alias("_n_dropped")]
+    dropped = dropped_lines(docs, similar=similar, copy_share=copy_share, linked=linked).toDF("_tm_did", "_tm_th", "_tm_dropped")
+    gone = F.coalesce("_tm_dropped", F.array().cast("array<int>"))
+    joined = keyed.join(dropped, ["_tm_did", "_tm_th"], "left").withColumn("_tm_gone", gone)
+    text = F.when(F.size("_tm_gone") == 0, F.col("text")).otherwise(without(F.col("text"), F.col("_tm_gone")))
+    counts = [F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("_n_lines"), F.size("_tm_gone").cast("long").alias("_n_dropped")]
     return joined.select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns), *counts)
