@@ -68,6 +68,13 @@ def test_keep_one_of_each_group(spark):
     assert ids == sorted([*map(int, classes), 900, 901, 902])
 
 
+def test_unlinked_groups_keep_a_row_each(spark):
+    x, y, z, v = (prose(70 + k, 60) for k in range(4))
+    docs = documents(spark, [x, x + " more", y, y + " more", z, z + " more", v, v + " more"], [1, 2, 1, 3, None, None, None, None])
+    kept = [r["text"] for r in J.keep_one(docs).collect()]
+    assert sorted(t.removesuffix(" more") for t in kept) == sorted([x, y, z, v])
+
+
 def test_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]

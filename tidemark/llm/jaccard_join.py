@@ -224,7 +224,10 @@ def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
 
 
 def link_documents(docs: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """(doc_id, class_id, n_links, _id, _th) for every row of ``docs``."""
+    """(doc_id, class_id, n_links, _id, _th, _class) for every row of ``docs``.
+
+    ``_class`` names the row's group of linked documents: unlike class_id it is not shared by groups that have an id in common, or none.
+    """
     ship(docs.sparkSession)
     rows = materialize(document_sets(docs, prefix_depths(threshold, recall)), "shingle-signatures")
     # Copies meet here, in partial sums; "first" names a document of the class.
@@ -238,26 +241,29 @@ def link_documents(docs: DataFrame, *, threshold: float = THRESHOLD, recall: flo
     grouped = (links.groupBy("set_id").agg(F.sum("linked").alias("linked"))
                .join(cluster.withColumnRenamed("node", "set_id"), "set_id", "right"))
     least = (grouped.join(classes, "set_id").groupBy("component").agg(F.min("least_id").alias("class_id")))
-    others = grouped.join(least, "component").select("set_id", "class_id", "linked")
+    others = grouped.join(least, "component").select("set_id", "component", "class_id", "linked")
     # Written, so that the last join is a plain one between two tables and the copies of a hot class can be split.
     per_class = materialize(classes.join(others, "set_id", "left").select(
-        "set_id", F.coalesce("class_id", "least_id").alias("class_id"),
+        "set_id", F.coalesce("component", "set_id").alias("_class"),
+        # A component's class_id is NULL only if all its ids are, and then so is the least id of each of its classes.
+        F.coalesce("class_id", "least_id").alias("class_id"),
         (F.coalesce("linked", F.lit(0)) + F.col("documents") - 1).alias("n_links")), "linked-classes")
     return rows.join(per_class, "set_id", "left").select(
         "doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "_id", "_th")
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "_id", "_th", "_class")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` for each class of linked documents, with the same columns.
 
-    The one with the class's id stays (of rows with that id, the one with the least text hash and, of repeated rows, one).
+    The one with the least id stays (a missing id counts as the least; of rows with that id, the one with the least text hash and, of repeated rows, one). Groups that
+    share an id but no link keep a row each.
     Documents without words are all kept.
     """
     linked = link_documents(docs, **options)
     # The row to keep, in two short columns; partial minima, so a class of any size is no hot spot.
-    rows = linked.select(F.col("_id").alias("_tm_id"), F.col("_th").alias("_tm_th"), "class_id", "n_links")
-    best = (rows.where("n_links > 0").groupBy("class_id").agg(F.min(F.struct("_tm_id", "_tm_th")).alias("best"))
+    rows = linked.select(F.col("_id").alias("_tm_id"), F.col("_th").alias("_tm_th"), "_class", "n_links")
+    best = (rows.where("n_links > 0").groupBy("_class").agg(F.min(F.struct("_tm_id", "_tm_th")).alias("best"))
             .select(F.col("best._tm_id").alias("_tm_id"), F.col("best._tm_th").alias("_tm_th")))
     leave = rows.where("n_links > 0").select("_tm_id", "_tm_th").distinct().join(best, ["_tm_id", "_tm_th"], "left_anti")
     keyed = docs.withColumns(dict(zip(("_tm_id", "_tm_th"), row_key())))

@@ -117,7 +117,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its class (the smallest doc_id it is linked to, over any number of links) and its number of links."""
-    return jaccard_join.link_documents(read_table(spark, sf_dir, "documents")).drop("_id", "_th")
+    return jaccard_join.link_documents(read_table(spark, sf_dir, "documents")).drop("_id", "_th", "_class")
 
 
 def queries() -> dict[str, Query]:
