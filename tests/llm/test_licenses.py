@@ -47,6 +47,27 @@ def test_where_a_licence_is_found(spark):
     assert got[4]["licenses"] == []
 
 
+def in_paragraphs(template, *starts):
+    text = " ".join(template.split())
+    for start in starts:
+        assert text.count(start) == 1
+        text = text.replace(start, "\n\n" + start)
+    return text
+
+
+def test_licences_of_several_paragraphs_in_a_long_document():
+    templates = {n: t for n, t in reversed(L.TEMPLATES)}
+    gpl = next(t for n, t in L.TEMPLATES if n == "GPL-3.0" and "hope" in t)
+    for name, template, starts in (
+            ("MIT", MIT, ("The above copyright notice", "THE SOFTWARE IS PROVIDED")),
+            ("ISC", templates["ISC"], ("THE SOFTWARE IS PROVIDED",)),
+            ("BSD-2-Clause", templates["BSD-2-Clause"], ("1. Redistributions", "2. Redistributions", "THIS SOFTWARE IS PROVIDED")),
+            ("GPL-3.0", gpl, ("This program is distributed", "You should have received"))):
+        text = "\n\n".join([letters(1, 400), in_paragraphs(template, *starts), letters(2, 900), letters(3, 50)])
+        found = L.scan(text)
+        assert [n for n, _, _ in found] == [name] and found[0][1] == 1.0 and found[0][2] == "paragraphs"
+
+
 def test_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     rows = L.scan_licenses(odd).collect()

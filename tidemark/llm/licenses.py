@@ -2,11 +2,12 @@
 
 A text is normalised (lower case; words are runs of letters and digits; a copyright notice's line loses its
 years and names) and compared to licence templates: Dice = 2 |A and B| / (|A| + |B|) over the sets of word bigrams. Compared are
-the text's blocks: each line, each paragraph (lines between blank lines) and the whole text, so a notice is found whether
-it stands alone, in a file's header or as the document itself. Since |A and B| <= min(|A|, |B|), a block of b bigrams can only
-reach ``threshold`` t with templates of between b t/(2-t) and b (2-t)/t bigrams; the other templates are never
-looked at, and blocks beyond every template's bounds are skipped unread. Candidates are counted through an index from bigram to
-templates.
+the text's blocks: each line, each paragraph (lines between blank lines), each run of consecutive paragraphs and the whole text, so a
+notice is found whether it stands alone, in a file's header, in several paragraphs of a longer document or as the document itself.
+Since |A and B| <= min(|A|, |B|), a block of b bigrams can only reach ``threshold`` t with templates of between b t/(2-t) and
+b (2-t)/t bigrams; the other templates are never looked at. A text that lacks that share of every template's bigrams has no such
+block and is not cut into blocks at all; runs of paragraphs start where a bigram of a possible template is and grow to its bound.
+Candidates are counted through an index from bigram to templates.
 
 Edge cases: NULL and empty texts have no block and no licence; a block of one word has no bigram and matches nothing;
 ties go to the longer template, then to the first name; repeated rows are scanned each; an empty
@@ -19,6 +20,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,6 +96,11 @@ TEMPLATES = (
 )
 
 
+FULL_TEXTS = ()
+MARKS: set = set()
+VERSIONED: set = set()
+
+
 def bigrams(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:]))
 
@@ -106,49 +113,122 @@ def dice(a: set, b: set) -> float:
     return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
 
 
+def versions(words: list[str]) -> set[tuple[str, ...]]:
+    """Version numbers that follow the word "version" or a family name (2.0 is 2)."""
+    out = set()
+    for k in range(1, len(words)):
+        if words[k - 1] in VERSIONED and words[k].isdigit():
+            minor = words[k + 1:k + 2]
+            out.add((words[k], *minor) if minor and minor[0].isdigit() and minor[0] != "0" else (words[k],))
+    return out
+
+
+class Template(NamedTuple):
+    name: str
+    size: int
+    marks: set
+    versions: set
+    title: str
+
+
 @cache
-def template_index(threshold: float) -> tuple[list[tuple[str, int]], dict[tuple[str, str], list[int]], int, int]:
-    """Templates (name, bigrams), bigram -> templates, and the smallest and largest block that can match one."""
-    sets = [(name, bigrams(normalised_words(text))) for name, text in TEMPLATES]
-    index = defaultdict(list)
-    for i, (_, grams) in enumerate(sets):
+def template_index(threshold: float) -> tuple[list[Template], dict[tuple[str, str], list[int]], int, int]:
+    """Templates, bigram -> templates, and the smallest and largest block that can match one."""
+    index, templates = defaultdict(list), []
+    for name, title, text in [*((n, "", t) for n, t in TEMPLATES), *FULL_TEXTS]:
+        words = normalised_words(text)
+        grams = bigrams(words)
+        templates.append(Template(name, len(grams), MARKS & grams, versions(words), f" {' '.join(normalised_words(title))} " if title else ""))
         for g in grams:
-            index[g].append(i)
-    sizes = [len(g) for _, g in sets]
-    return ([(n, len(g)) for n, g in sets], dict(index),
-            int(min(sizes) * threshold / (2 - threshold) + 1e-9), int(max(sizes) * (2 - threshold) / threshold) + 1)
+            index[g].append(len(templates) - 1)
+    sizes = [t.size for t in templates]
+    return templates, dict(index), int(min(sizes) * threshold / (2 - threshold) + 1e-9), int(max(sizes) * (2 - threshold) / threshold) + 1
+
+
+def agrees(template: Template, words: list[str], grams: set) -> bool:
+    """Do family words, version and (of a full text) the title speak for the template?"""
+    if not MARKS & grams <= template.marks or template.title and template.title not in f" {' '.join(words)} ":
+        return False
+    return not template.versions or not (own := versions(words)) or bool(own & template.versions)
 
 
-def match(words: list[str], threshold: float = THRESHOLD) -> tuple[float, str, int] | None:
-    """The best template at or above the threshold: (dice, name, bigrams of the template)."""
-    templates, index, least, most = template_index(threshold)
+def best_of(found: dict[int, int], words: list[str], grams: set, threshold: float) -> tuple[float, str, int, bool] | None:
+    """As ``match``, given the bigrams that the block shares with each template."""
+    templates, best = template_index(threshold)[0], None
+    for i, common in found.items():
+        t = templates[i]
+        if max(t.size, len(grams)) * threshold <= min(t.size, len(grams)) * (2 - threshold) + 1e-9:  # equality is within the bounds
+            d = 2 * common / (len(grams) + t.size)
+            if d >= threshold and (best is None or (-d, -t.size, t.name) < (-best[0], -best[2], best[1])) and agrees(t, words, grams):
+                best = (d, t.name, t.size, not t.versions or bool(versions(words) & t.versions))
+    return best
+
+
+def match(words: list[str], threshold: float = THRESHOLD) -> tuple[float, str, int, bool] | None:
+    """The best template at or above the threshold: (dice, name, bigrams of the template, does the block have its version?)."""
+    _, index, least, most = template_index(threshold)
     if len(words) <= max(least, 1):
         return None
     grams = bigrams(words)
     if not least <= len(grams) <= most:
         return None
-    found = Counter(i for g in grams if g in index for i in index[g])
-    best = None
-    for i, common in found.items():
-        name, size = templates[i]
-        if max(size, len(grams)) * threshold <= min(size, len(grams)) * (2 - threshold) + 1e-9:  # equality is within the bounds
-            d = 2 * common / (len(grams) + size)
-            if d >= threshold and (best is None or (-d, -size, name) < (-best[0], -best[2], best[1])):
-                best = (d, name, size)
-    return best
+    return best_of(Counter(i for g in grams if g in index for i in index[g]), words, grams, threshold)
+
+
+def possible(words: list[str], threshold: float) -> set[int]:
+    """Templates that some part of the text can match: of their bigrams, t/(2-t) or more are there."""
+    templates, index, _, _ = template_index(threshold)
+    there = Counter(i for g in bigrams(words) if g in index for i in index[g])
+    return {i for i, n in there.items() if n * (2 - threshold) >= templates[i].size * threshold - 1e-9}
+
+
+def paragraph_runs(paragraphs: list[list[str]], candidates: set[int], threshold: float) -> Iterator[tuple[float, str, int, bool]]:
+    """The best template of each run of two consecutive paragraphs or more that matches one of the candidates."""
+    templates, index, _, _ = template_index(threshold)
+    most = max(templates[i].size for i in candidates) * (2 - threshold) / threshold
+    hits = {g: c for p in [[w for p in paragraphs for w in p]] for g in bigrams(p) if (c := candidates.intersection(index.get(g, ())))}
+    for first, start in enumerate(paragraphs[:-1]):
+        if not any(g in hits for g in zip(start, start[1:] + paragraphs[first + 1][:1])):
+            continue  # the run without this paragraph is closer to any template
+        words, grams, common = [], set(), Counter()
+        for last in range(first, len(paragraphs)):
+            at = max(len(words) - 1, 0)
+            words += paragraphs[last]
+            for g in zip(words[at:], words[at + 1:]):
+                if g not in grams:
+                    grams.add(g)
+                    common.update(hits.get(g, ()))
+            if len(grams) > most:
+                break
+            if last > first and (best := best_of(common, words, grams, threshold)):
+                yield best
 
 
 def scan(text: str | None, threshold: float = THRESHOLD) -> list[tuple[str, float, str]]:
-    """(licence, best dice, where: line, paragraph or document) of each licence found, best first."""
+    """(licence, best dice, where: line, paragraph, paragraphs or document) of each licence found, best first."""
     found: dict[str, tuple[float, str]] = {}
-    if not text:
+    if not text or not (candidates := possible(normalised_words(text), threshold)):
         return []
+    sure = set()
+
+    def note(best: tuple[float, str, int, bool], where: str) -> None:
+        d, name, _, versioned = best
+        if versioned:
+            sure.add(name)
+        if d > found.get(name, (0, ""))[0]:
+            found[name] = (d, where)
+
     paragraphs = PARAGRAPHS.split(text)
     for where, blocks in (("line", text.split("\n")), ("paragraph", [p for p in paragraphs if "\n" in p]), ("document", [text] * (len(paragraphs) > 1))):
         for block in blocks:
-            if len(block) > 2 and (best := match(normalised_words(block), threshold)) and best[0] > found.get(best[1], (0, ""))[0]:
-                found[best[1]] = (best[0], where)
-    return sorted(((n, d, w) for n, (d, w) in found.items()), key=lambda f: (-f[1], f[0]))
+            if len(block) > 2 and (best := match(normalised_words(block), threshold)):
+                note(best, where)
+    if len(paragraphs) > 2:
+        for best in paragraph_runs([w for p in paragraphs if (w := normalised_words(p))], candidates, threshold):
+            note(best, "paragraphs")
+    # A block without a version is a part of the notice that has it, if there is one of the family.
+    families = {n.rsplit("-", 1)[0] for n in sure}
+    return sorted(((n, d, w) for n, (d, w) in found.items() if n in sure or n.rsplit("-", 1)[0] not in families), key=lambda f: (-f[1], f[0]))
 
 
 def scan_licenses(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
