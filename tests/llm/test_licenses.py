@@ -62,12 +62,33 @@ def test_licences_of_several_paragraphs_in_a_long_document():
             ("MIT", MIT, ("The above copyright notice", "THE SOFTWARE IS PROVIDED")),
             ("ISC", templates["ISC"], ("THE SOFTWARE IS PROVIDED",)),
             ("BSD-2-Clause", templates["BSD-2-Clause"], ("1. Redistributions", "2. Redistributions", "THIS SOFTWARE IS PROVIDED")),
+            ("BSD-3-Clause", templates["BSD-3-Clause"], ("1. Redistributions", "2. Redistributions", "3. Neither", "THIS SOFTWARE IS PROVIDED")),
             ("GPL-3.0", gpl, ("This program is distributed", "You should have received"))):
         text = "\n\n".join([letters(1, 400), in_paragraphs(template, *starts), letters(2, 900), letters(3, 50)])
         found = L.scan(text)
         assert [n for n, _, _ in found] == [name] and found[0][1] == 1.0 and found[0][2] == "paragraphs"
 
 
+def test_neighbours_are_not_confused():
+    for name, template in L.TEMPLATES:
+        assert L.scan(template)[0][:2] == (name, 1.0)
+    long = {n: t for n, t in L.TEMPLATES if "hope that" in t}
+    assert set(long) == {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"}
+    # Versions and families that no template has get no name rather than a neighbour's.
+    assert L.scan(" ".join(long["GPL-3.0"].split()).replace("version 3", "version 4")) == []
+    assert L.scan(" ".join(long["GPL-3.0"].split()).replace("GNU General", "GNU Library General")) == []
+    assert L.scan("This work is licensed under a Creative Commons Attribution 3.0 International License.") == []
+
+
+def test_full_texts():
+    for name, _, text in L.FULL_TEXTS:
+        assert L.scan(text)[0][:2] == (name, 1.0)
+        inside = L.scan("\n\n".join([letters(1, 300), text.strip(), letters(2, 300)]))
+        assert inside[0][:2] == (name, 1.0), inside
+    gpl = next(t for n, _, t in L.FULL_TEXTS if n == "GPL-3.0")
+    assert "GPL-3.0" not in [n for n, _, w in L.scan(gpl.replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)) if w == "document"]
+
+
 def test_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     rows = L.scan_licenses(odd).collect()

@@ -9,6 +9,10 @@ b (2-t)/t bigrams; the other templates are never looked at. A text that lacks th
 block and is not cut into blocks at all; runs of paragraphs start where a bigram of a possible template is and grow to its bound.
 Candidates are counted through an index from bigram to templates.
 
+A licence is named only if the words that tell it from its neighbours agree: a block with "GNU Lesser", "NonCommercial", "endorse or" and
+the like, or with other version numbers, than the template is not that licence, and a full text needs its title. Covered are the licences
+in ``TEMPLATES`` and ``license_texts``; a licence that is in neither is not found.
+
 Edge cases: NULL and empty texts have no block and no licence; a block of one word has no bigram and matches nothing;
 ties go to the longer template, then to the first name; repeated rows are scanned each; an empty
 table gives no row; other columns are ignored.
@@ -27,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship
+from tidemark.llm.license_texts import FULL_TEXTS
 
 THRESHOLD = 0.8
 WORD = re.compile(r"[^\W_]+")
@@ -64,6 +69,18 @@ TEMPLATES = (
         LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
         CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
         SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+        of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+        ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+        LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+        SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
         required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
@@ -76,8 +93,33 @@ TEMPLATES = (
         implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
         details. You should have received a copy of the GNU General Public License along with this program. If not, see
         https://www.gnu.org/licenses/."""),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any
+        later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program; if not, write to the
+        Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""),
+    ("LGPL-3.0", """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
+        any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+        the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for
+        more details. You should have received a copy of the GNU Lesser General Public License along with this library. If not,
+        see https://www.gnu.org/licenses/."""),
+    ("LGPL-2.1", """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser
+        General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your
+        option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+        without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public
+        License for more details. You should have received a copy of the GNU Lesser General Public License along with this library;
+        if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""),
+    ("AGPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
+        any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+        the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for
+        more details. You should have received a copy of the GNU Affero General Public License along with this program. If not,
+        see https://www.gnu.org/licenses/."""),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
@@ -91,14 +133,20 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("all-rights-reserved", "All rights reserved."),
 )
 
-
-FULL_TEXTS = ()
-MARKS: set = set()
-VERSIONED: set = set()
+# Word pairs that tell a licence from its neighbours: a block with one that a template lacks is not that template's.
+MARKS = {("gnu", "lesser"), ("gnu", "library"), ("gnu", "affero"), ("endorse", "or"), ("by", "sa"), ("by", "nc"), ("by", "nd"), ("nc", "sa"), ("nc", "nd"),
+         *((a, b) for a in ("attribution", "noncommercial") for b in ("noncommercial", "sharealike", "noderivatives"))}
+VERSIONED = {"version", "v", "by", "sa", "nc", "nd", "attribution", "sharealike", "noncommercial", "noderivatives"}
 
 
 def bigrams(words: list[str]) -> set[tuple[str, str]]:
