@@ -1,11 +1,11 @@
-"""Operator 10: n-gram Jaccard self-join with a MinHash LSH forest and exact verification.
+"""Operator 10: n-gram Jaccard self-join with MinHash banding at fixed depths and exact verification.
 
 Two texts are linked if their sets of five-word shingles have a Jaccard similarity of ``threshold`` or more.
 
 * Texts with equal shingle sets form one class; a class is one row from here on, with its number of documents.
-* Every class has ``TREES`` MinHash signatures of up to ``MAX_DEPTH`` values: its paths in the prefix tries of the forest. The
-  prefixes that have to agree start at full depth and are shortened, tree by tree, until a pair at the
-  threshold meets in some tree with probability ``recall``; lower similarities meet less and less often.
+* Every class has ``TREES`` MinHash signatures of up to ``MAX_DEPTH`` values: a prefix in each tree. The
+  lengths of the prefixes are fixed beforehand, by the threshold and the recall alone: the longest with which a pair at the
+  threshold meets in some tree with probability ``recall``; lower similarities meet less and less often, and the rest is not found.
 * Classes that share a trie node (a prefix) are candidates. A node of any size is cut into blocks of about ``BLOCK`` classes and each pair of blocks
   is a group of its own, so a hot node is spread over many tasks and no group grows with the data. A pair counts in the
   first tree in which it meets, and nowhere else. Pairs are never rows: a group's pairs live in
