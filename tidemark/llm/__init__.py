@@ -1,5 +1,5 @@
 """Operators for large-scale training-data pipelines.
 
-Ten operators, one module each; their registered queries are in
+Thirteen operators, one module each; their registered queries are in
 :mod:`tidemark.llm.queries`. Nothing outside this package imports it.
 """

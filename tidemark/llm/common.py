@@ -74,3 +74,9 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_id"),
             F.xxhash64(F.col(text_col)).alias("_th")]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of :func:`scratch` that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

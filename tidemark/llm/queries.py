@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ctw, decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, token_files, toxicity
+from tidemark.llm import ctw, decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, simhash, token_files, toxicity, vector_codes, whitening
 from tidemark.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,11 +120,50 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(read_table(spark, sf_dir, "documents")).drop("_id", "_th", "_class")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of all vectors, their errors and the digest of the codebooks."""
+    return vector_codes.with_label_errors(vector_codes.compress(read_table(spark, sf_dir, "embeddings")))
+
+
+def _op11_sql(rounds: int = 6) -> str:
+    """The rounds as a chain of common table expressions: books (part, entry, place, value), then the nearest entry of each part."""
+    sql = """
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, embedding AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT r, (i - 1) // (len(v) // 8) AS p, (i - 1) % (len(v) // 8) AS k, CAST(floor(4096 * CAST(v[i] AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT r, v, unnest(range(1, len(v) + 1)) AS i FROM kept)),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 16),
+books0 AS MATERIALIZED (SELECT p, e, k, x AS c FROM x JOIN first USING (r))"""
+    for t in range(rounds + 1):
+        sql += f""",
+far{t} AS (SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM x JOIN books{t} USING (p, k) GROUP BY r, p, e),
+near{t} AS MATERIALIZED (SELECT r, p, e, d FROM far{t} QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)"""
+        if t < rounds:
+            sql += f""",
+mean{t} AS (SELECT p, e, k, sum(x) AS s, count(*) AS n FROM x JOIN near{t} USING (r, p) GROUP BY p, e, k),
+books{t + 1} AS MATERIALIZED (SELECT p, e, k, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM books{t} LEFT JOIN mean{t} USING (p, e, k))"""
+    return sql + f""",
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r),
+digest AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, k)) AS sha FROM books{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its fingerprint and the smallest doc_id it is linked to, over any number of links."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whitened(read_table(spark, sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_decontamination, op3_best_fit_packing, op4_context_tree, op5_token_files, op6_line_dedup, op7_licenses, op8_fingerprints, op9_language,
-        op10_jaccard_join)}
+        op10_jaccard_join, op11_vector_codes, op12_simhash, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op6_line_dedup": OP6_SQL}
+    return {"op2_decontamination": OP2_SQL, "op6_line_dedup": OP6_SQL, "op11_vector_codes": _op11_sql()}
