@@ -33,4 +33,5 @@ ODD_IDS = [0, 1, 2, 3, 4, None, 6, 7, 8, 9, 9]
 def odd_documents(spark: SparkSession):
     """Odd texts and ids, and columns named like what operators add."""
     df = documents(spark, ODD_TEXTS, ODD_IDS)
-    return df.selectExpr("*", "doc_id as score", "text as _id", "lang as sequence_id", "1 as n_words", "2 as block", "'t' as leaf")
+    return df.selectExpr("*", "doc_id as score", "text as _id", "lang as sequence_id", "1 as n_words", "2 as block", "'t' as leaf", *(
+        f"{7 + k} as {c}" for k, c in enumerate(("_toxicity", "_n_lines", "_n_dropped", "_tm_did", "_tm_th", "_tm_dropped", "_tm_id", "_tm_row", "toxic", "rows"))))

@@ -41,4 +41,4 @@ def test_query_matches_its_oracle(spark, name):
 
 
 def test_queries_are_complete():
-    assert [n.split("_")[0] for n in Q.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in Q.queries()] == [f"op{k}" for k in range(1, 14)]

@@ -71,3 +71,15 @@ def test_training_sample_is_bounded(spark):
     docs = documents(spark, [text("xa", i) for i in range(200)] + ["x" * 500])
     sample = L.training_sample(docs, F.lit(True), max_docs=20, max_chars=400)
     assert 5 <= len(sample["en"]) <= 20 and "x" * 500 not in sample["en"]
+
+
+def test_rejection_bounds_at_every_size():
+    r = np.random.default_rng(0)
+    large, other = r.normal(2.0, 0.1, 5000), r.normal(3.0, 0.1, 4000)
+    few = np.array([5.0, 5.1])
+    a, b, c, d = L.rejection_bounds([large, other, few, np.empty(0)], 0.99)
+    assert abs(a - np.quantile(large, 0.99)) < 0.01 and abs(b - np.quantile(other, 0.99)) < 0.01
+    assert 5.1 < c < 5.5 and np.isfinite(d)  # the spread of the others
+    assert L.rejection_bounds([np.empty(0)] * 2, 0.99) == [np.inf, np.inf]
+    sizes = [L.rejection_bounds([large[:n], other], 0.99)[0] for n in (1, 18, 19, 20, 21, 100)]
+    assert np.abs(np.diff(sizes)).max() < 0.3

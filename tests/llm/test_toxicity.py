@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import toxicity as T
 from tidemark.llm.common import fold
 
-from helpers import documents, letters, odd_documents
+from helpers import SMALL, documents, letters, odd_documents
 
 SLURS = ["vermalk", "vermalkisch", "vermalken", "grobbo", "grobbolo"]
 
@@ -59,6 +59,89 @@ def test_counterfactual_penalty_frees_neutral_mentions():
     assert (regular.scores([letters(5, 40) + " vermalk grobbo"]) >= 0.5).all()
 
 
+def mentions():
+    return [(features(a), features(b)) for a, b in T.inserted_mentions()]
+
+
+def test_inserted_mentions_act_where_no_text_names_a_group():
+    """The stem of a slur is also the beginning of a group's name: without the penalty a neutral mention counts as toxic."""
+    texts, toxic = corpus(300)
+    texts = [t.replace("vermalk", "musli") for t in texts]
+    assert not any({"muslim", "muslims", "muslime"} & T.words_of(t) for t in texts)
+    plain, regular = fitted(texts, toxic, counterfactual=0.0), fitted(texts, toxic, mentions=mentions(), counterfactual=10.0)
+    neutral, without = ([letters(10_000 + i, 40) + m for i in range(50)] for m in (" muslims", ""))
+    shift = lambda m: np.abs(m.scores(neutral) - m.scores(without)).mean()
+    assert shift(regular) < 0.3 * shift(plain)
+    assert (regular.scores(neutral) >= 0.5).sum() < (plain.scores(neutral) >= 0.5).sum()
+    assert (fitted(texts, toxic, mentions=mentions()).scores(texts) >= 0.5).tolist() == [bool(t) for t in toxic]
+
+
+def plain_fit(texts, toxic, *, counterfactual, l2=1e-4, min_toxic=2, steps=6000, rate=0.05):
+    """Full-gradient descent with dense vectors on the same loss, term by term."""
+    words = [sorted(T.words_of(t)) for t in texts]
+    support = {}
+    for w, t in zip(words, toxic):
+        for f in {f for x in w for f in T.word_features(x)} if t else ():
+            support[f] = support.get(f, 0) + 1
+    place = {f: k for k, f in enumerate(sorted(f for f, n in support.items() if n >= min_toxic))}
+
+    def vector(ws):
+        v = np.zeros(len(place))
+        for x in ws:
+            for f in T.word_features(x):
+                if f in place:
+                    v[place[f]] += 1
+        return v
+
+    scale = np.array([T.scale_of(len(w)) for w in words])
+    x, y = np.stack([vector(w) * s for w, s in zip(words, scale)]), np.array(toxic, float)
+    # Every mention in every text, as the definition says.
+    moves = np.stack([(vector(b) - vector(a)) * s for a, b in T.inserted_mentions() for s in scale])
+    w, bias = np.zeros(len(place)), 0.0
+    for _ in range(steps):
+        r = 1 / (1 + np.exp(-(x @ w + bias))) - y
+        w -= rate * (x.T @ r / len(y) + l2 * w + counterfactual * moves.T @ (moves @ w) / len(moves))
+        bias -= rate * r.mean()
+    return lambda text: 1 / (1 + np.exp(-(vector(T.words_of(text)) @ w * T.scale_of(len(T.words_of(text))) + bias)))
+
+
+def test_fit_is_the_plain_one_on_a_small_table():
+    texts, toxic = corpus(40, seed=2)
+    texts = [t.replace("vermalk", "musli") for t in texts]
+    options = {"counterfactual": 3.0, "l2": 0.05}
+    model, plain = fitted(texts, toxic, mentions=mentions(), steps=300, **options), plain_fit(texts, toxic, **options)
+    for text in [*texts, "musli", "muslims", ""]:
+        assert abs(model.scores([text])[0] - plain(text)) < 0.02
+
+
+def test_query_trains_with_mentions_and_clears_neutral_ones(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    on, off = (T.train(docs, labels, fold("doc_id", 5) != 0, counterfactual=c) for c in (1.0, 0.0))
+    texts = [r["text"] for r in docs.where("text IS NOT NULL").orderBy("doc_id").limit(60).collect()]
+    terms = [w for kind in T.IDENTITY_TERMS for w in kind[1:]]
+    named = [f"{t} {terms[k % len(terms)]}" for k, t in enumerate(texts)]
+    shift = [np.abs(m.scores(named) - m.scores(texts)).max() for m in (on, off)]
+    assert shift[0] <= shift[1] + 1e-6 and ((on.scores(named) >= 0.5) <= (on.scores(texts) >= 0.5)).all()
+    assert len(list(T.inserted_mentions())) > 150
+
+
+def test_sample_is_bounded_in_characters(spark):
+    texts, toxic = corpus(200, seed=9)
+    docs, labels = documents(spark, texts), spark.createDataFrame([(i, t) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    bounds = {"max_rows": 150, "max_chars": 400, "terms": T.IDENTITY_TERMS}
+    few = T.training_rows(docs, labels, F.lit(True), max_sample_chars=5000, **bounds).collect()
+    more = T.training_rows(docs, labels, F.lit(True), max_sample_chars=10 ** 6, **bounds).collect()
+    sizes = {np.sort(features(sorted(T.words_of(t)))).tobytes(): len(t) for t in texts}
+    chars = [sum(sizes[np.sort(np.frombuffer(r["features"], "<i4")).tobytes()] for r in rows) for rows in (few, more)]
+    assert 5000 - 400 < chars[0] <= 5000 < chars[1] and len(few) < len(more) <= 150
+
+
+def test_support_is_a_parameter():
+    texts, toxic = corpus(60, seed=4)
+    texts = [t + (" zzyzx" if k == toxic.index(1) else "") for k, t in enumerate(texts)]
+    assert fitted(texts, toxic).evidence("zzyzx") == 0 < fitted(texts, toxic, min_toxic=1).evidence("zzyzx")
+
+
 def test_counterfactuals_swap_each_term_of_a_kind():
     swaps = list(T.counterfactuals({"women", "house"}))
     kind = next(k for k in T.IDENTITY_TERMS if "women" in k)

@@ -80,3 +80,11 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a table of :func:`scratch` that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def new_name(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

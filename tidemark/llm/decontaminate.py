@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
-from tidemark.llm.common import materialize, row_key, ship
+from tidemark.llm.common import materialize, new_name, row_key, ship
 from tidemark.llm.words import gram_hashes, mix, word_hashes
 
 SPAN = 13
@@ -174,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the same columns."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("_id").alias("_tm_id"), F.col("_th").alias("_tm_th")).distinct()
-    keyed = docs.withColumns(dict(zip(("_tm_id", "_tm_th"), row_key())))
-    return keyed.join(bad, ["_tm_id", "_tm_th"], "left_anti").select(*docs.columns)
+    key = [new_name("_tm_id", docs), new_name("_tm_th", docs)]
+    bad = contamination(docs, benchmark).where("contaminated").select("_id", "_th").distinct().toDF(*key)
+    keyed = docs.withColumns(dict(zip(key, row_key())))
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

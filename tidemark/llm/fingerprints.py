@@ -10,7 +10,8 @@ likeness of two fingerprints is (share of equal bins - C) / (1 - C), not below 0
 Everything is computed on a row's own arrays; nothing is exploded, and a text of any length stays one row.
 
 Edge cases: a NULL text is empty; a text without a word has the empty fingerprint, likeness 1 to another empty
-one and 0 to any other; equal texts have equal fingerprints; repeated rows (same id and text) are one document; documents that share
+one and 0 to any other; equal texts have equal fingerprints; repeated rows (same id and text) are one place in the
+order and return the same result each; documents that share
 an id are ordered by the hash of their text; a NULL id comes last; an empty table gives no row; other columns are ignored.
 """
 
@@ -154,11 +155,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     parts = own.select(F.inline(F.array(head, tail)))
     is_head = F.col("is_head")
     met = parts.groupBy("to_id", "to_th").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"),
+        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count(F.when(is_head, True)).cast("int").alias("rows"),
         F.max(F.when(is_head, F.col("part"))).alias("head"), F.max(F.when(~is_head, F.col("part"))).alias("tail"),
         F.max(F.when(is_head, F.col("bins"))).alias("a"), F.max(F.when(~is_head, F.col("bins"))).alias("next"))
     edited = met.withColumn("edited", F.concat("head", "tail"))
     done = edited.withColumn("b", bins(F.col("edited")).cast("array<smallint>"))
-    return done.select("doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    result = done.select("rows", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                        packed(F.col("a")).alias("fingerprint"), packed(F.col("b")).alias("edited_fingerprint"),
                        likeness(F.col("a"), F.col("b")).alias("near_edited"), likeness(F.col("a"), F.col("next")).alias("near_next"))
+    # Repeated rows are one place in the order and have the same result, each.
+    return result.withColumn("row", F.explode(F.sequence(F.lit(1), "rows"))).drop("rows", "row")

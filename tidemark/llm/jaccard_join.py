@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
-from tidemark.llm.common import materialize, row_key, ship
+from tidemark.llm.common import materialize, new_name, row_key, ship
 from tidemark.llm.components import components
 from tidemark.llm.words import mix, shingles
 
@@ -262,13 +262,13 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     linked = link_documents(docs, **options)
     # The row to keep, in two short columns; partial minima, so a class of any size is no hot spot.
-    rows = linked.select(F.col("_id").alias("_tm_id"), F.col("_th").alias("_tm_th"), "_class", "n_links")
-    best = (rows.where("n_links > 0").groupBy("_class").agg(F.min(F.struct("_tm_id", "_tm_th")).alias("best"))
-            .select(F.col("best._tm_id").alias("_tm_id"), F.col("best._tm_th").alias("_tm_th")))
-    leave = rows.where("n_links > 0").select("_tm_id", "_tm_th").distinct().join(best, ["_tm_id", "_tm_th"], "left_anti")
-    keyed = docs.withColumns(dict(zip(("_tm_id", "_tm_th"), row_key())))
+    key, row = [new_name("_tm_id", docs), new_name("_tm_th", docs)], new_name("_tm_row", docs)
+    rows = linked.select("_id", "_th", "_class", "n_links")
+    best = rows.where("n_links > 0").groupBy("_class").agg(F.min(F.struct("_id", "_th")).alias("best")).select("best._id", "best._th")
+    leave = rows.where("n_links > 0").select("_id", "_th").distinct().join(best, ["_id", "_th"], "left_anti").toDF(*key)
+    keyed = docs.withColumns(dict(zip(key, row_key())))
     # Repeated rows of the one that stays share its key: one of them is enough. Rows without words are kept each.
     blank = ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     each = F.when(blank, F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    kept = keyed.withColumn("_tm_row", each).join(leave, ["_tm_id", "_tm_th"], "left_anti")
-    return kept.dropDuplicates(["_tm_id", "_tm_th", "_tm_row"]).select(*docs.columns)
+    kept = keyed.withColumn(row, each).join(leave, key, "left_anti")
+    return kept.dropDuplicates([*key, row]).select(*docs.columns)

@@ -11,7 +11,8 @@ of id and text among those of at most ``max_chars`` characters, so the model has
 Prediction reads every whole text.
 
 Rejection is calibrated: a text is ``rejected`` if its cross-entropy lies above the ``reject_quantile`` of the
-cross-entropies that the language's own calibration texts (a fifth of the sample, kept out of the counts) reach. The score
+cross-entropies that the language's own calibration texts (a fifth of the sample, kept out of the counts) reach; the
+spread of all languages' texts counts as ``PRIOR`` = 20 further ones, so that a language with few texts has a bound as well. The score
 is the posterior of the language given the per-character margins, with a temperature fitted on the same texts.
 
 Edge cases: a NULL text, or one without a letter, is ``und`` with score 0 and rejected; rows with NULL lang
@@ -181,6 +182,30 @@ def fit(samples: dict[str, list[str]], *, reject_quantile: float = 0.99) -> Mode
     return m
 
 
+PRIOR = 20.0
+
+
+def rejection_bounds(values: list[np.ndarray], quantile: float) -> list[float]:
+    """For each language the quantile of its held-out cross-entropies, with those of all languages as ``PRIOR`` further texts.
+
+    The others' deviations from their own medians are added to the language's median (the median of all if it has no text), with a total
+    weight of ``PRIOR`` texts: the same rule at every size, and a language with few texts gets the spread of all of them. Without
+    any held-out text there is nothing to calibrate from, and no bound.
+    """
+    every = np.concatenate([np.empty(0), *values])
+    if not len(every):
+        return [np.inf] * len(values)
+    centres = [np.median(v) if len(v) else np.median(every) for v in values]
+    spread = np.concatenate([v - c for v, c in zip(values, centres)])
+    out = []
+    for v, c in zip(values, centres):
+        x, weight = np.concatenate([v, c + spread]), np.concatenate([np.ones(len(v)), np.full(len(spread), PRIOR / len(spread))])
+        order = np.argsort(x, kind="stable")
+        reached = np.cumsum(weight[order]) >= quantile * weight.sum() * (1 - 1e-12)
+        out.append(float(x[order][np.argmax(reached)]))
+    return out
+
+
 def _calibrate(m: Model, held: dict[str, list[str]], reject_quantile: float) -> None:
     texts = [(j, t) for j, k in enumerate(m.languages) for t in held[k]]
     if not texts:
@@ -188,9 +213,7 @@ def _calibrate(m: Model, held: dict[str, list[str]], reject_quantile: float) ->
     h, truth = m.cross_entropies([t for _, t in texts]), np.array([j for j, _ in texts])
     known = ~np.isnan(h).any(axis=1)
     h, truth = h[known], truth[known]
-    for j in range(len(m.languages)):
-        if (truth == j).sum() >= 20:  # too few texts have no such quantile
-            m.reject[j] = np.quantile(h[truth == j, j], reject_quantile)
+    m.reject[:] = rejection_bounds([h[truth == j, j] for j in range(len(m.languages))], reject_quantile)
     if len(h):
         def loss(t: float) -> float:
             z = -h / t
@@ -203,14 +226,15 @@ def training_sample(docs: DataFrame, learn: Column, *, max_docs: int, max_chars:
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
     rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("_h"), "text")
     # The bound of each language comes from its count; a hash is uniform, so a share of the hash range is a share of the rows.
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    n = {r["lang"]: r["n"] for r in rows.select("lang", "_h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     below = F.lit(False)
     for lang, count in n.items():
         share = min(1.0, max_docs / count)
         edge = int(-(2**63) + share * (2**64)) - 1
         below |= (F.col("lang") == lang) & (F.col("_h") <= F.lit(min(edge, 2**63 - 1)))
     out: dict[str, list[tuple[int, str]]] = {}
-    for r in rows.where(below).toLocalIterator():
+    # Repeated rows are one before they are fetched.
+    for r in rows.where(below).dropDuplicates(["lang", "_h"]).toLocalIterator():
         out.setdefault(r["lang"], []).append((r["_h"], r["text"]))
     return {k: [t for _, t in sorted(v)[:max_docs]] for k, v in out.items()}
 

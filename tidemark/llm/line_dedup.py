@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, new_name
 
 LEAD = 3
 SIMILAR = 0.8
@@ -156,16 +156,18 @@ def dropped_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: floa
 
 
 def dedup_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: float | None = None, linked: float = LINKED) -> DataFrame:
-    """``docs`` without the lines of recurring templates, with the same columns and ``_n_lines`` and ``_n_dropped``.
+    """``docs`` without the lines of recurring templates, with the same columns and, as the last two, ``_n_lines`` and ``_n_dropped`` (with
+    further underscores if ``docs`` has columns of these names).
 
     ``copy_share``: a document of which the lines to drop make up this share of its characters or more keeps those that it has from one other
     document if it is shown to be a near copy of it (Jaccard similarity of ``linked`` or more, of what both keep): it is then a
     matter for document deduplication. All other documents lose all their recurring lines.
     """
-    keyed = docs.withColumns(dict(zip(("_tm_did", "_tm_th"), document_key())))
-    dropped = dropped_lines(docs, similar=similar, copy_share=copy_share, linked=linked).toDF("_tm_did", "_tm_th", "_tm_dropped")
-    gone = F.coalesce("_tm_dropped", F.array().cast("array<int>"))
-    joined = keyed.join(dropped, ["_tm_did", "_tm_th"], "left").withColumn("_tm_gone", gone)
-    text = F.when(F.size("_tm_gone") == 0, F.col("text")).otherwise(without(F.col("text"), F.col("_tm_gone")))
-    counts = [F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("_n_lines"), F.size("_tm_gone").cast("long").alias("_n_dropped")]
+    did, th, gone = (new_name(c, docs) for c in ("_tm_did", "_tm_th", "_tm_dropped"))
+    keyed = docs.withColumns(dict(zip((did, th), document_key())))
+    dropped = dropped_lines(docs.select("doc_id", "text"), similar=similar, copy_share=copy_share, linked=linked).toDF(did, th, gone)
+    joined = keyed.join(dropped, [did, th], "left").withColumn(gone, F.coalesce(gone, F.array().cast("array<int>")))
+    text = F.when(F.size(gone) == 0, F.col("text")).otherwise(without(F.col("text"), F.col(gone)))
+    counts = [F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias(new_name("_n_lines", docs)),
+              F.size(gone).cast("long").alias(new_name("_n_dropped", docs))]
     return joined.select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns), *counts)

@@ -4,10 +4,13 @@ A logistic model over hashed features of the distinct words of a text (the word
 forms share weight), scaled by the square root of their number so that long texts do not drift.
 Training minimises the logistic loss plus an L2 penalty plus a counterfactual penalty: in each labelled text that names a
 group of people, the terms are swapped for other terms of the same kind and for a neutral word, and the squared change
-of the score is penalised. A mention of a group then moves the score no more than a mention of any other, or of none.
+of the score is penalised. Labelled texts need not name a group for that: a mention of each term is also *inserted* into every labelled text, and its swaps
+for the neutral word and for nothing are penalised in the same way (such a change depends on the text by its scale alone, so the mean over
+all texts and terms is exact and costs one entry a term). A mention of a group then moves the score no more than a mention of any other, or of none.
 
 Training reads a bounded sample: the ``max_rows`` labelled rows with the smallest hash of their id, of texts of at most ``max_chars``
-characters. Scoring reads every whole text and nothing but the text.
+characters, and of those as many, in the order of the hash, as have ``max_sample_chars`` characters in total. A feature is used if at least ``min_toxic`` toxic texts of the sample have it; others would tell
+texts apart by chance and keep the weight 0. Scoring reads every whole text and nothing but the text.
 
 Edge cases: a NULL or empty text has no evidence and gets the base score; labels that are NULL, or whose document is missing,
 are not learned from; a document with several labels counts as toxic if one of them says so; repeated rows are scored each;
@@ -25,11 +28,11 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import materialize, new_name, ship
 
 BITS = 18
 SCALE = 10.0
@@ -72,6 +75,14 @@ def counterfactuals(words: set[str], terms: tuple[tuple[str, ...], ...] = IDENTI
                     yield named, come
 
 
+def inserted_mentions(terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Iterator[tuple[list[str], list[str]]]:
+    """Swaps of an inserted mention: the neutral word, or nothing, for each term of its kind."""
+    for neutral, *names in terms:
+        for name in names:
+            yield [neutral], [name]
+            yield [], [name]
+
+
 class Classifier:
     """logit = bias + SCALE / sqrt(distinct words) * evidence of the distinct words; a word's evidence is the sum over its features."""
 
@@ -104,43 +115,60 @@ def scale_of(words: int) -> float:
     return SCALE / max(words, 1) ** 0.5
 
 
+CHUNK = 1024  # texts handled at a time while the loss is computed
+
+
 def fit(features: list[np.ndarray], scales: np.ndarray, toxic: np.ndarray,
-        swaps: list[tuple[np.ndarray, np.ndarray, float]], *, l2: float = 1e-4, counterfactual: float = 1.0,
-        steps: int = 80) -> Classifier:
+        swaps: list[tuple[np.ndarray, np.ndarray, float]], *, mentions: list[tuple[np.ndarray, np.ndarray]] = (),
+        l2: float = 1e-4, counterfactual: float = 1.0, min_toxic: int = 2, steps: int = 80) -> Classifier:
     """Limited-memory BFGS on the regularised logistic loss.
 
     ``features``: hashed features of each text, ``scales``: its scale; ``swaps``: for each counterfactual the
-    features that leave, those that come, and the scale of its text.
+    features that leave, those that come, and the scale of its text; ``mentions``: the same of a mention inserted into every text, at the texts' mean square scale.
+    Memory: 8 bytes for each used feature of each text, and arrays of one chunk of texts.
     """
     size, n = 1 << BITS, len(features)
     y = np.asarray(toxic, dtype=float)
     if n == 0 or y.min() == y.max():
         p = (y.sum() + 0.5) / (n + 1)
         return Classifier(np.zeros(size), float(np.log(p / (1 - p))))
-    row, feature = np.repeat(np.arange(n), [len(f) for f in features]), np.concatenate(features).astype(np.int64)
-    # A feature that fewer than two toxic texts have is left out: it would tell texts apart by chance.
-    toxic_texts = np.bincount(np.unique(np.stack([row, feature])[:, y[row] == 1], axis=1)[1], minlength=size)
-    used = np.flatnonzero(toxic_texts >= 2)
-    place = np.full(size, -1)
-    place[used] = np.arange(len(used))
-    row, feature = row[place[feature] >= 0], place[feature[place[feature] >= 0]]
-    c_row = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b, _ in swaps])
-    c_feature = place[np.concatenate([np.concatenate([a, b]) for a, b, _ in swaps] or [np.empty(0)]).astype(np.int64)]
-    c_sign = np.concatenate([np.r_[-np.ones(len(a)), np.ones(len(b))] * s for a, b, s in swaps] or [np.empty(0)])
+    support = np.zeros(size, np.int32)
+    for f in (f for f, t in zip(features, y) if t == 1):
+        support[np.unique(f)] += 1
+    used = np.flatnonzero(support >= min_toxic)
+    place = np.full(size, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    scales, d = np.asarray(scales, float), len(used)
+    chunks = []
+    for at in range(0, n, CHUNK):
+        some = features[at:at + CHUNK]
+        feature = place[np.concatenate(some)]
+        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(f) for f in some])
+        chunks.append((slice(at, at + len(some)), row[feature >= 0], feature[feature >= 0]))
+
+    s_mention = float(np.sqrt((scales ** 2).mean()))
+    changes = [*swaps, *((a, b, s_mention) for a, b in mentions)]
+    c_row = np.repeat(np.arange(len(changes)), [len(a) + len(b) for a, b, _ in changes])
+    c_feature = place[np.concatenate([np.concatenate([a, b]) for a, b, _ in changes] or [np.empty(0)]).astype(np.int32)]
+    c_sign = np.concatenate([np.r_[-np.ones(len(a)), np.ones(len(b))] * s for a, b, s in changes] or [np.empty(0)])
     c_row, c_feature, c_sign = (x[c_feature >= 0] for x in (c_row, c_feature, c_sign))
-    scales, pull, d = np.asarray(scales, float), counterfactual / max(len(swaps), 1), len(used)
+    # The mean over the swaps in texts plus the mean over the inserted mentions.
+    pull = counterfactual * np.r_[np.full(len(swaps), 1 / max(len(swaps), 1)), np.full(len(mentions), 1 / max(len(mentions), 1))]
 
     def loss_and_slope(p: np.ndarray) -> tuple[float, np.ndarray]:
-        w = p[:d]
-        z = np.bincount(row, w[feature], n) * scales + p[d]
-        moved = np.bincount(c_row, c_sign * w[c_feature], len(swaps))
-        loss = np.logaddexp(0, np.where(y == 1, -z, z)).mean() + l2 / 2 * dot(w, w) + pull / 2 * dot(moved, moved)
-        r = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
-        g = np.empty(d + 1)
-        g[:d] = np.bincount(feature, (r * scales)[row], d) + l2 * w
+        w, g, loss = p[:d], np.zeros(d + 1), 0.0
+        for rows, row, feature in chunks:
+            t, scale = y[rows], scales[rows]
+            z = np.bincount(row, w[feature], len(t)) * scale + p[d]
+            loss += np.logaddexp(0, np.where(t == 1, -z, z)).sum() / n
+            r = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - t) / n
+            g[:d] += np.bincount(feature, (r * scale)[row], d)
+            g[d] += r.sum()
+        moved = np.bincount(c_row, c_sign * w[c_feature], len(changes))
+        loss += l2 / 2 * dot(w, w) + dot(pull, moved * moved) / 2
+        g[:d] += l2 * w
         if len(c_row):
-            g[:d] += np.bincount(c_feature, pull * c_sign * moved[c_row], d)
-        g[d] = r.sum()
+            g[:d] += np.bincount(c_feature, c_sign * (pull * moved)[c_row], d)
         return loss, g
 
     p = np.zeros(d + 1)
@@ -170,7 +198,8 @@ def fit(features: list[np.ndarray], scales: np.ndarray, toxic: np.ndarray,
     return Classifier(weights, float(p[d]))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int, max_chars: int) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int, max_chars: int, max_sample_chars: int,
+                  terms: tuple[tuple[str, ...], ...]) -> DataFrame:
     """(features, scale, toxic, leave, come) of the bounded sample; ``learn`` is a condition on ``doc_id``."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
@@ -178,7 +207,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= max_chars)
     # At most max_rows pairs of numbers are broadcast.
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def of(words) -> np.ndarray:
@@ -186,25 +215,40 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows
 
         for pdf in batches:
             rows = []
-            for text, toxic in zip(pdf["text"], pdf["toxic"]):
+            for doc_id, text, toxic in zip(pdf["doc_id"], pdf["text"], pdf["toxic"]):
                 words = words_of(text)
-                swaps = [(of(a).tobytes(), of(b).tobytes()) for a, b in counterfactuals(words)]
-                rows.append((of(words).tobytes(), scale_of(len(words)), int(toxic > 0), [a for a, _ in swaps], [b for _, b in swaps]))
-            yield pd.DataFrame(rows, columns=["features", "scale", "toxic", "leave", "come"])
+                swaps = [(of(a).tobytes(), of(b).tobytes()) for a, b in counterfactuals(words, terms)]
+                rows.append((doc_id, len(text), of(sorted(words)).tobytes(), scale_of(len(words)), int(toxic > 0), [a for a, _ in swaps], [b for _, b in swaps]))
+            yield pd.DataFrame(rows, columns=["doc_id", "chars", "features", "scale", "toxic", "leave", "come"])
+
+    sample = materialize(joined.mapInPandas(
+        features, "doc_id long, chars int, features binary, scale double, toxic int, leave array<binary>, come array<binary>"), "toxicity-sample")
+    # One row for each of the sample's at most max_rows ids (repeated ones are few numbers too): a window over them is bounded.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = sample.groupBy("doc_id").agg(F.sum("chars").alias("chars"))
+    within = sizes.select("doc_id", F.sum("chars").over(order).alias("so_far")).where(F.col("so_far") <= max_sample_chars).select("doc_id")
+    return sample.join(F.broadcast(within), "doc_id").select("features", "scale", "toxic", "leave", "come")
+
+
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The integer arrays of a binary column, views of its buffers."""
+    return [np.frombuffer(value.as_buffer(), "<i4") for chunk in column.chunks for value in chunk]
 
-    return joined.mapInPandas(features, "features binary, scale double, toxic int, leave array<binary>, come array<binary>")
 
+def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int = 12_000, max_chars: int = 100_000, max_sample_chars: int = 64_000_000,
+          terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options) -> Classifier:
+    # The driver gets the sample as one Arrow table; its order is fixed so that the same rows give the same model.
+    rows = training_rows(docs, labels, learn, max_rows=max_rows, max_chars=max_chars, max_sample_chars=max_sample_chars, terms=terms).toArrow()
+    features, toxic, scales = _arrays(rows.column("features")), rows.column("toxic").to_pylist(), rows.column("scale").to_pylist()
+    order = sorted(range(len(features)), key=lambda i: (bytes(features[i]), toxic[i]))
+    swaps = [(*(np.frombuffer(b, "<i4") for b in pair), scales[i]) for i in order
+             for pair in zip(rows.column("leave")[i].as_py(), rows.column("come")[i].as_py())]
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int = 12_000, max_chars: int = 100_000) -> Classifier:
-    def array(b: bytes) -> np.ndarray:
-        return np.frombuffer(b, dtype="<i4")
+    def of(words: list[str]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(word_features, words)), dtype="<i4")
 
-    # The driver gets at most max_rows rows; their order is fixed so that the same rows give the same model.
-    rows = sorted(training_rows(docs, labels, learn, max_rows=max_rows, max_chars=max_chars).toLocalIterator(),
-                  key=lambda r: (r["features"], r["toxic"]))
-    swaps = [(array(a), array(b), r["scale"]) for r in rows for a, b in zip(r["leave"], r["come"])]
-    return fit([array(r["features"]) for r in rows], np.array([r["scale"] for r in rows]),
-               np.array([r["toxic"] for r in rows]), swaps)
+    return fit([features[i] for i in order], np.array([scales[i] for i in order]), np.array([toxic[i] for i in order]), swaps,
+               mentions=[(of(a), of(b)) for a, b in inserted_mentions(terms)], **options)
 
 
 def score(docs: DataFrame, model: Classifier, *, column: str = "score") -> DataFrame:
@@ -233,5 +277,5 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, learn: Column, **bounds) ->
     """The rows of ``docs`` whose text is not predicted toxic, with the same columns."""
     ship(docs.sparkSession)
     model = train(docs, labels, learn, **bounds)
-    kept = score(docs, model, column="_toxicity").where(F.col("_toxicity") < 0.5)
-    return kept.select(*docs.columns)
+    column = new_name("_toxicity", docs)
+    return score(docs, model, column=column).where(F.col(column) < 0.5).select(*docs.columns)
