@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of templates that recur across documents; ``n_chars`` follows the text."""
     cleaned = line_dedup.dedup_lines(docs, copy_share=COPY_SHARE)
-    n_chars = F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col(cleaned.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
