@@ -230,25 +230,41 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows
     return sample.join(F.broadcast(within), "doc_id").select("features", "scale", "toxic", "leave", "come")
 
 
-def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
-    """The integer arrays of a binary column, views of its buffers."""
-    return [np.frombuffer(value.as_buffer(), "<i4") for chunk in column.chunks for value in chunk]
+def _fit_sample(rows: pa.Table, mentions: list[tuple[np.ndarray, np.ndarray]], options: dict) -> Classifier:
+    def arrays(name: str) -> list[np.ndarray]:  # views of the column's buffers
+        return [np.frombuffer(value.as_buffer(), "<i4") for chunk in rows.column(name).chunks for value in chunk]
 
-
-def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int = 12_000, max_chars: int = 100_000, max_sample_chars: int = 64_000_000,
-          terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options) -> Classifier:
-    # The driver gets the sample as one Arrow table; its order is fixed so that the same rows give the same model.
-    rows = training_rows(docs, labels, learn, max_rows=max_rows, max_chars=max_chars, max_sample_chars=max_sample_chars, terms=terms).toArrow()
-    features, toxic, scales = _arrays(rows.column("features")), rows.column("toxic").to_pylist(), rows.column("scale").to_pylist()
+    features, toxic, scales = arrays("features"), rows.column("toxic").to_pylist(), rows.column("scale").to_pylist()
+    # The order is fixed so that the same rows give the same model.
     order = sorted(range(len(features)), key=lambda i: (bytes(features[i]), toxic[i]))
     swaps = [(*(np.frombuffer(b, "<i4") for b in pair), scales[i]) for i in order
              for pair in zip(rows.column("leave")[i].as_py(), rows.column("come")[i].as_py())]
+    return fit([features[i] for i in order], np.array([scales[i] for i in order]), np.array([toxic[i] for i in order]), swaps, mentions=mentions, **options)
 
+
+def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int = 12_000, max_chars: int = 100_000, max_sample_chars: int = 64_000_000,
+          terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options) -> Classifier:
+    """The model of the bounded sample. One task fits it, so that the driver holds the weights only."""
     def of(words: list[str]) -> np.ndarray:
         return np.fromiter(chain.from_iterable(map(word_features, words)), dtype="<i4")
 
-    return fit([features[i] for i in order], np.array([scales[i] for i in order]), np.array([toxic[i] for i in order]), swaps,
-               mentions=[(of(a), of(b)) for a, b in inserted_mentions(terms)], **options)
+    mentions = [(of(a), of(b)) for a, b in inserted_mentions(terms)]
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (some := list(batches)):
+            return
+        model = _fit_sample(pa.Table.from_batches(some), mentions, options)
+        at = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes()]), pa.array([model.weights[at].tobytes()]), pa.array([model.bias])],
+                                         names=["at", "weight", "bias"])
+
+    rows = training_rows(docs, labels, learn, max_rows=max_rows, max_chars=max_chars, max_sample_chars=max_sample_chars, terms=terms)
+    found = rows.coalesce(1).mapInArrow(fitted, "at binary, weight binary, bias double").collect()  # one row, of at most 2 ** BITS weights
+    if not found:
+        return fit([], np.empty(0), np.empty(0), [])
+    weights = np.zeros(1 << BITS)
+    weights[np.frombuffer(found[0]["at"], "<i4")] = np.frombuffer(found[0]["weight"])
+    return Classifier(weights, found[0]["bias"])
 
 
 def score(docs: DataFrame, model: Classifier, *, column: str = "score") -> DataFrame:
