@@ -122,6 +122,18 @@ def subscription_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+@register("snap_late_batch", "SELECT * FROM h_history")
+def subscription_history_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three batches, the second one delivered last: the same history."""
+    from tidemark.context import scratch_path  # noqa: PLC0415
+
+    store = H.HistoryStore(spark, scratch_path(spark, "history"))
+    first, second, third = subscription_batches(pipeline(spark, sf_dir).stg_subscriptions)
+    for stamp, batch in (first, third, second):
+        store.apply(batch, stamp)
+    return store.read()
+
+
 @register("snap_as_of", f"SELECT * FROM h_history WHERE valid_from <= TIMESTAMP '{AS_OF_PROBE}' "
                         f"AND (valid_to IS NULL OR valid_to > TIMESTAMP '{AS_OF_PROBE}')")
 def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
