@@ -139,3 +139,16 @@ def test_hot_account_in_churn_facts_is_split(spark):
     assert len(rows) == n
     assert sum(1 for r in rows if r.account_id == "A-hot" and r.mrr_at_churn == 50) == n // 3
     assert "skew=true" in final.replace(" ", ""), final[:2000]
+
+
+@pytest.mark.parametrize("name", ["int_account_feature_usage", "int_account_360"])
+def test_usage_is_scanned_once(spark, name):
+    """Features and days are counted in one pass over the usage."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("Exchange hashpartitioning") <= {"int_account_feature_usage": 7, "int_account_360": 16}[name]

@@ -16,8 +16,9 @@ Plan notes (scale):
   dimensions (joined first), so AQE may split a skewed account on the fact
   side. For the latest event per account the event is picked first, and the
   one-row-per-account sides are joined on the same key without a shuffle.
-* The usage rollup pre-aggregates to (account, feature) and (account, day)
-  instead of three COUNT(DISTINCT)s over every daily row.
+* The usage rollup pre-aggregates to (account, feature) and (account, day) in
+  one pass (grouping sets) instead of three COUNT(DISTINCT)s over every daily
+  row: the usage is scanned and joined once.
 * The spine joins five inputs that are all keyed (and hash-partitioned) on
   ``account_id``; Spark reuses that partitioning across the chain.
 """
@@ -207,44 +208,42 @@ def usage_with_account(stg_feature_usage: DataFrame, stg_subscriptions: DataFram
 def int_account_feature_usage(stg_feature_usage: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
     """Feature breadth, volume, errors, top feature and recency per account.
 
-    The three distinct counts (features, beta features, days) are computed
-    by pre-aggregating to (account, feature) and (account, day) instead of
-    one aggregate with three DISTINCTs: that would expand every row four
-    times and, with the string-valued top-feature pick, force a sort-based
-    aggregate over the expanded rows. Both levels here are hash aggregates
-    combined map-side and meet again on ``account_id`` (co-partitioned). Each
-    branch reads only the columns it needs, so the usage is scanned once for each.
+    The three distinct counts (features, beta features, days) come from two
+    grouping sets, (account, feature) and (account, day), of one pass: every
+    daily row feeds a feature's and a day's partial sums in the map task, so
+    the usage is scanned and joined once and no row per distinct value is kept
+    beyond them. What is shuffled are the combined rows; a second level sums
+    them per account, again map-side first. Exact, at any number of features and days.
     """
     u = usage_with_account(stg_feature_usage, stg_subscriptions)
-    cnt, feature = F.col("total_usage_count"), F.col("feature_name")
-    per_feature = u.groupBy("account_id", "feature_name").agg(
+    cnt, feature, day = F.col("total_usage_count"), F.col("feature_name"), F.col("usage_date")
+    keys = ["account_id", "feature_name", "usage_date"]
+    per_key = u.groupingSets([["account_id", "feature_name"], ["account_id", "usage_date"]], *keys).agg(
+        (F.grouping("usage_date") == 1).alias("_of_feature"),
         F.sum(cnt).alias("_count"),
         F.sum("total_usage_duration_secs").alias("_secs"),
         F.sum("total_error_count").alias("_errors"),
         F.max(F.col("is_beta_feature") == F.lit(True)).alias("_beta"),
         F.max(cnt).alias("_peak"),
     )
-    features = per_feature.groupBy("account_id").agg(
-        F.count(feature).alias("distinct_features_used"),
-        F.sum("_count").alias("total_usage_count"),
-        round2(F.sum("_secs") / 3600.0).alias("total_usage_hours"),
-        F.sum("_errors").alias("total_error_count"),
-        pct(F.sum("_errors"), F.sum("_count")).alias("error_rate_pct"),
-        count_if(F.col("_beta") & feature.isNotNull()).alias("beta_features_used"),
+    of_feature = F.col("_of_feature")
+
+    def total(col: str):
+        return F.sum(F.when(of_feature, F.col(col)))
+
+    return per_key.groupBy("account_id").agg(
+        F.count(F.when(of_feature, feature)).alias("distinct_features_used"),
+        total("_count").alias("total_usage_count"),
+        round2(total("_secs") / 3600.0).alias("total_usage_hours"),
+        total("_errors").alias("total_error_count"),
+        pct(total("_errors"), total("_count")).alias("error_rate_pct"),
+        count_if(of_feature & F.col("_beta") & feature.isNotNull()).alias("beta_features_used"),
         # Feature of the largest single daily row; ties go to the larger name.
-        F.max_by(feature, F.when(F.col("_peak").isNotNull(), F.struct(F.col("_peak"), feature)))
+        F.max_by(feature, F.when(of_feature & F.col("_peak").isNotNull(), F.struct(F.col("_peak"), feature)))
         .alias("top_feature"),
-    )
-    days = u.groupBy("account_id", "usage_date").agg(F.count(F.lit(1)).alias("_rows")) \
-        .groupBy("account_id").agg(
-            F.max("usage_date").alias("last_usage_date"),
-            F.min("usage_date").alias("first_usage_date"),
-            F.count("usage_date").alias("active_days"),
-        )
-    return features.join(days, "account_id").select(
-        "account_id", "distinct_features_used", "total_usage_count", "total_usage_hours",
-        "total_error_count", "error_rate_pct", "beta_features_used", "top_feature",
-        "last_usage_date", "first_usage_date", "active_days",
+        F.max(F.when(~of_feature, day)).alias("last_usage_date"),
+        F.min(F.when(~of_feature, day)).alias("first_usage_date"),
+        F.count(F.when(~of_feature, day)).alias("active_days"),
     )
 
 

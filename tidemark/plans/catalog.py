@@ -140,6 +140,24 @@ def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.as_of(subscription_history(spark, sf_dir), AS_OF_PROBE)
 
 
+# ---------------------------------------------------------------- stored support percentiles
+from tidemark.operators.support_sketches import SupportSketches  # noqa: E402
+
+
+@register("support_percentiles_merged",
+          "SELECT ticket_month, priority, total_tickets, avg_resolution_time_hours, median_resolution_time_hours, p95_resolution_time_hours, "
+          "avg_first_response_minutes, median_first_response_minutes FROM g_support")
+def support_percentiles_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantile sketches of three deliveries of the tickets, stored by month and merged on read."""
+    from tidemark.context import scratch_path  # noqa: PLC0415
+
+    tickets = pipeline(spark, sf_dir).stg_support_tickets
+    store = SupportSketches(spark, scratch_path(spark, "support-sketches"))
+    for k in range(3):
+        store.add(tickets.filter(F.crc32("ticket_id") % 3 == k), f"d{k}")
+    return store.report()
+
+
 # ---------------------------------------------------------------- data quality
 from tidemark.operators import quality as Q  # noqa: E402
 
