@@ -25,7 +25,9 @@ from tidemark.operators.intermediate import account_multiplicity, usage_with_acc
 # Presentation orders of the reporting tables (applied on read).
 PRESENTATION_ORDER = {  # (column, ascending)
     "gold_mrr_trends": [("month_start", True), ("plan_tier", True)],
-    "gold_feature_adoption": [("usage_month", False), ("active_accounts", False)],
+    # After the report's own two columns, the rest of its grain: ties have one order.
+    "gold_feature_adoption": [("usage_month", False), ("active_accounts", False), ("feature_name", True), ("plan_tier", True),
+                              ("is_beta_feature", True)],
     "gold_support_performance": [("ticket_month", False), ("priority", True)],
     "gold_customer_segments": [("health_score", True)],
 }

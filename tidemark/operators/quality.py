@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import union_all
@@ -237,7 +237,7 @@ def lookup(df: DataFrame, order_by: str | None = None, descending: bool = True,
     """Point lookup: rows equal to ``equals`` (pushed into the scan), ordered by ``order_by``."""
     cond = None
     for c, v in equals.items():
-        e = F.col(c) == F.lit(v)
+        e = F.col(c) == (v if isinstance(v, Column) else F.lit(v))
         cond = e if cond is None else cond & e
     out = df.filter(cond) if cond is not None else df
     if order_by:

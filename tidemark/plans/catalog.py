@@ -329,3 +329,80 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("preview_accounts", "SELECT * FROM b_accounts ORDER BY account_id LIMIT 10")
 def preview_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.preview(pipeline(spark, sf_dir).bronze.accounts, "account_id", 10)
+
+
+@register("stored_feature_adoption_ordered",
+          "SELECT * FROM g_features ORDER BY usage_month DESC, active_accounts DESC, feature_name, plan_tier, is_beta_feature")
+def stored_feature_adoption_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature adoption as a run stores it, read back in presentation order."""
+    return gold.ordered("gold_feature_adoption", _stored(spark, sf_dir, "gold_feature_adoption"))
+
+
+@register("stored_support_performance_ordered", "SELECT * FROM g_support ORDER BY ticket_month DESC, priority")
+def stored_support_performance_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The support report as a run stores it, read back in presentation order."""
+    return gold.ordered("gold_support_performance", _stored(spark, sf_dir, "gold_support_performance"))
+
+
+# ---------------------------------------------------------------- catalog
+@register("catalog_after_ingest", "\nUNION ALL\n".join(
+    f"SELECT 'bronze_{t}' AS table_name, false AS is_temporary, true AS in_new_schema, count(*) AS n_rows FROM b_{t}" for t in BRONZE_SCHEMAS))
+def catalog_after_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create a schema, load the five inputs into it, switch to it and list its tables with their row counts."""
+    import uuid  # noqa: PLC0415
+
+    schema, before = f"ingest_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    B.ensure_schema(spark, schema, scratch_path(spark, "schema"))
+    B.ingest_all_to_catalog(spark, _land_csv(spark, sf_dir, list(BRONZE_SCHEMAS)), schema, RunContext.pinned())
+    spark.catalog.setCurrentDatabase(schema)
+    try:
+        here = B.current_schema(spark).first()["current_schema"]
+        listed = B.catalog_tables(spark).filter(F.col("database") == F.lit(here))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    counts = B.union_all([spark.table(f"{schema}.bronze_{t}").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(f"bronze_{t}"))
+                          for t in BRONZE_SCHEMAS])
+    return listed.join(counts, "table_name").select("table_name", "is_temporary", (F.col("database") == F.lit(schema)).alias("in_new_schema"), "n_rows")
+
+
+# ---------------------------------------------------------------- stored layouts
+from tidemark.plans import layout as L  # noqa: E402
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> Pipeline:
+    return L.store_usage_layout(pipeline(spark, sf_dir), scratch_path(spark, "usage-layout"), buckets=8)
+
+
+@register("bucketed_feature_usage", "SELECT * FROM i_usage")
+def bucketed_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usage rollup per account over bucketed tables: no exchange below the join."""
+    return _bucketed(spark, sf_dir).int_account_feature_usage
+
+
+@register("bucketed_feature_adoption", "SELECT * FROM g_features")
+def bucketed_feature_adoption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature adoption over bucketed tables: no exchange below the join."""
+    return _bucketed(spark, sf_dir).gold_feature_adoption
+
+
+USAGE_GRAIN = ["subscription_id", "usage_date", "feature_name"]
+
+
+def _usage_for_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "usage-lookup")
+    L.store_for_lookup(pipeline(spark, sf_dir).bronze.feature_usage, path, USAGE_GRAIN, ["usage_id"])
+    return L.lookup_table(spark, path)
+
+
+@register("usage_lookup_by_id", "SELECT * FROM b_feature_usage WHERE usage_id = 'U-112-3' ORDER BY ingestion_ts")
+def usage_lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw usage rows of one id by ingest time: Bloom filters skip the row groups without it."""
+    return Q.lookup(_usage_for_lookup(spark, sf_dir), order_by=STAMP, descending=False, usage_id="U-112-3")
+
+
+@register("usage_lookup_by_grain", "SELECT * FROM b_feature_usage WHERE subscription_id = 'S-0' AND usage_date = DATE '1998-05-05' "
+                                   "AND feature_name = 'feature_7' ORDER BY ingestion_ts DESC")
+def usage_lookup_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw usage rows of one (subscription, day, feature), latest ingest first: the order of the files leaves few row groups."""
+    return Q.lookup(_usage_for_lookup(spark, sf_dir), order_by=STAMP, subscription_id="S-0",
+                    usage_date=F.lit("1998-05-05").cast("date"), feature_name="feature_7")

@@ -178,10 +178,24 @@ class Pipeline:
     def models(self) -> dict[str, DataFrame]:
         return {n: self.model(n) for n in SILVER_MODELS + INTERMEDIATE_MODELS + GOLD_MODELS}
 
+    def publish_views(self, prefix: str = "") -> list[str]:
+        """Name the silver and intermediate models: each becomes the view ``<prefix><model>`` of the session.
+
+        A view is its model's plan, computed when it is read; the stored spine
+        is read where ``run`` has put it.
+        """
+        names = SILVER_MODELS + INTERMEDIATE_MODELS
+        for n in names:
+            self.model(n).createOrReplaceTempView(f"{prefix}{n}")
+        return [f"{prefix}{n}" for n in names]
+
     def run(self, output_root: str, models: list[str] | None = None, fmt: str = "parquet",
-            as_tables: bool = False, parallel_jobs: int = 4) -> dict[str, str]:
+            as_tables: bool = False, parallel_jobs: int = 4, views: str | None = None) -> dict[str, str]:
         """Write the gold tables (or ``models``) under ``output_root/<model>``.
 
+        With ``views``, the silver and intermediate models can be queried
+        afterwards as views of that prefix (see :meth:`publish_views`).
+
         With ``as_tables``, ``output_root`` is a database and each model is
         saved as the catalog table ``<database>.<model>`` (created if needed).
         The spine is a table of its own, ``int_account_360``: it is stored with its
@@ -220,4 +234,7 @@ class Pipeline:
                 target = stored[SPINE]
                 self.__dict__[SPINE] = self.spark.table(target) if as_tables else self.spark.read.format(fmt).load(target)
             later = [pool.submit(write, n, self.model(n)) for n in readers]
-            return stored | dict(f.result() for f in first + later)
+            written = stored | dict(f.result() for f in first + later)
+        if views is not None:
+            self.publish_views(views)
+        return written

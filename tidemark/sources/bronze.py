@@ -134,9 +134,14 @@ def preview(df: DataFrame, order_by: str, n: int = 10) -> DataFrame:
     return df.orderBy(F.col(order_by).asc()).limit(n)
 
 
-def ensure_schema(spark: SparkSession, name: str) -> None:
+def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE SCHEMA IF NOT EXISTS`` -- the target database of the bronze and gold tables."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
+
+
+def current_schema(spark: SparkSession) -> DataFrame:
+    """The session's current schema, as one row."""
+    return spark.sql("SELECT current_schema() AS current_schema")
 
 
 def ingest_all_to_catalog(spark: SparkSession, base_path: str, database: str, ctx: RunContext,
