@@ -110,7 +110,7 @@ def _row(model: str, column: str, test: str, failures) -> list:
             failures.cast("bigint").alias("failures")]
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def finish(df: DataFrame) -> DataFrame:
     return df.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
@@ -193,7 +193,7 @@ def run_suite(models: Callable[[str], DataFrame], checks: Sequence[Check] = SUIT
             parts.append(relationship_count(c.model, df, c.column, models(c.args["to"]), c.args["field"]))
         elif c.test == "accepted_values":
             parts.append(accepted_values_count(c.model, df, c.column, c.args["values"]))
-    return _finish(union_all(parts))
+    return finish(union_all(parts))
 
 
 # ---------------------------------------------------------------- ad-hoc checks

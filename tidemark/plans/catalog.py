@@ -172,7 +172,15 @@ def _suite(kinds):
 
 for _kind in Q.TEST_KINDS:
     register(f"dq_{_kind}", O.dq_report_sql([c for c in Q.SUITE if c.test == _kind]))(_suite([_kind]))
-register("dq_report", O.dq_report_sql(Q.SUITE))(_suite(None))
+
+
+@register("dq_report", O.dq_report_sql(Q.SUITE))
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared tests, measured by a run while it writes the models."""
+    from tidemark.context import scratch_path  # noqa: PLC0415
+    from tidemark.plans.tested_run import tested_run  # noqa: PLC0415
+
+    return tested_run(pipeline(spark, sf_dir), scratch_path(spark, "tested-run"))
 
 
 @register("dq_duplicates_bronze", "\nUNION ALL\n".join(
