@@ -414,3 +414,39 @@ def usage_lookup_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw usage rows of one (subscription, day, feature), latest ingest first: the order of the files leaves few row groups."""
     return Q.lookup(_usage_for_lookup(spark, sf_dir), order_by=STAMP, subscription_id="S-0",
                     usage_date=F.lit("1998-05-05").cast("date"), feature_name="feature_7")
+
+
+# ---------------------------------------------------------------- monthly tables, refreshed by month
+import datetime as dt  # noqa: E402
+
+from tidemark.plans.monthly import MonthlyTables  # noqa: E402
+
+FIRST_LOAD, CUT = dt.datetime(2001, 11, 30), "2001-06-01"
+DATED = {"feature_usage": "usage_date", "support_tickets": "submitted_at", "subscriptions": "start_date"}
+
+
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, Pipeline]:
+    """Bronze after a first load (rows dated before the cut) and after a second one, which brings the others."""
+    first, second = pipeline(spark, sf_dir), pipeline(spark, sf_dir)
+    for table in FX.BRONZE_TABLES:
+        df, when = first.bronze.table(table), DATED.get(table)
+        old = F.coalesce(F.col(when) < F.lit(CUT).cast("date"), F.lit(True)) if when else F.lit(True)
+        stamped = df.withColumn(STAMP, F.when(old, F.lit(FIRST_LOAD)).otherwise(F.col(STAMP)))
+        first.bronze._frames[table], second.bronze._frames[table] = stamped.filter(old), stamped
+    return first, second
+
+
+def _refreshed(table: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The table after a first load, written by month, and a refresh of the months that the second load touches."""
+        first, second = two_loads(spark, sf_dir)
+        root = scratch_path(spark, "monthly")
+        MonthlyTables(first, root).write_all()
+        tables = MonthlyTables(second, root)
+        tables.refresh(FIRST_LOAD)
+        return tables.read(table)
+    return build
+
+
+for _table, _cte in (("gold_mrr_trends", "g_mrr"), ("gold_feature_adoption", "g_features"), ("gold_support_performance", "g_support")):
+    register(f"monthly_{_table.removeprefix('gold_')}", f"SELECT * FROM {_cte}")(_refreshed(_table))
