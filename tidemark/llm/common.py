@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,3 +91,11 @@ def new_name(name: str, df: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def give_back_memory() -> None:
+    """Return what this process has freed to the machine, where its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

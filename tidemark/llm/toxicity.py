@@ -22,21 +22,21 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import materialize, new_name, ship
+from tidemark.llm.common import give_back_memory, materialize, new_name, ship
 
 BITS = 18
 SCALE = 10.0
 PREFIXES = (4, 5, 6)
+CACHED_WORDS = 150_000  # words whose evidence a task keeps
 WORDS = re.compile(r"[^\W\d_]+")
 
 # Terms that name groups of people, by kind, with a neutral word of the kind's language first.
@@ -64,6 +64,10 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(n.encode()) & ((1 << BITS) - 1) for n in names]
 
 
+def features_of(words: Iterable[str]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(map(word_features, words)), dtype="<i4")
+
+
 def counterfactuals(words: set[str], terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Iterator[tuple[list[str], list[str]]]:
     """Swaps (words that leave, words that come): every term of a kind in the text for each other word of its kind."""
     for kind in terms:
@@ -93,17 +97,17 @@ class Classifier:
     def evidence(self, word: str) -> float:
         return sum(self.weights.item(f) for f in word_features(word))
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        out, known = np.empty(len(texts)), self.words
-        for i, text in enumerate(texts):
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        out, known = [], self.words
+        for text in texts:
             words = words_of(text)
             for w in words:
                 if w not in known:
                     known[w] = self.evidence(w)
-            out[i] = sum(map(known.__getitem__, words)) * scale_of(len(words))
-            if len(known) > 500_000:
+            out.append(sum(map(known.__getitem__, words)) * scale_of(len(words)))
+            if len(known) > CACHED_WORDS:
                 known.clear()
-        return 1 / (1 + np.exp(-np.clip(out + self.bias, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(np.array(out, dtype=float) + self.bias, -40, 40)))
 
 
 def dot(a: np.ndarray, b: np.ndarray) -> float:
@@ -143,7 +147,7 @@ def fit(features: list[np.ndarray], scales: np.ndarray, toxic: np.ndarray,
     for at in range(0, n, CHUNK):
         some = features[at:at + CHUNK]
         feature = place[np.concatenate(some)]
-        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(f) for f in some])
+        row = np.repeat(np.arange(len(some), dtype=np.int16), [len(f) for f in some])
         chunks.append((slice(at, at + len(some)), row[feature >= 0], feature[feature >= 0]))
 
     s_mention = float(np.sqrt((scales ** 2).mean()))
@@ -209,19 +213,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows
     # At most max_rows pairs of numbers are broadcast.
     joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def of(words) -> np.ndarray:
-            return np.fromiter(chain.from_iterable(map(word_features, words)), dtype="<i4")
-
-        for pdf in batches:
-            rows = []
-            for doc_id, text, toxic in zip(pdf["doc_id"], pdf["text"], pdf["toxic"]):
-                words = words_of(text)
-                swaps = [(of(a).tobytes(), of(b).tobytes()) for a, b in counterfactuals(words, terms)]
-                rows.append((doc_id, len(text), of(sorted(words)).tobytes(), scale_of(len(words)), int(toxic > 0), [a for a, _ in swaps], [b for _, b in swaps]))
-            yield pd.DataFrame(rows, columns=["doc_id", "chars", "features", "scale", "toxic", "leave", "come"])
-
-    sample = materialize(joined.mapInPandas(
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chars, found, scales, leave, come = [], [], [], [], []
+            for text in batch.column(1):
+                words = words_of(text := text.as_py())
+                swaps = list(counterfactuals(words, terms))
+                chars.append(len(text))
+                found.append(features_of(sorted(words)).tobytes())
+                scales.append(scale_of(len(words)))
+                leave.append([features_of(a).tobytes() for a, _ in swaps])
+                come.append([features_of(b).tobytes() for _, b in swaps])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(chars, pa.int32()), pa.array(found, pa.binary()), pa.array(scales, pa.float64()), batch.column(2),
+                 pa.array(leave, pa.list_(pa.binary())), pa.array(come, pa.list_(pa.binary()))],
+                names=["doc_id", "chars", "features", "scale", "toxic", "leave", "come"])
+
+    sample = materialize(joined.withColumn("toxic", (F.col("toxic") > 0).cast("int")).mapInArrow(
         features, "doc_id long, chars int, features binary, scale double, toxic int, leave array<binary>, come array<binary>"), "toxicity-sample")
     # One row for each of the sample's at most max_rows ids (repeated ones are few numbers too): a window over them is bounded.
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -245,15 +253,14 @@ def _fit_sample(rows: pa.Table, mentions: list[tuple[np.ndarray, np.ndarray]], o
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int = 12_000, max_chars: int = 100_000, max_sample_chars: int = 64_000_000,
           terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options) -> Classifier:
     """The model of the bounded sample. One task fits it, so that the driver holds the weights only."""
-    def of(words: list[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(word_features, words)), dtype="<i4")
-
-    mentions = [(of(a), of(b)) for a, b in inserted_mentions(terms)]
+    mentions = [(features_of(a), features_of(b)) for a, b in inserted_mentions(terms)]
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (some := list(batches)):
             return
         model = _fit_sample(pa.Table.from_batches(some), mentions, options)
+        del some
+        give_back_memory()  # the worker is used again, next to tasks that need the room
         at = np.flatnonzero(model.weights)
         yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes()]), pa.array([model.weights[at].tobytes()]), pa.array([model.bias])],
                                          names=["at", "weight", "bias"])
@@ -274,8 +281,10 @@ def score(docs: DataFrame, model: Classifier, *, column: str = "score") -> DataF
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(*shared.value)
         for batch in batches:
-            scores = classifier.scores(batch.column(text_at).to_pylist())
+            scores = classifier.scores(t.as_py() for t in batch.column(text_at))  # one text at a time
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, column])
+        del classifier
+        give_back_memory()
 
     text_at = docs.columns.index("text")
     return docs.mapInArrow(add, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
