@@ -79,6 +79,15 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
             F.xxhash64(F.col(text_col)).alias("_th")]
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs.
+
+    It does so once the driver's garbage collection has found that nothing refers to them; a driver with room may go long without.
+    """
+    gc.collect()  # Python's references to plans first
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a table of :func:`scratch` that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

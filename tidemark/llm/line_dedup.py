@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, new_name
+from tidemark.llm.common import materialize, new_name, release_shuffles
 
 LEAD = 3
 SIMILAR = 0.8
@@ -142,8 +142,10 @@ def dropped_lines(docs: DataFrame, *, similar: float = SIMILAR, copy_share: floa
     # Only lines that may recur are looked at more closely; they are a small part of the texts.
     likely = materialize(lines.join(recurring_leaves(lines), "leaf", "left_semi"), "recurring-lines")
     distinct = likely.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("_did").alias("least"), F.max("_did").alias("most"))
+    release_shuffles(docs.sparkSession)  # of all lines; the rest reads the tables
     decided = materialize(decisions(materialize(distinct, "distinct-lines"), similar), "recurring-templates")
     places = likely.join(decided, ["leaf", "line"]).where(F.col("_did") != F.col("first"))
+    release_shuffles(docs.sparkSession)
     if copy_share is None:
         return places.groupBy("_did", "_th").agg(F.collect_set("pos").alias("dropped"))
     # Lines by the document that keeps them; the one that keeps most of the characters is the original, if it is a copy.
