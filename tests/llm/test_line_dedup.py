@@ -1,5 +1,9 @@
 """Line dedup: exact, digit and field templates, first document, copies, odd rows."""
 
+import collections
+import random
+import re
+
 from tidemark.llm import line_dedup as L
 
 from helpers import documents, letters, odd_documents
@@ -24,14 +28,82 @@ def test_templates_recur_across_documents(spark):
         6: f"user alice logged in from rome at noon yesterday again\n{own(7)}",    # 9 of 10 fields agree
         7: f"user alice logged in with quite another story than before\n{own(8)}",  # 4 of 10 do
         8: f"{own(9)}\n{own(9)}\n{own(10)}",                                     # repeats in one document alone stay
-        9: "Yes.\nYes indeed.\n" + own(11),
-        10: "Yes.\nYes indeed.\n" + own(12),                                     # under three fields: never dropped
+        9: "Yes.\nYes indeed.\n}\n12\n\n" + own(11),
+        10: "Yes.\nYes indeed.\n}\n13\n\n" + own(12),                         # short lines recur as they are, if they have letters
     }
     got = cleaned(documents(spark, list(texts.values()), list(texts)))
-    want = texts | {2: own(3), 3: f"{own(4)}\npage 3 of 17 pages", 4: f"\n{own(5)}", 6: own(7)}
+    want = texts | {2: own(3), 3: f"{own(4)}\npage 3 of 17 pages", 4: f"\n{own(5)}", 6: own(7), 10: "}\n13\n\n" + own(12)}
     assert got == want
 
 
+def test_a_leaf_holds_several_templates(spark):
+    a, b = (f"the old man {letters(20 + k, 17)}" for k in range(2))
+    other = b.replace(b.split()[-2], "elsewhere")
+    texts = [f"{a}\n{own(0)}", f"{own(1)}\n{a}", f"{own(2)}\n{a}\n{own(3)}", f"{b}\n{own(4)}", f"{own(5)}\n{other}"]
+    assert cleaned(documents(spark, texts)) == {0: texts[0], 1: own(1), 2: f"{own(2)}\n{own(3)}", 3: texts[3], 4: own(5)}
+
+
+def test_crowded_leaves_vote_in_their_children(spark):
+    heads = [f"the old man {letters(40 + k, 3)}" for k in range(12)]     # one leaf, twelve nodes below it
+    pairs = [(f"{h} {letters(60 + k, 14)} yes", f"{h} {letters(60 + k, 14)} no") for k, h in enumerate(heads)]
+    texts = ["\n".join(p[0] for p in pairs), "\n".join(p[1] for p in pairs)]
+    got = cleaned(documents(spark, texts))
+    assert got == {0: texts[0], 1: ""}
+
+
+def test_lines_without_spaces(spark):
+    chinese, thai = "今天天气很好我们一起去公园散步然后回家吃饭看书写字睡觉吧", "สวัสดีครับวันนี้อากาศดีมากเราไปเดินเล่นกัน"
+    near = chinese.replace("书", "报")
+    spaced = letters(7, 9).replace(" ", "\u3000")
+    texts = [f"{chinese}\n{own(1)}\n{thai}\n{spaced}", f"{own(2)}\n{near}\n{thai}", f"{chinese[:9]}\n{own(3)}\n" + spaced.replace("\u3000", "\u00a0 ")]
+    assert cleaned(documents(spark, texts)) == {0: texts[0], 1: own(2), 2: f"{chinese[:9]}\n{own(3)}"}
+
+
+def by_hand(texts, similar=0.8):
+    """The operator in plain Python: {id: text}."""
+    def fields(line):
+        line = re.sub(r"[\x85\u00a0\u3000]", " ", line)
+        line = re.sub(r"[\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e3a]", r" \g<0> ", line)
+        return ["<*>" if re.search("[0-9]", w) else w for w in re.split(r"[ \t\x0b\f\r]+", line.strip(" \t\x0b\f\r"))]
+    seen = collections.defaultdict(list)  # line -> documents, repeats included
+    for i, text in texts.items():
+        for line in text.split("\n"):
+            f = tuple(fields(line))
+            if len(f) >= 3 or any(c.isalpha() for c in "".join(f)):
+                seen[f].append(i)
+    rest, template = set(seen), {}
+    for vote, lead in enumerate(L.LEADS):
+        nodes = collections.defaultdict(list)
+        for f in rest:
+            nodes[len(f), f[:lead]].append(f)
+        rest = set()
+        for key, lines in nodes.items():
+            if len(lines) == 1 or len({i for f in lines for i in seen[f]}) == 1:
+                continue
+            usual = [max(collections.Counter({w: sum(len(seen[f]) for f in lines if f[p] == w) for w in {f[p] for f in lines}}).items(),
+                         key=lambda x: (x[1], x[0]))[0] for p in range(key[0])]
+            for f in lines:
+                if sum(a == b for a, b in zip(f, usual)) >= similar * len(f):
+                    template[f] = (vote, key)
+                else:
+                    rest.add(f)
+    first = {}
+    for f, docs in seen.items():
+        t = template.get(f, f)
+        first[t] = min([first.get(t, docs[0]), *docs])
+    return {i: "\n".join(line for line in text.split("\n")
+                         if tuple(fields(line)) not in seen or first[template.get(tuple(fields(line)), tuple(fields(line)))] == i) for i, text in texts.items()}
+
+
+def test_equals_the_operator_by_hand(spark):
+    r = random.Random(5)
+    def line():
+        n = r.choice([1, 2, 3, 5, 8, 12])
+        return " ".join(r.choice(["a", "b", "the", "x1", "中", "了"] if k < 6 else ["a", "b"]) for k in range(n))
+    texts = {i: "\n".join(line() for _ in range(r.randrange(1, 9))) for i in range(80)}
+    assert cleaned(documents(spark, list(texts.values()))) == by_hand(texts)
+
+
 def test_each_template_survives_once(spark):
     passage = letters(2, 55)
     texts = [f"{own(2 * i)}\n{passage}\n{own(2 * i + 1)}" for i in range(40)]

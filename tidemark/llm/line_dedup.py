@@ -1,18 +1,22 @@
 """Operator 6: line deduplication with a log-template tree, in DataFrame functions only.
 
-A line is parsed like a log message: its fields are the runs of non-white-space, and a field with a digit is variable (``<*>``).
-A tree of fixed depth leads to a leaf by the number of fields and the first ``LEAD`` of them. In a leaf the fields are
-compared by position: the most frequent field of each position makes the leaf's template, and lines that agree with it in
-``SIMILAR`` or more of their fields are its instances -- the positions in which they differ are variable too. A line that is no
-instance stands for itself, with its digits generalised. A template that occurs in two documents or more is
+A line is parsed like a log message: its fields are the runs of non-white-space (of Unicode), each character of a script that
+is written without spaces is a field of its own, and a field with a digit is variable (``<*>``).
+A tree of fixed depth leads to a node by the number of fields and the first ``LEADS[0]`` of them. In a node the fields are
+compared by position: the most frequent field of each position makes a template, and lines that agree with it in
+``SIMILAR`` or more of their fields are its instances -- the positions in which they differ are variable too. The lines that
+are no instance vote again, in a node of ``LEADS[1]`` leading fields, and those that are still none once more in
+one of ``LEADS[2]``: so a leaf holds two templates of its own, and a crowded one those of its children. A line that is no
+instance in any vote stands for itself, with its digits generalised; one of fewer than ``LEADS[0]`` fields always does. A template that occurs in two documents or more is
 recurring: it is kept in the first document (by id) and its lines are dropped from all others.
 
-Leaves that one document alone has are dropped before any field is looked at. Equal lines meet in partial sums
+Leaves that one document alone has are dropped before any field is looked at, and nodes of one document or one line cast no vote. Equal lines meet in partial sums
 before they are shuffled, so a line that a third of the documents have is one row per task; only positions of lines, not
 texts, are joined with the decisions.
 
 Edge cases: a document is named by its id, so rows that share an id are one document and are no recurrence to each other; a NULL id is
-replaced by the text's hash; lines of fewer than ``LEAD`` fields, blank ones among them, are never dropped; a NULL text stays
+replaced by the text's hash; blank lines are never dropped, nor are lines of fewer than ``LEADS[0]`` fields that have no
+letter outside their variable fields (numbers, brackets, rules); a NULL text stays
 NULL and an empty one empty; a text that loses all its lines becomes empty, its row stays; ties between fields go to the
 greater string; an empty table gives no row.
 """
@@ -26,12 +30,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, new_name, release_shuffles
 
-LEAD = 3
+LEADS = (3, 3, 6)  # leading fields that name a line's node, by vote
 SIMILAR = 0.8
 LINKED = 0.8
 SHINGLE = 5
 VARIABLE = "<*>"
 _WHITE = " \t\x0b\f\r"
+_WIDE_WHITE = r"[\x{85}\p{Z}]"
+_SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")  # written without spaces
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -46,24 +52,33 @@ def document_key() -> list[Column]:
 
 def masked(raw: Column) -> Column:
     """The line with one space between fields and every field with a digit as ``<*>``."""
+    wide = F.octet_length(raw) > F.length(raw)  # other lines are ASCII
+    unspaced = "[" + "".join(rf"\p{{Is{s}}}" for s in _SCRIPTS) + "]"
+    opened = F.when(wide, F.regexp_replace(F.regexp_replace(raw, _WIDE_WHITE, " "), unspaced, " $0 ")).otherwise(raw)
+
     def of(line: Column) -> Column:
         spaced = F.regexp_replace(line, r"[ \t\x0B\f\r]+", " ")
         plain = ~(line.rlike(r"[0-9\t\x0B\f\r]") | line.contains("  "))  # most lines: nothing to replace
         return F.when(plain, line).otherwise(F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE))
-    return let(F.trim(raw, F.lit(_WHITE)), of)
+    return let(F.trim(opened, F.lit(_WHITE)), of)
+
+
+def node(line: Column, fields: Column, lead: int) -> Column:
+    """The tree's node: the number of fields and the first ``lead`` of them."""
+    return F.xxhash64(fields, F.substring_index(line, " ", lead))
 
 
 def parsed(raw: Column) -> Column:
-    """(line, leaf) of a raw line, NULL if it has fewer than LEAD fields; ``leaf`` hashes the number of fields and the first ones."""
+    """(line, leaf) of a raw line; NULL if it is blank, or short and without a letter."""
     def of(line: Column) -> Column:
         fields = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-        return let(fields, lambda n: F.when(n >= LEAD, F.struct(
-            line.alias("line"), F.xxhash64(n, F.substring_index(line, " ", LEAD)).alias("leaf"))))
+        return let(fields, lambda n: F.when((n >= LEADS[0]) | line.rlike(r"\p{L}"), F.struct(
+            line.alias("line"), node(line, n, LEADS[0]).alias("leaf"))))
     return let(masked(raw), of)
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(_did, _th, pos, line, leaf) of every line of LEAD fields or more; each line is parsed once, before the rows are made."""
+    """(_did, _th, pos, line, leaf) of every line that may be dropped; each line is parsed once, before the rows are made."""
     lines = docs.where("text IS NOT NULL").select(
         *document_key(), F.posexplode(F.transform(F.split("text", "\n"), parsed)).alias("pos", "_line"))
     return lines.where("_line IS NOT NULL").select("_did", "_th", "pos", "_line.line", "_line.leaf")
@@ -74,14 +89,18 @@ def recurring_leaves(lines: DataFrame) -> DataFrame:
     return lines.groupBy("leaf").agg(F.min("_did").alias("a"), F.max("_did").alias("b")).where("a <> b").select("leaf")
 
 
-def leaf_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, template): the most frequent field of each position, for leaves with different lines (leaf, line, n)."""
-    mixed = lines.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("leaf")
-    fields = (lines.join(mixed, "leaf", "left_semi").select("leaf", "n", F.posexplode(F.split("line", " ")).alias("at", "field"))
-              .groupBy("leaf", "at", "field").agg(F.sum("n").alias("n")))
-    usual = fields.groupBy("leaf", "at").agg(F.max(F.struct("n", "field")).alias("top"))
-    # A template has as many fields as a line of its leaf.
-    return usual.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "top.field"))), lambda x: x["field"]).alias("template"))
+def node_templates(lines: DataFrame) -> DataFrame:
+    """(node, template): the most frequent field of each position, for nodes with different lines and documents.
+
+    ``lines``: (node, line, n, least, most).
+    """
+    mixed = (lines.groupBy("node").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("least").alias("c"), F.max("most").alias("d"))
+             .where("a <> b AND c <> d").select("node"))
+    fields = (lines.join(mixed, "node", "left_semi").select("node", "n", F.posexplode(F.split("line", " ")).alias("at", "field"))
+              .groupBy("node", "at", "field").agg(F.sum("n").alias("n")))
+    usual = fields.groupBy("node", "at").agg(F.max(F.struct("n", "field")).alias("top"))
+    # A template has as many fields as a line of its node.
+    return usual.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "top.field"))), lambda x: x["field"]).alias("template"))
 
 
 def decisions(lines: DataFrame, similar: float) -> DataFrame:
@@ -91,12 +110,19 @@ def decisions(lines: DataFrame, similar: float) -> DataFrame:
     """
     fields = F.split("line", " ")
     agree = F.size(F.filter(F.zip_with(fields, F.col("template"), lambda a, b: a == b), lambda x: x)) >= similar * F.size(fields)
-    # An instance is named by its leaf, any other line by itself.
-    named = (lines.join(leaf_templates(lines), "leaf", "left")
-             .withColumn("itself", F.when(F.coalesce(agree, F.lit(False)), F.lit(None)).otherwise(F.col("line"))).drop("template"))
-    whole = named.groupBy("leaf", "itself").agg(F.min("least").alias("first"), F.max("most").alias("last")).where("first <> last")
-    return (named.alias("n").join(whole.alias("w"), (F.col("n.leaf") == F.col("w.leaf")) & F.col("n.itself").eqNullSafe(F.col("w.itself")))
-            .select("n.leaf", "n.line", "w.first"))
+    voters, instances = lines, None
+    for vote, lead in enumerate(LEADS):
+        voters = voters.withColumn("node", F.col("leaf") if lead == LEADS[0] else node(F.col("line"), F.size(fields), lead))
+        judged = materialize(voters.join(node_templates(voters), "node").withColumn("agrees", agree).drop("template"), "judged-lines")
+        won = judged.where("agrees").select(F.lit(vote).alias("vote"), "node", "leaf", "line", "least", "most")
+        instances = won if instances is None else instances.unionAll(won)
+        voters = judged.where("NOT agrees").drop("node", "agrees")
+    template = ["vote", "node"]
+    whole = instances.groupBy(template).agg(F.min("least").alias("first"), F.max("most").alias("last")).where("first <> last").drop("last")
+    # A line that is no instance of any template stands for itself.
+    alone = lines.where("least <> most").join(instances.select("leaf", "line"), ["leaf", "line"], "left_anti")
+    return (instances.join(whole, template).select("leaf", "line", "first")
+            .unionAll(alone.select("leaf", "line", F.col("least").alias("first"))))
 
 
 def without(text: Column, gone: Column) -> Column:

@@ -77,22 +77,36 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DID = "coalesce(doc_id, hash(text))"
+
+
+def _vote_sql(k: int, lead: int) -> str:
+    """The k-th vote: the lines that no vote before has settled, by their number of fields and ``lead`` leading ones."""
+    source = "g" if k == 0 else f"judged{k - 1} WHERE NOT agrees"
+    return f"""
+voters{k} AS MATERIALIZED (SELECT leaf, line, f, n, least, most, CAST(len(f) AS VARCHAR) || ':' || array_to_string(f[1:{lead}], ' ') AS node FROM {source}),
+votes{k} AS (SELECT node, p, field, sum(n) AS n FROM (SELECT node, n, unnest(range(0, len(f))) AS p, unnest(f) AS field FROM voters{k}) GROUP BY ALL),
+usual{k} AS (SELECT node, p, field FROM votes{k} QUALIFY row_number() OVER (PARTITION BY node, p ORDER BY n DESC, field DESC) = 1),
+template{k} AS (SELECT node, list(field ORDER BY p) AS t FROM usual{k} GROUP BY node),
+judged{k} AS MATERIALIZED (SELECT voters{k}.*, len(list_filter(list_zip(f, t), lambda x: x[1] = x[2])) >= 0.8 * len(f) AS agrees
+    FROM voters{k} JOIN template{k} USING (node) WHERE node IN (SELECT node FROM voters{k} GROUP BY node HAVING count(*) > 1)),"""
+
+
 OP6_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_DID} AS did, text, string_split(text, chr(10)) AS lines FROM documents),
 raw AS (SELECT r, did, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM d WHERE text IS NOT NULL),
-spaced AS (SELECT r, did, pos, regexp_replace(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ 	
-]+', ' ', 'g') AS line FROM raw),
+opened AS (SELECT r, did, pos, regexp_replace(regexp_replace(line, '[\x{{85}}\p{{Z}}]', ' ', 'g'),
+    '[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]', ' \0 ', 'g') AS line FROM raw),
+spaced AS (SELECT r, did, pos, regexp_replace(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\x0B\f\r]+', ' ', 'g') AS line FROM opened),
 l AS (SELECT r, did, pos, line, string_split(line, ' ') AS f FROM (SELECT r, did, pos,
-    regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM spaced) WHERE len(string_split(line, ' ')) >= 3),
+    regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM spaced)
+    WHERE len(string_split(line, ' ')) >= 3 OR regexp_matches(line, '\p{{L}}')),
 k AS (SELECT *, CAST(len(f) AS VARCHAR) || ':' || array_to_string(f[1:3], ' ') AS leaf FROM l),
-g AS (SELECT leaf, line, any_value(f) AS f, count(*) AS n, min(did) AS least, max(did) AS most FROM k
+g AS MATERIALIZED (SELECT leaf, line, any_value(f) AS f, count(*) AS n, min(did) AS least, max(did) AS most FROM k
     WHERE leaf IN (SELECT leaf FROM k GROUP BY leaf HAVING min(did) <> max(did)) GROUP BY leaf, line),
-votes AS (SELECT leaf, p, field, sum(n) AS n FROM (SELECT leaf, n, unnest(range(0, len(f))) AS p, unnest(f) AS field FROM g) GROUP BY ALL),
-usual AS (SELECT leaf, p, field FROM votes QUALIFY row_number() OVER (PARTITION BY leaf, p ORDER BY n DESC, field DESC) = 1),
-template AS (SELECT leaf, list(field ORDER BY p) AS t FROM usual GROUP BY leaf),
-named AS (SELECT leaf, line, least, most, CASE WHEN len(list_filter(list_zip(f, t), lambda x: x[1] = x[2])) >= 0.8 * len(f)
-    AND leaf IN (SELECT leaf FROM g GROUP BY leaf HAVING count(*) > 1) THEN NULL ELSE line END AS itself FROM g JOIN template USING (leaf)),
-decided AS (SELECT leaf, line, min(least) OVER w AS head, max(most) OVER w AS tail FROM named WINDOW w AS (PARTITION BY leaf, itself)),
+{"".join(_vote_sql(k, lead) for k, lead in enumerate((3, 3, 6)))}
+instances AS (SELECT leaf, line, min(least) OVER w AS head, max(most) OVER w AS tail FROM (
+    {" UNION ALL ".join(f"SELECT {k} AS vote, node, leaf, line, least, most FROM judged{k} WHERE agrees" for k in range(3))}) WINDOW w AS (PARTITION BY vote, node)),
+decided AS (SELECT * FROM instances UNION ALL SELECT leaf, line, least, most FROM g ANTI JOIN instances USING (leaf, line)),
 gone AS (SELECT r, pos FROM k JOIN decided USING (leaf, line) WHERE head <> tail AND did <> head),
 left_over AS (SELECT raw.r, string_agg(line, chr(10) ORDER BY pos) AS text FROM raw ANTI JOIN gone USING (r, pos) GROUP BY raw.r),
 dropped AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
