@@ -39,6 +39,44 @@ def test_missing_column_is_an_error(spark, tmp_path):
         B.read_csv(spark, landed(tmp_path, HEADER.replace("plan_tier,", ""), ROW.replace("Pro,", "")), "accounts")
 
 
+def delivered(tmp_path, **files):
+    for name, lines in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text("\n".join(lines) + "\n")
+    return [str(tmp_path / name) for name in files]
+
+
+def test_deliveries_with_different_headers_are_one_table(spark, tmp_path):
+    without_tier = (HEADER.replace("plan_tier,", ""), ROW.replace("Pro,", "").replace("A-1", "A-2"))
+    names, values = HEADER.split(","), ROW.replace("A-1", "A-3").replace("Pro", "").split(",")
+    reordered = (",".join(["extra", *reversed(names)]), ",".join(["x", *reversed(values)]))
+    delivered(tmp_path, d1=(HEADER, ROW), d2=without_tier, d3=reordered, d4=(HEADER, ROW.replace("A-1", "A-4")), _draft=("a", "b"))
+    paths = B.deliveries(spark, str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["d1", "d2", "d3", "d4"]
+    got = B.read_deliveries(spark, paths, "accounts", {"plan_tier": "Basic"})
+    assert got.schema.fieldNames() == BRONZE_SCHEMAS["accounts"].fieldNames()
+    assert [f.dataType for f in got.schema] == [f.dataType for f in BRONZE_SCHEMAS["accounts"]]
+    # The default is for a column that a delivery lacks, not for an empty value.
+    assert {r["account_id"]: r["plan_tier"] for r in got.collect()} == {"A-1": "Pro", "A-2": "Basic", "A-3": None, "A-4": "Pro"}
+    assert {r["seats"] for r in got.collect()} == {3}
+    assert len({f.rsplit("/", 2)[1] for f in got.inputFiles()}) == 4
+    assert B.read_deliveries(spark, [], "accounts").count() == 0
+
+
+def test_deliveries_lack_no_column_without_a_default(spark, tmp_path):
+    paths = delivered(tmp_path, d1=(HEADER, ROW), d2=(HEADER.replace("plan_tier,", ""), ROW.replace("Pro,", "")))
+    with pytest.raises(ValueError, match="plan_tier"):
+        B.read_deliveries(spark, paths, "accounts", {"country": "NL"})
+    with pytest.raises(ValueError, match="tier_of_plan"):
+        B.read_deliveries(spark, paths, "accounts", {"tier_of_plan": "Basic"})
+    with pytest.raises(ValueError, match="mergeSchema"):
+        B.read_deliveries(spark, paths, "accounts", {"plan_tier": None}, mergeSchema="true")
+    # A file whose header differs from the others of its delivery stops the load.
+    (tmp_path / "d1" / "other.csv").write_text("\n".join([",".join(reversed(HEADER.split(","))), ROW]) + "\n")
+    with pytest.raises(Exception, match="header|Header|HEADER"):
+        B.read_deliveries(spark, paths, "accounts", {"plan_tier": None}).collect()
+
+
 def test_malformed_value_stops_the_load_and_is_shown(spark, tmp_path):
     bad = ROW.replace(",3,", ",3.5,").replace("A-1", "A-2")
     path = landed(tmp_path, HEADER, ROW, bad)

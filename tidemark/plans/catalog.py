@@ -253,6 +253,21 @@ def bronze_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.read_csv(spark, path, "subscriptions")
 
 
+@register("bronze_csv_deliveries", """
+SELECT * EXCLUDE (ingestion_ts) REPLACE (
+    CASE WHEN seats % 3 = 1 THEN true ELSE auto_renew_flag END AS auto_renew_flag,
+    CASE WHEN seats % 3 = 2 THEN NULL ELSE billing_frequency END AS billing_frequency) FROM b_subscriptions""")
+def bronze_csv_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries with different headers: a whole one, an older one without a column, and one in another order with a column less and one more."""
+    root = scratch_path(spark, "landing")
+    df = _source_frames(spark, sf_dir)["subscriptions"]
+    third = F.coalesce(F.col("seats") % 3, F.lit(0))
+    B.write_csv(df.where(third == 0), f"{root}/day1")
+    B.write_csv(df.where(third == 1).drop("auto_renew_flag"), f"{root}/day2")
+    B.write_csv(df.where(third == 2).drop("billing_frequency").select(F.lit("x").alias("note"), *[c for c in reversed(df.columns) if c != "billing_frequency"]), f"{root}/day3")
+    return B.read_deliveries(spark, B.deliveries(spark, root), "subscriptions", {"auto_renew_flag": True, "billing_frequency": None})
+
+
 @register("bronze_csv_malformed", "SELECT count(*) AS malformed_rows FROM b_subscriptions WHERE seats % 7 = 3 AND mrr_amount IS NOT NULL")
 def bronze_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose values do not fit the declared types, counted: nothing becomes NULL unseen."""

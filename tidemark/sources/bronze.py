@@ -4,6 +4,7 @@
   *declared* schema per table (schema inference is an opt-in: it costs an extra
   pass over the files and can change types from one delivery to the next). A
   value that does not fit its type stops the load; ``malformed_rows`` shows such rows.
+* ``read_deliveries``: deliveries whose headers differ, as one table; columns that a delivery may lack have declared defaults.
 * ``stamp``: adds ``ingestion_ts`` = the run timestamp.
 * ``write_table``: full overwrite (schema replaced) or append. Append is
   kept for parity with the append-style loader; re-running it duplicates rows,
@@ -16,6 +17,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,44 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None, infer: bo
     return reader.option("enforceSchema", "false").schema(_by_name(spark, path, table, chosen)).csv(path).select(*BRONZE_SCHEMAS[table].fieldNames())
 
 
+def deliveries(spark: SparkSession, base_path: str) -> list[str]:
+    """The deliveries under ``base_path``, by name: each file or folder in it is one (names with a leading ``_`` or ``.`` are not)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base_path)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(f.getPath().toString() for f in found if not f.getPath().getName().startswith(("_", ".")))
+
+
+def read_deliveries(spark: SparkSession, paths: Iterable[str], table: str, defaults: dict[str, Any] | None = None,
+                    **options: str) -> DataFrame:
+    """All deliveries of ``table`` as one frame with its declared columns, whatever columns each has and in whatever order.
+
+    Deliveries with equal headers are one scan; scans are united by name. The files inside one delivery share its header
+    (any other one stops the load). A declared column that a delivery lacks takes its value of ``defaults`` (which may be None: NULL) and is an
+    error without one; columns that are not declared are left out. A NULL that a delivery does hold stays NULL. Without a path the frame is empty.
+    """
+    unknown = set(options) - KNOWN_READ_OPTIONS
+    if unknown:
+        raise ValueError(f"unsupported CSV read options: {sorted(unknown)}")
+    declared, defaults = BRONZE_SCHEMAS[table], defaults or {}
+    undeclared = set(defaults) - set(declared.fieldNames())
+    if undeclared:
+        raise ValueError(f"defaults for columns that {table} does not have: {sorted(undeclared)}")
+    chosen = {**CSV_OPTIONS, **options}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.options(**{**chosen, "mode": "PERMISSIVE"}).csv(path).columns)
+        by_header.setdefault(header, []).append(path)
+    parts = []
+    for header, same in by_header.items():
+        missing = [n for n in declared.fieldNames() if n not in header and n not in defaults]
+        if missing:
+            raise ValueError(f"{same}: the header lacks {missing}, which have no default")
+        schema = StructType([declared[n] if n in declared.fieldNames() else StructField(n, StringType()) for n in header])
+        rows = spark.read.options(**chosen).option("enforceSchema", "false").schema(schema).csv(same)
+        parts.append(rows.select(*[F.col(f.name) if f.name in header else F.lit(defaults[f.name]).cast(f.dataType).alias(f.name) for f in declared]))
+    return union_all(parts) if parts else spark.createDataFrame([], declared)
+
+
 def malformed_rows(spark: SparkSession, path: str, table: str, **options: str) -> DataFrame:
     """The raw lines of which some value does not fit the declared schema, as column ``line``."""
     chosen = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
