@@ -36,8 +36,9 @@ LINKED = 0.8
 SHINGLE = 5
 VARIABLE = "<*>"
 _WHITE = " \t\x0b\f\r"
-_WIDE_WHITE = r"[\x{85}\p{Z}]"
-_SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")  # written without spaces
+_WIDE_WHITE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"  # category Z beyond ASCII
+_UNSPACED = "[" + "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"  # written without spaces
+_MAYBE = r"[\x{85}\x{A0}\x{E00}-\x{10FFFF}]"  # holds both
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -52,9 +53,8 @@ def document_key() -> list[Column]:
 
 def masked(raw: Column) -> Column:
     """The line with one space between fields and every field with a digit as ``<*>``."""
-    wide = F.octet_length(raw) > F.length(raw)  # other lines are ASCII
-    unspaced = "[" + "".join(rf"\p{{Is{s}}}" for s in _SCRIPTS) + "]"
-    opened = F.when(wide, F.regexp_replace(F.regexp_replace(raw, _WIDE_WHITE, " "), unspaced, " $0 ")).otherwise(raw)
+    wide = (F.octet_length(raw) > F.length(raw)) & raw.rlike(_MAYBE)  # most lines are ASCII or of letters with accents
+    opened = F.when(wide, F.regexp_replace(F.regexp_replace(raw, _WIDE_WHITE, " "), _UNSPACED, " $0 ")).otherwise(raw)
 
     def of(line: Column) -> Column:
         spaced = F.regexp_replace(line, r"[ \t\x0B\f\r]+", " ")
