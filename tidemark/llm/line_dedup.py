@@ -153,12 +153,15 @@ def copies(docs: DataFrame, rows: DataFrame, copy_share: float, linked: float) -
     many = F.coalesce(chars >= copy_share * (F.length("text") - F.size(lines) + 1), F.lit(False))
     suspects = materialize(keyed.join(rows, ["_did", "_th"]).where(many).select(
         "_did", "_th", "original", shingle_hashes(without(F.col("text"), F.array_except("dropped", "shared"))).alias("grams")), "suspected-copies")
+    release_shuffles(docs.sparkSession)  # of all texts
     none = F.array().cast("array<int>")
     originals = (keyed.join(suspects.select(F.col("original").alias("_did")).distinct(), "_did", "left_semi")
                  .join(rows, ["_did", "_th"], "left").where(~many)
                  .select(F.col("_did").alias("original"), shingle_hashes(without(F.col("text"), F.coalesce("dropped", none))).alias("of")))
+    originals = materialize(originals, "originals")
+    release_shuffles(docs.sparkSession)
     common = F.size(F.array_intersect("grams", "of"))
-    return (suspects.join(materialize(originals, "originals"), "original")
+    return (suspects.join(originals, "original")
             .where((common > 0) & (common >= linked * (F.size("grams") + F.size("of") - common))).select("_did", "_th").distinct())
 
 
