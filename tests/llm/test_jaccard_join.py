@@ -10,7 +10,7 @@ from tidemark.llm import bitmap, jaccard_join as J
 from tidemark.llm.components import components
 from tidemark.llm.words import shingles
 
-from helpers import documents, odd_documents, prose
+from helpers import SMALL, documents, odd_documents, prose
 
 
 def brute(rows):
@@ -84,17 +84,68 @@ def test_odd_and_empty_tables(spark):
     assert J.link_documents(documents(spark, [])).count() == J.keep_one(documents(spark, [])).count() == 0
 
 
+def pair_of(rng, common, own):
+    """Two sets of that many common and own members each."""
+    s = rng.integers(0, 2**63, common + 2 * own, dtype=np.uint64)
+    return np.unique(s[:common + own]), np.unique(np.concatenate([s[:common], s[common + own:]]))
+
+
 def test_prefixes_reach_the_recall():
-    depths = J.prefix_depths()
-    assert 1 - np.prod([1 - 0.8 ** d for d in depths]) >= 0.999 and max(depths) - min(depths) <= 1
-    assert J.prefix_depths(0.8, 0.5)[-1] > depths[-1]  # a lower target leaves prefixes longer
-    functions, hits = J.hash_functions(depths), []
-    rng = np.random.default_rng(0)
-    for _ in range(300):  # pairs of similarity 0.8
-        s = rng.integers(0, 2**63, 100, dtype=np.uint64)
-        a, b = np.sort(s[:90]), np.sort(np.concatenate([s[:80], s[90:]]))
-        hits.append((J.signature(a, depths, functions) == J.signature(b, depths, functions)).any())
-    assert np.mean(hits) >= 0.98
+    lengths = J.prefix_lengths()
+    assert lengths[0] == J.LONGEST and lengths == sorted(lengths, reverse=True)
+    assert J.found_by(0.8, lengths[-1]) >= 0.9999 > J.found_by(0.8, lengths[-1] + 1)
+    assert J.prefix_lengths(0.8, 0.5) == [J.LONGEST]  # a low target never shortens
+    functions, rng = J.hash_functions(), np.random.default_rng(0)
+    met = []
+    for _ in range(400):  # pairs of similarity 0.8
+        a, b = (J.signature(x, lengths, functions) for x in pair_of(rng, 80, 10))
+        met.append((a == b).any(axis=1))
+        assert not ((a == b)[:-1] & ~(a == b)[1:]).any()  # who shares a prefix shares all shorter ones
+    share = np.mean(met, axis=0)
+    assert share[-1] >= 0.998
+    for measured, d in zip(share, lengths):
+        assert abs(measured - J.found_by(0.8, d)) < 0.03
+
+
+def test_estimate_of_what_was_not_found():
+    # 1000 links, of which each was found with probability 0.9: about 111 more.
+    assert J.estimated_recall(1000, 1000 * (1 / 0.9 - 1), 0.8, 3) == pytest.approx(0.9, abs=1e-3)
+    assert J.estimated_recall(0, 0.0, 0.8, 6) == pytest.approx(J.found_by(0.8, 6))  # no link is no proof
+    assert J.estimated_recall(10**6, 0.0, 0.8, 6) > 0.9999
+
+
+def lengths_used(monkeypatch, spark, texts, **options):
+    used, groups = [], J.candidate_groups
+    monkeypatch.setattr(J, "candidate_groups", lambda c, t, length, *rest: used.append(length) or groups(c, t, length, *rest))
+    J.link_documents(documents(spark, texts), **options)
+    return used
+
+
+def test_shortens_until_the_links_found_prove_the_recall(spark, monkeypatch):
+    alike = [prose(5, 1500) + f" end{k}" for k in range(16)]  # 120 links of similarity above 0.99
+    assert lengths_used(monkeypatch, spark, alike) == [6]
+    monkeypatch.undo()
+    assert lengths_used(monkeypatch, spark, [prose(5, 1500), prose(6, 1500)]) == J.prefix_lengths()
+
+
+def test_planted_pairs_near_the_threshold_in_documents(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("text IS NOT NULL").orderBy("doc_id").limit(400).collect()]
+    long = [t for t in texts if len(t.split()) >= 80]
+    rows = list(enumerate([*texts, *(edited(t, max(len(t.split()) // 50, 1), k) for k, t in enumerate(long))]))  # similarity about 0.82
+    got = J.link_documents(documents(spark, [t for _, t in rows])).collect()
+    assert len(long) > 50
+    assert sorted((str(r["doc_id"]), str(r["class_id"]), r["n_links"]) for r in got) == brute(rows)
+
+
+def test_hot_node_in_blocks(spark):
+    text = prose(9, 120)
+    rows = list(enumerate([edited(text, k % 3, k) for k in range(500)] + [prose(k, 50) for k in range(20)]))
+    got = J.link_documents(documents(spark, [t for _, t in rows]).repartition(4), block=32).collect()
+    exact, links = brute(rows), {str(r["doc_id"]): (str(r["class_id"]), r["n_links"]) for r in got}
+    assert {i: c for i, (c, _) in links.items()} == {i: c for i, c, _ in exact}
+    assert all(links[i][1] <= n for i, _, n in exact)
+    # Some 80 000 links between texts of similarity 0.8 to 0.9: the target recall is kept.
+    assert sum(n for _, n in links.values()) >= J.RECALL * sum(n for _, _, n in exact) > 100_000 * J.RECALL
 
 
 def test_common_shingles_in_pieces():

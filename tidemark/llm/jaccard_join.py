@@ -1,16 +1,20 @@
-"""Operator 10: n-gram Jaccard self-join with MinHash banding at fixed depths and exact verification.
+"""Operator 10: n-gram Jaccard self-join with a MinHash LSH forest and exact verification.
 
 Two texts are linked if their sets of five-word shingles have a Jaccard similarity of ``threshold`` or more.
 
 * Texts with equal shingle sets form one class; a class is one row from here on, with its number of documents.
-* Every class has ``TREES`` MinHash signatures of up to ``MAX_DEPTH`` values: a prefix in each tree. The
-  lengths of the prefixes are fixed beforehand, by the threshold and the recall alone: the longest with which a pair at the
-  threshold meets in some tree with probability ``recall``; lower similarities meet less and less often, and the rest is not found.
-* Classes that share a trie node (a prefix) are candidates. A node of any size is cut into blocks of about ``BLOCK`` classes and each pair of blocks
-  is a group of its own, so a hot node is spread over many tasks and no group grows with the data. A pair counts in the
-  first tree in which it meets, and nowhere else. Pairs are never rows: a group's pairs live in
-  one matrix, and only the classes that have some pair in it go on.
-* Candidates' shingle sets are then compared exactly. A group returns, for each class, how many documents it
+* Every class has ``TREES`` MinHash signatures of ``LONGEST`` values, a path in each tree's trie. Paths that share their shortest prefix with
+  another class's are written in the order of their prefixes (``sorted_tries``); all others are in no pair and go no further.
+* The forest is climbed level by level. At the longest prefix all classes below a node are candidates. Then prefixes are
+  shortened by one value, and only nodes that join several longer prefixes are looked at again: the pairs that are new there are candidates.
+* Candidates' shingle sets are compared exactly. Each link's similarity tells how likely the prefixes so far were to find it, so the links
+  found estimate how many were not (``estimated_recall``; one more link at the threshold itself is always assumed). Shortening goes on until the
+  estimate reaches ``recall``, at the latest until a pair at the threshold is found with that probability.
+* A node of any size is cut into blocks of about ``BLOCK`` classes and each pair of blocks
+  is a group of its own, so a hot node is spread over many tasks and no group grows with the data. A pair counts at the
+  longest prefix and in the first tree in which it meets, and nowhere else. Pairs are never rows: a group's pairs live in
+  one matrix, and only the classes that have some pair in it go on. Link counts are exact, so a node of n classes costs n * n / BLOCK short rows.
+* A group returns, for each class, how many documents it
   is linked to there, and a star of links for each cluster within the group, from which the components follow.
 
 The result has one row per document row: its class -- the smallest doc_id of the documents that links connect -- and its number of links.
@@ -23,6 +27,7 @@ unless no other id is there (then the class is NULL); an empty table gives no ro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,63 +36,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
-from tidemark.llm.common import materialize, new_name, row_key, ship
+from tidemark.llm.common import materialize, new_name, release_shuffles, row_key, ship
 from tidemark.llm.components import components
 from tidemark.llm.words import mix, shingles
 
 THRESHOLD = 0.8
 TREES = 16
-MAX_DEPTH = 8
-RECALL = 0.999
+LONGEST = 6
+RECALL = 0.9999
 BLOCK = 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def prefix_depths(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = MAX_DEPTH) -> list[int]:
-    """Prefix length in each tree: shortened by one, tree by tree, until pairs at the threshold meet often enough."""
-    depths, tree = [depth] * trees, 0
-    while 1 - np.prod([1 - threshold ** d for d in depths]) < recall and max(depths) > 1:
-        depths[tree] -= 1
-        tree = (tree + 1) % trees
-    return depths
+def found_by(similarity, depth: int, trees: int = TREES):
+    """Probability that sets of this similarity share a prefix of ``depth`` values in some tree."""
+    return 1 - (1 - similarity ** depth) ** trees
 
 
-def hash_functions(depths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Multipliers (odd) and offsets of one hash function for each trie level in use."""
-    n = mix(np.arange(1, 2 * sum(depths) + 1, dtype=np.uint64) * _GOLD)
+def prefix_lengths(threshold: float = THRESHOLD, recall: float = RECALL) -> list[int]:
+    """Prefix lengths from the longest to the one that finds pairs at the threshold with probability ``recall``."""
+    shortest = LONGEST
+    while shortest > 1 and found_by(threshold, shortest) < recall:
+        shortest -= 1
+    return list(range(LONGEST, shortest - 1, -1))
+
+
+def estimated_recall(found: int, unseen: float, threshold: float, depth: int) -> float:
+    """Share of all links that prefixes down to ``depth`` found.
+
+    ``unseen``: the sum over the links found of 1 / (probability of finding it) - 1. A link at the threshold is assumed
+    besides, so that few links, or none, are no proof.
+    """
+    return (found + 1) / (found + unseen + 1 / found_by(threshold, depth))
+
+
+def hash_functions() -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers (odd) and offsets of one hash function for each trie level of each tree."""
+    n = mix(np.arange(1, 2 * TREES * LONGEST + 1, dtype=np.uint64) * _GOLD)
     return n[::2] | np.uint64(1), n[1::2]
 
 
-def signature(grams: np.ndarray, depths: list[int], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The hash of the MinHash prefix in each tree."""
+def signature(grams: np.ndarray, lengths: list[int], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The hashes of the MinHash prefixes, a matrix of lengths x trees."""
     a, b = (x[:, None] for x in functions)
     least = np.full(len(a), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(grams), 2048):
         h = a * grams[None, at:at + 2048]
         h += b
         least = np.minimum(least, h.min(axis=1))
-    least, out, at = mix(least), np.empty(len(depths), dtype=np.uint64), 0
-    for t, d in enumerate(depths):
-        h = np.full(1, t, dtype=np.uint64)
-        for k in range(at, at + d):
-            h = (h ^ least[k:k + 1]) * _GOLD
-            h ^= h >> np.uint64(29)
-        out[t], at = h[0], at + d
-    return out
+    least = mix(least).reshape(TREES, LONGEST)
+    prefix, of_length = np.arange(TREES, dtype=np.uint64), {}
+    for k in range(LONGEST):
+        prefix = (prefix ^ least[:, k]) * _GOLD
+        prefix ^= prefix >> np.uint64(29)
+        of_length[k + 1] = prefix
+    return np.stack([of_length[d] for d in lengths])
 
 
-def meeting_pairs(tree: int, prefixes: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool,
-                  threshold: float) -> np.ndarray:
-    """Boolean matrix left x right: does this pair of a group count in this tree?
+def meeting_pairs(tree: int, here: np.ndarray, longer: np.ndarray | None, sizes: np.ndarray, left: np.ndarray, right: np.ndarray,
+                  same: bool, threshold: float) -> np.ndarray:
+    """Boolean matrix left x right: does this pair of a group count in this tree, at this length (prefixes ``here``)?
 
-    Not if it met in an earlier tree, nor if the sizes alone keep it below the threshold. ``same``: left and right are one block.
+    Not if it met by a longer prefix (``longer``: those longer by one, None at the longest), nor in an earlier tree, nor if the sizes alone
+    keep it below the threshold. ``same``: left and right are one block.
     """
     a, b = sizes[left][:, None], sizes[right][None, :]
     ok = np.minimum(a, b) >= threshold * np.maximum(a, b)
     if same:
         ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
-    for t in range(tree):
-        ok &= prefixes[left, t][:, None] != prefixes[right, t][None, :]
+    for before in [here[:, :tree]] + ([] if longer is None else [longer]):
+        for t in range(before.shape[1]):
+            ok &= before[left, t][:, None] != before[right, t][None, :]
     return ok
 
 
@@ -127,9 +146,14 @@ def _clusters(n: int, pairs: np.ndarray) -> list[int]:
     return parent
 
 
-def document_sets(docs: DataFrame, depths: list[int]) -> DataFrame:
-    """(doc_id, _id, _th, set_id, n, prefixes) of every row of ``docs``."""
-    functions = hash_functions(depths)
+def prefix_column(length: int) -> str:
+    """Name of the array of a class's prefixes of this length, one a tree."""
+    return f"p{length}"
+
+
+def document_sets(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, _id, _th, set_id, n and the prefixes of each length) of every row of ``docs``."""
+    functions, names = hash_functions(), [prefix_column(d) for d in lengths]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,35 +162,52 @@ def document_sets(docs: DataFrame, depths: list[int]) -> DataFrame:
                 grams = shingles(text)
                 ids.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                 sizes.append(len(grams))
-                prefixes.append(signature(grams, depths, functions).view(np.int64) if len(grams) else None)
+                prefixes.append(signature(grams, lengths, functions).view(np.int64) if len(grams) else [None] * len(lengths))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "_id", "_th", "set_id", "n", "prefixes"])
+                [*batch.columns[:3], pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()),
+                 *(pa.array([p[k] for p in prefixes], pa.list_(pa.int64())) for k in range(len(lengths)))],
+                names=["doc_id", "_id", "_th", "set_id", "n", *names])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), "text").mapInArrow(
-        of, "doc_id long, _id long, _th long, set_id binary, n int, prefixes array<bigint>")
+        of, "doc_id long, _id long, _th long, set_id binary, n int, " + ", ".join(f"{c} array<bigint>" for c in names))
+
+
+def sorted_tries(classes: DataFrame, lengths: list[int]) -> DataFrame:
+    """(tree, set_id and its prefix of each length) of the classes whose shortest prefix another class has too, sorted by their prefixes."""
+    names = [prefix_column(d) for d in reversed(lengths)]
+    paths = (classes.select("set_id", F.posexplode(F.arrays_zip(*names)).alias("tree", "path"))
+             .select("set_id", "tree", *(F.col("path")[c].alias(c) for c in names)))
+    shared = paths.groupBy("tree", names[0]).agg(F.count("*").alias("size")).where("size > 1").drop("size")
+    return paths.join(shared, ["tree", names[0]]).select("set_id", "tree", *names).sortWithinPartitions("tree", *names)
 
 
-def candidate_groups(classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(tree, node, lo, hi, block, set_id) of the classes that have a pair to verify in that pair of blocks of a trie node."""
-    paths = classes.select("set_id", F.posexplode("prefixes").alias("tree", "node"))
-    crowded = paths.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1")
+def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer: int | None, threshold: float, block: int) -> DataFrame:
+    """(tree, node, lo, hi, block, set_id) of the classes that have a pair to verify in that pair of blocks of a trie node.
+
+    ``length``: of the node's prefix; ``longer``: the length before it, by which no pair counts again (None: there is none).
+    """
+    here, child = prefix_column(length), F.lit(None).cast("long") if longer is None else F.col(prefix_column(longer))
+    paths = tries.select("set_id", "tree", F.col(here).alias("node"), child.alias("child"))
+    # A node with a single longer prefix below it has no new pair.
+    several = F.lit(True) if longer is None else F.col("first") != F.col("last")
+    crowded = paths.groupBy("tree", "node").agg(F.count("*").alias("size"), F.min("child").alias("first"), F.max("child").alias("last"))
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    members = (paths.join(crowded, ["tree", "node"]).withColumn("blocks", blocks).withColumn("block", own)
+    members = (paths.join(crowded.where(F.col("size") > 1).where(several).select("tree", "node", "size"), ["tree", "node"])
+               .withColumn("blocks", blocks).withColumn("block", own)
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("tree", "node", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "set_id"))
-    groups = (members.join(classes.select("set_id", "n", "prefixes"), "set_id")
-              .groupBy("tree", "node", "lo", "hi").agg(F.collect_list(F.struct("set_id", "block", "n", "prefixes")).alias("members"))
-              .where(F.size("members") > 1))
+               .select("tree", "node", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "set_id", "child"))
+    member = F.struct("set_id", "block", "n", *_prefixes(length, longer))
+    groups = (members.join(classes, "set_id")
+              .groupBy("tree", "node", "lo", "hi").agg(F.collect_list(member).alias("members"), F.min("child").alias("first"), F.max("child").alias("last"))
+              .where(F.size("members") > 1).where(several).drop("first", "last"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for tree, node, lo, hi, members in zip(*(c.to_pylist() for c in batch.columns)):
                 left, right, same = _sides(np.array([m["block"] for m in members]), lo, hi)
-                pairs = meeting_pairs(tree, np.array([m["prefixes"] for m in members]), np.array([m["n"] for m in members]),
-                                      left, right, same, threshold)
+                pairs = meeting_pairs(tree, *_matrices(members, longer), np.array([m["n"] for m in members]), left, right, same, threshold)
                 for i in sorted({*left[pairs.any(axis=1)].tolist(), *right[pairs.any(axis=0)].tolist()}):
                     rows.append((tree, node, lo, hi, members[i]["block"], members[i]["set_id"]))
             types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
@@ -176,6 +217,14 @@ def candidate_groups(classes: DataFrame, threshold: float, block: int) -> DataFr
     return groups.mapInArrow(meet, "tree int, node long, lo int, hi int, block int, set_id binary")
 
 
+def _prefixes(length: int, longer: int | None) -> list:
+    return [F.col(prefix_column(length)).alias("here"), *([] if longer is None else [F.col(prefix_column(longer)).alias("longer")])]
+
+
+def _matrices(members: list[dict], longer: int | None) -> tuple[np.ndarray, np.ndarray | None]:
+    return np.array([m["here"] for m in members]), None if longer is None else np.array([m["longer"] for m in members])
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set_id, grams) of the classes in ``wanted`` (set_id, _id, _th: a document of each).
 
@@ -194,10 +243,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, ["_id", "_th"]).groupBy("set_id").agg(F.max("grams").alias("grams"))  # one row of repeated ones
 
 
-def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(set_id, root, linked): in each group, the least class of each class's cluster there and the documents it is linked to."""
-    member = F.struct("set_id", "block", "n", "documents", "prefixes", "grams")
-    packed = (groups.join(classes.select("set_id", "n", "documents", "prefixes").join(sets, "set_id"), "set_id")
+def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, length: int, longer: int | None, lengths: list[int], threshold: float) -> DataFrame:
+    """(set_id, root, linked, found, unseen): in each group, the least class of each class's cluster there and the documents it is linked to.
+
+    ``found`` counts the class's links to later classes of the group, ``unseen`` sums 1 / (probability of finding it) - 1 over them
+    for each of ``lengths``.
+    """
+    member = F.struct("set_id", "block", "n", "documents", "grams", *_prefixes(length, longer))
+    packed = (groups.join(classes.join(sets, "set_id"), "set_id")
               .groupBy("tree", "node", "lo", "hi").agg(F.collect_list(member).alias("members")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,20 +260,42 @@ def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
                 members.sort(key=lambda m: m["set_id"])
                 sizes, weight = (np.array([m[k] for m in members]) for k in ("n", "documents"))
                 left, right, same = _sides(np.array([m["block"] for m in members]), lo, hi)
-                pairs = meeting_pairs(tree, np.array([m["prefixes"] for m in members]), sizes, left, right, same, threshold)
+                pairs = meeting_pairs(tree, *_matrices(members, longer), sizes, left, right, same, threshold)
                 common = common_shingles([np.frombuffer(m["grams"], dtype=np.uint64) for m in members], left, right)
-                linked = pairs & (common / (sizes[left][:, None] + sizes[right][None, :] - common) >= threshold)
-                count = np.zeros(len(members), dtype=np.int64)
+                similarity = common / (sizes[left][:, None] + sizes[right][None, :] - common)
+                linked = pairs & (similarity >= threshold)
+                count, found, unseen = np.zeros(len(members), np.int64), np.zeros(len(members), np.int64), np.zeros((len(members), len(lengths)))
                 count[left] += linked @ weight[right]
                 count[right] += linked.T @ weight[left]
                 a, b = np.nonzero(linked)
+                found[left] += linked.sum(axis=1)
+                for k, d in enumerate(lengths):
+                    unseen[:, k] = np.bincount(left[a], 1 / found_by(similarity[a, b], d) - 1, len(members))
                 root = _clusters(len(members), np.stack([left[a], right[b]], axis=1))
-                rows += [(members[i]["set_id"], members[root[i]]["set_id"], c) for i, c in enumerate(count.tolist()) if c]
-            set_id, roots, counts = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_pydict({"set_id": pa.array(set_id, pa.binary()), "root": pa.array(roots, pa.binary()),
-                                              "linked": pa.array(counts, pa.int64())})
-
-    return packed.mapInArrow(verify, "set_id binary, root binary, linked long")
+                rows += [(members[i]["set_id"], members[root[i]]["set_id"], c, found[i], unseen[i]) for i, c in enumerate(count.tolist()) if c]
+            types = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)],
+                                             names=["set_id", "root", "linked", "found", "unseen"])
+
+    return packed.mapInArrow(verify, "set_id binary, root binary, linked long, found long, unseen array<double>")
+
+
+def climb(docs: DataFrame, classes: DataFrame, lengths: list[int], threshold: float, recall: float, block: int) -> DataFrame:
+    """(set_id, root, linked) of all links that the forest finds, from the longest prefixes to those that reach ``recall``."""
+    tries = materialize(sorted_tries(classes, lengths), "sorted-tries")
+    levels, longer = [], None
+    for k, length in enumerate(lengths):
+        groups = materialize(candidate_groups(classes, tries, length, longer, threshold, block), "candidate-groups")
+        wanted = groups.select("set_id").distinct().join(classes, "set_id").select("set_id", "first._id", "first._th")
+        links = materialize(verified(groups, classes, shingle_sets(docs, wanted), length, longer, lengths, threshold), "links")
+        levels.append(links)
+        found, unseen = reduce(DataFrame.unionAll, levels).agg(
+            F.coalesce(F.sum("found"), F.lit(0)), F.coalesce(F.sum(F.col("unseen")[k]), F.lit(0.0))).first()
+        release_shuffles(docs.sparkSession)
+        if estimated_recall(found, unseen, threshold, length) >= recall:
+            break
+        longer = length
+    return reduce(DataFrame.unionAll, levels).select("set_id", "root", "linked")
 
 
 def link_documents(docs: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -229,13 +304,12 @@ def link_documents(docs: DataFrame, *, threshold: float = THRESHOLD, recall: flo
     ``_class`` names the row's group of linked documents: unlike class_id it is not shared by groups that have an id in common, or none.
     """
     ship(docs.sparkSession)
-    rows = materialize(document_sets(docs, prefix_depths(threshold, recall)), "shingle-signatures")
+    lengths = prefix_lengths(threshold, recall)
+    rows = materialize(document_sets(docs, lengths), "shingle-signatures")
     # Copies meet here, in partial sums; "first" names a document of the class.
-    classes = materialize(rows.where("set_id IS NOT NULL").groupBy("set_id", "n", "prefixes").agg(
+    classes = materialize(rows.where("set_id IS NOT NULL").groupBy("set_id", "n", *(prefix_column(d) for d in lengths)).agg(
         F.count("*").alias("documents"), F.min("doc_id").alias("least_id"), F.min(F.struct("_id", "_th")).alias("first")), "shingle-classes")
-    groups = materialize(candidate_groups(classes, threshold, block), "candidate-groups")
-    wanted = groups.select("set_id").distinct().join(classes, "set_id").select("set_id", "first._id", "first._th")
-    links = materialize(verified(groups, classes, shingle_sets(docs, wanted), threshold), "links")
+    links = climb(docs, classes, lengths, threshold, recall, block)
 
     cluster = components(links.select(F.col("set_id").alias("u"), F.col("root").alias("v")))
     grouped = (links.groupBy("set_id").agg(F.sum("linked").alias("linked"))
