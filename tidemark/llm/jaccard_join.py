@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
-from tidemark.llm.common import materialize, new_name, release_shuffles, row_key, ship
+from tidemark.llm.common import give_back_memory, materialize, new_name, release_shuffles, row_key, ship
 from tidemark.llm.components import components
 from tidemark.llm.words import mix, shingles
 
@@ -167,6 +167,7 @@ def document_sets(docs: DataFrame, lengths: list[int]) -> DataFrame:
                 [*batch.columns[:3], pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()),
                  *(pa.array([p[k] for p in prefixes], pa.list_(pa.int64())) for k in range(len(lengths)))],
                 names=["doc_id", "_id", "_th", "set_id", "n", *names])
+        give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), "text").mapInArrow(
         of, "doc_id long, _id long, _th long, set_id binary, n int, " + ", ".join(f"{c} array<bigint>" for c in names))
@@ -205,7 +206,7 @@ def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for tree, node, lo, hi, members in zip(*(c.to_pylist() for c in batch.columns)):
+            for tree, node, lo, hi, members in _groups(batch):
                 left, right, same = _sides(np.array([m["block"] for m in members]), lo, hi)
                 pairs = meeting_pairs(tree, *_matrices(members, longer), np.array([m["n"] for m in members]), left, right, same, threshold)
                 for i in sorted({*left[pairs.any(axis=1)].tolist(), *right[pairs.any(axis=0)].tolist()}):
@@ -217,6 +218,13 @@ def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer:
     return groups.mapInArrow(meet, "tree int, node long, lo int, hi int, block int, set_id binary")
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch; the members (last column) of one group at a time become Python objects."""
+    *keys, members = batch.columns
+    for i, key in enumerate(zip(*(c.to_pylist() for c in keys))):
+        yield *key, members[i].as_py()
+
+
 def _prefixes(length: int, longer: int | None) -> list:
     return [F.col(prefix_column(length)).alias("here"), *([] if longer is None else [F.col(prefix_column(longer)).alias("longer")])]
 
@@ -238,6 +246,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = batch.take(pa.array(maybe))
             grams = [shingles(t).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(grams, pa.binary())], names=["_id", "_th", "grams"])
+        give_back_memory()
 
     found = docs.select(*row_key(), "text").mapInArrow(of, "_id long, _th long, grams binary")
     return found.join(wanted, ["_id", "_th"]).groupBy("set_id").agg(F.max("grams").alias("grams"))  # one row of repeated ones
@@ -256,7 +265,7 @@ def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, length: int
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for tree, _, lo, hi, members in zip(*(c.to_pylist() for c in batch.columns)):
+            for tree, _, lo, hi, members in _groups(batch):
                 members.sort(key=lambda m: m["set_id"])
                 sizes, weight = (np.array([m[k] for m in members]) for k in ("n", "documents"))
                 left, right, same = _sides(np.array([m["block"] for m in members]), lo, hi)
@@ -276,6 +285,7 @@ def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, length: int
             types = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)],
                                              names=["set_id", "root", "linked", "found", "unseen"])
+        give_back_memory()
 
     return packed.mapInArrow(verify, "set_id binary, root binary, linked long, found long, unseen array<double>")
 
