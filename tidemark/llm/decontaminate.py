@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
-from tidemark.llm.common import materialize, new_name, row_key, ship
-from tidemark.llm.words import gram_hashes, mix, word_hashes
+from tidemark.llm.common import give_back_memory, materialize, new_name, row_key, ship
+from tidemark.llm.words import forget_words, gram_hashes, mix, word_hashes
 
 SPAN = 13
 K = W = 7
@@ -130,6 +130,8 @@ def document_hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
                 hits.append(list(fingerprints(words, short, keep)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.int64()), _hit_lists(hits)],
                                              names=["doc_id", "_id", "_th", "n_words", "hits"])
+        forget_words()
+        give_back_memory()
 
     found = docs.select("doc_id", *row_key(), "text").mapInArrow(
         of, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _id long, _th long, n_words long, hits {_HIT_SQL}")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import bitmap
 from tidemark.llm.common import give_back_memory, materialize, new_name, release_shuffles, row_key, ship
 from tidemark.llm.components import components
-from tidemark.llm.words import mix, shingles
+from tidemark.llm.words import forget_words, mix, shingles
 
 THRESHOLD = 0.8
 TREES = 16
@@ -167,6 +167,7 @@ def document_sets(docs: DataFrame, lengths: list[int]) -> DataFrame:
                 [*batch.columns[:3], pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()),
                  *(pa.array([p[k] for p in prefixes], pa.list_(pa.int64())) for k in range(len(lengths)))],
                 names=["doc_id", "_id", "_th", "set_id", "n", *names])
+        forget_words()
         give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), "text").mapInArrow(
@@ -246,6 +247,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = batch.take(pa.array(maybe))
             grams = [shingles(t).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(grams, pa.binary())], names=["_id", "_th", "grams"])
+        forget_words()
         give_back_memory()
 
     found = docs.select(*row_key(), "text").mapInArrow(of, "_id long, _th long, grams binary")

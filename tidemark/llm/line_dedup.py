@@ -147,16 +147,16 @@ def copies(docs: DataFrame, rows: DataFrame, copy_share: float, linked: float) -
     keeps of them (the original's) and what the original keeps have a Jaccard similarity of ``linked`` or more. The original
     is no such document itself, so what it keeps is certain.
     """
-    keyed = docs.where("text IS NOT NULL").select(*document_key(), "text").dropDuplicates(["_did", "_th"])
+    keyed = docs.where("text IS NOT NULL").select(*document_key(), "text")
     lines = F.split("text", "\n")
     chars = F.aggregate("dropped", F.lit(0), lambda n, i: n + F.length(F.get(lines, i)))
     many = F.coalesce(chars >= copy_share * (F.length("text") - F.size(lines) + 1), F.lit(False))
-    suspects = materialize(keyed.join(rows, ["_did", "_th"]).where(many).select(
+    suspects = materialize(keyed.join(rows, ["_did", "_th"]).where(many).dropDuplicates(["_did", "_th"]).select(
         "_did", "_th", "original", shingle_hashes(without(F.col("text"), F.array_except("dropped", "shared"))).alias("grams")), "suspected-copies")
     release_shuffles(docs.sparkSession)  # of all texts
     none = F.array().cast("array<int>")
     originals = (keyed.join(suspects.select(F.col("original").alias("_did")).distinct(), "_did", "left_semi")
-                 .join(rows, ["_did", "_th"], "left").where(~many)
+                 .dropDuplicates(["_did", "_th"]).join(rows, ["_did", "_th"], "left").where(~many)
                  .select(F.col("_did").alias("original"), shingle_hashes(without(F.col("text"), F.coalesce("dropped", none))).alias("of")))
     originals = materialize(originals, "originals")
     release_shuffles(docs.sparkSession)

@@ -38,6 +38,11 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return _HASHES.of(words)
 
 
+def forget_words() -> None:
+    """Empty this worker's table of words, at the end of a task: later stages in the same worker have other uses for the memory."""
+    _HASHES.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over the whole word."""
     h = h ^ (h >> np.uint64(30))
