@@ -45,6 +45,17 @@ def test_hot_subscription_is_combined_before_it_is_bucketed(spark, tmp_path):
     assert (row["total_usage_count"], row["distinct_features_used"], row["active_days"]) == (n // 3, 5, 7)
 
 
+def test_buckets_grow_with_the_input(spark, tmp_path, monkeypatch):
+    """A task's share of the join stays the same: a fixed number of buckets would make it grow with the input."""
+    p = Pipeline.from_driver_tables(spark, SMALL, RunContext.pinned())
+    assert layout.buckets_for(p.bronze.feature_usage) == layout.MIN_BUCKETS
+    monkeypatch.setattr(layout, "BUCKET_BYTES", 1 << 12)
+    many = layout.buckets_for(p.bronze.feature_usage)
+    assert many > 2 * layout.MIN_BUCKETS
+    usage = catalog.queries()["bucketed_feature_usage"](spark, SMALL)
+    assert f"SelectedBucketsCount: {many} out of {many}" in usage._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bucketed_tables_are_sorted_and_complete(spark, tmp_path):
     p = Pipeline.from_driver_tables(spark, SMALL, RunContext.pinned())
     stored = layout.store_usage_layout(p, str(tmp_path), buckets=4, prefix="layout_test_")

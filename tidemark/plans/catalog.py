@@ -393,7 +393,7 @@ from tidemark.plans import layout as L  # noqa: E402
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return L.store_usage_layout(pipeline(spark, sf_dir), scratch_path(spark, "usage-layout"), buckets=8)
+    return L.store_usage_layout(pipeline(spark, sf_dir), scratch_path(spark, "usage-layout"))
 
 
 @register("bucketed_feature_usage", "SELECT * FROM i_usage")

@@ -21,21 +21,42 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.pipeline import Pipeline
 
-BUCKETS = 64
+BUCKET_BYTES, MIN_BUCKETS = 4 << 20, 8  # input file bytes a bucket; a join task holds about fifty times as much
+
+
+def buckets_for(df: DataFrame) -> int:
+    """Buckets that keep a task's share the same at any size: by the sizes of the files that ``df`` is computed from."""
+    spark, size = df.sparkSession, 0
+    for name in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        size += path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
     """One file a bucket, sorted by ``key``: the rows are shuffled into the buckets once."""
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
-     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    save_bucketed(df.repartition(buckets, key), table, path, key, buckets)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """``df``, whose partitions are the buckets already."""
+    df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def store_usage(placed: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Daily usage, repartitioned into ``buckets`` by subscription, as a bucketed table: readers join and group by subscription without shuffling it."""
+    table = f"usage_{uuid.uuid4().hex}"
+    save_bucketed(placed, table, path, "subscription_id", buckets)
+    return placed.sparkSession.table(table)
 
 
-def store_usage_layout(p: Pipeline, root: str, *, buckets: int = BUCKETS, prefix: str | None = None) -> Pipeline:
+def store_usage_layout(p: Pipeline, root: str, *, buckets: int | None = None, prefix: str | None = None) -> Pipeline:
     """Store the daily usage and the subscriptions of ``p`` under ``root``; returns a pipeline that reads them there.
 
-    The tables are named ``<prefix>usage_daily`` and ``<prefix>subscriptions`` in the current schema (by default a prefix of their own). Choose
-    ``buckets`` for the data, about its size / 200 MB: it fixes the number of tasks of the joins.
+    The tables are named ``<prefix>usage_daily`` and ``<prefix>subscriptions`` in the current schema (by default a prefix of their own).
+    ``buckets`` fixes the number of tasks of the joins; by default it grows with the input (:func:`buckets_for`).
     """
+    buckets = buckets or buckets_for(p.bronze.feature_usage)
     prefix = f"layout_{uuid.uuid4().hex}_" if prefix is None else prefix
     stored = Pipeline(p.spark, p.bronze, p.ctx, p.materialize_spine)
     for model, name in (("stg_feature_usage", "usage_daily"), ("stg_subscriptions", "subscriptions")):
