@@ -130,3 +130,22 @@ def test_empty_late_batch(spark):
     store.apply(frame(spark, THREE[2], STAMPS[2]), STAMPS[2])
     store.apply(frame(spark, {}, STAMPS[0]), STAMPS[0])
     assert rows_of(store.read()) == rows_of(H.open_versions(frame(spark, THREE[2], STAMPS[2]), STAMPS[2]))
+
+
+def test_a_batch_is_never_one_tasks_share(spark, monkeypatch):
+    """The log's numbers are broadcast: shuffled by merge, all rows of a batch would be sorted in one task."""
+    store, plans = store_of(spark), []
+    for k in (0, 2):
+        store.apply(frame(spark, THREE[k], STAMPS[k]), STAMPS[k])
+    append = store._append
+    monkeypatch.setattr(store, "_append", lambda df, *a: (plans.append(df), append(df, *a)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.apply(frame(spark, THREE[1], STAMPS[1]), STAMPS[1])
+        texts = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, store.read()]]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert any("BroadcastHashJoin" in t for t in texts)
+    assert not any("hashpartitioning(merge" in t for t in texts)
+    assert rows_of(store.read()) == want(THREE)

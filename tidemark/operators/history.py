@@ -253,7 +253,8 @@ class HistoryStore:
         return self.spark.read.format(self.fmt).schema(SCHEMAS[part]).load(f"{self.root}/{part}").filter(F.col("merge").isin(merges))
 
     def _numbers(self, log: list[LogEntry]) -> DataFrame:
-        return self.spark.createDataFrame([(e.merge, e.seq) for e in log], "merge string, seq long")
+        # Broadcast: shuffled by merge, each batch as a whole would be one task's.
+        return F.broadcast(self.spark.createDataFrame([(e.merge, e.seq) for e in log], "merge string, seq long"))
 
     def _closed(self, log: list[LogEntry]) -> DataFrame:
         """Closed versions, without those of keys that a later late batch rebuilt."""
