@@ -79,3 +79,26 @@ def test_rows_without_a_month(spark, tmp_path):
     tables = MonthlyTables(q, str(tmp_path))
     assert tables.refresh(dt.datetime(2001, 12, 2))["gold_support_performance"] == [None]
     assert rows(tables.read("gold_support_performance")) == rows(q.gold_support_performance)
+
+
+def test_usage_is_read_once_to_find_its_months(spark, tmp_path, monkeypatch):
+    """New usage and usage of new subscriptions are found by one reading; before, the inputs of the usage were joined for each."""
+    _, q = catalog.two_loads(spark, SMALL)
+    monkeypatch.setattr(MonthlyTables, "_at_once", lambda self, jobs: [plans.append(job.__self__) or [] for job in jobs])
+    plans = []
+    MonthlyTables(q, str(tmp_path)).touched(catalog.FIRST_LOAD)
+    text = plans[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plans) == 3 and text.count("l_orderkey#") and text.count("Relation [l_orderkey") == 1
+
+
+def test_adoption_shuffles_the_usage_once_for_its_join(spark):
+    """Daily rows go to the join as they are: one exchange by subscription, none for sums by month before it."""
+    _, q = catalog.two_loads(spark, SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q.gold_feature_adoption._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    below = plan[plan.index("SortMergeJoin"):]
+    assert below.count("Exchange hashpartitioning(subscription_id") == 3  # rollup, both sides of the join

@@ -241,33 +241,23 @@ def gold_feature_adoption(stg_feature_usage: DataFrame, stg_subscriptions: DataF
                           ctx: RunContext) -> DataFrame:
     """Reach, volume, duration and errors per feature x month x plan tier x beta flag.
 
-    Usage is daily per (subscription, feature); the report is monthly. The
-    daily rows are first summed per (subscription, feature, month, beta) --
-    map-side combined -- so the join with the subscriptions, and its shuffle,
-    see up to a month's worth fewer rows. Averages over the daily rows are
-    rebuilt exactly from sums and non-NULL counts, the way ``avg`` itself
-    accumulates them.
+    The daily rows meet the subscriptions as they are and are summed after
+    that, map-side first: daily rows of one month lie in as many partitions as
+    days, so summing them by month before the join would cost a shuffle of
+    all of them and spare none. Averages over the daily rows are taken from
+    sums and non-NULL counts, the way ``avg`` itself accumulates them.
     """
     c = F.col
-    monthly = stg_feature_usage.withColumn("usage_month", month_start(c("usage_date"))).groupBy(
-        "subscription_id", "feature_name", "usage_month", "is_beta_feature"
-    ).agg(
-        F.sum("total_usage_count").alias("_count"),
-        F.count("total_usage_count").alias("_count_rows"),
-        F.sum("total_usage_duration_secs").alias("_secs"),
-        F.count("total_usage_duration_secs").alias("_secs_rows"),
-        F.sum("total_error_count").alias("_errors"),
-    )
-    u = usage_with_account(monthly, stg_subscriptions, extra=["plan_tier"])
-    total = F.sum("_count")
+    u = usage_with_account(stg_feature_usage, stg_subscriptions, extra=["plan_tier"]).withColumn("usage_month", month_start(c("usage_date")))
+    total, secs, errors = F.sum("total_usage_count"), F.sum("total_usage_duration_secs"), F.sum("total_error_count")
     return u.groupBy("feature_name", "usage_month", "plan_tier", "is_beta_feature").agg(
         F.countDistinct("account_id").alias("active_accounts"),
         total.alias("total_usage_count"),
-        round2(safe_divide(total.cast("double"), F.sum("_count_rows"))).alias("avg_usage_per_account"),
-        round2(F.sum("_secs") / 3600.0).alias("total_usage_hours"),
-        round2(safe_divide(F.sum("_secs").cast("double"), F.sum("_secs_rows")) / 60.0).alias("avg_session_minutes"),
-        F.sum("_errors").alias("total_errors"),
-        pct(F.sum("_errors"), total).alias("error_rate_pct"),
+        round2(safe_divide(total.cast("double"), F.count("total_usage_count"))).alias("avg_usage_per_account"),
+        round2(secs / 3600.0).alias("total_usage_hours"),
+        round2(safe_divide(secs.cast("double"), F.count("total_usage_duration_secs")) / 60.0).alias("avg_session_minutes"),
+        errors.alias("total_errors"),
+        pct(errors, total).alias("error_rate_pct"),
     ).withColumn("updated_at", ctx.stamp())
 
 

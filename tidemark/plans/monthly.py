@@ -21,6 +21,8 @@ overwrite of a bronze table call :meth:`MonthlyTables.write_all`.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +70,12 @@ class MonthlyTables:
         return self.p.spark.read.schema(schema).parquet(self._path(table)).select(*schema.names)
 
     def write_all(self) -> None:
-        for table in MONTH:
-            self.p.model(table).write.mode("overwrite").partitionBy(MONTH[table]).parquet(self._path(table))
+        self._at_once([lambda w=self.p.model(t).write, t=t: w.mode("overwrite").partitionBy(MONTH[t]).parquet(self._path(t)) for t in MONTH])
+
+    def _at_once(self, jobs: list[Callable[[], object]]) -> list:
+        """Results of ``jobs``, run together: the tables are apart, and the last tasks of one leave no executor idle."""
+        with ThreadPoolExecutor(max_workers=len(MONTH)) as pool:
+            return [f.result() for f in [pool.submit(job) for job in jobs]]
 
     def touched(self, since: dt.datetime) -> dict[str, list[dt.datetime | None]]:
         """The months of each table that rows stamped after ``since`` touch."""
@@ -78,9 +84,10 @@ class MonthlyTables:
         subscriptions = p.stg_subscriptions
         fresh = subscriptions.filter(new)
         usage = p.bronze.feature_usage.filter(F.col("subscription_id").isNotNull())
-        usage_months = (usage.filter(new).select("usage_date")
-                        .union(usage.join(fresh.select("subscription_id"), "subscription_id", "left_semi").select("usage_date"))
-                        .select(month_start(F.col("usage_date")).alias("month")))
+        # The usage is read once, for both reasons; a repeated id repeats a month, and months are made distinct.
+        ids = fresh.select("subscription_id", F.lit(True).alias("_fresh"))
+        usage_months = (usage.select("subscription_id", "usage_date", new.alias("_new")).join(ids, "subscription_id", "left")
+                        .filter(F.col("_new") | F.col("_fresh").isNotNull()).select(month_start(F.col("usage_date")).alias("month")))
         accounts = p.stg_accounts.filter(new).select("account_id")
         moved = fresh.union(subscriptions.join(accounts, "account_id", "left_semi"))
         months = {
@@ -88,7 +95,8 @@ class MonthlyTables:
             "gold_feature_adoption": usage_months,
             "gold_support_performance": p.stg_support_tickets.filter(new).select(month_start(F.col("submitted_at")).alias("month")),
         }
-        return {t: sorted((r["month"] for r in df.distinct().collect()), key=lambda m: (m is None, m)) for t, df in months.items()}
+        found = self._at_once([df.distinct().collect for df in months.values()])
+        return {t: sorted((r["month"] for r in rows), key=lambda m: (m is None, m)) for t, rows in zip(months, found)}
 
     def _of_months(self, table: str, months: list[dt.datetime | None]) -> DataFrame:
         p = self.p
@@ -107,7 +115,5 @@ class MonthlyTables:
     def refresh(self, since: dt.datetime) -> dict[str, list[dt.datetime | None]]:
         """Recompute the months that rows stamped after ``since`` touch; returns them."""
         touched = self.touched(since)
-        for table, months in touched.items():
-            if months:
-                self._write(table, self._of_months(table, months))
+        self._at_once([lambda t=t, df=self._of_months(t, months): self._write(t, df) for t, months in touched.items() if months])
         return touched
