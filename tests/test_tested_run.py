@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.operators import quality as Q
+from tidemark.plans import catalog
 from tidemark.plans import tested_run as T
 from tidemark.plans.pipeline import GOLD_MODELS, INTERMEDIATE_MODELS, SILVER_MODELS, Pipeline
 
@@ -61,3 +62,17 @@ def test_empty_inputs(spark, tmp_path):
         p.bronze._frames[name] = p.bronze.table(name).filter(F.lit(False))
     got = report(T.tested_run(p, str(tmp_path)))
     assert len(got) == 48 and all(r[3] == 0 and r[4] == "pass" for r in got)
+
+
+def test_the_stored_usage_is_not_shuffled_again(spark, run):
+    """Its combinations are grouped inside the buckets in which it is stored."""
+    df = run[1].filter("test = 'unique_combination'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "hashpartitioning(subscription_id" not in plan
+
+
+def test_a_suite_computes_the_usage_once(spark):
+    """What several tested models read is stored, so the report's plan holds no scan of the raw usage."""
+    for kind in ("not_null", "unique"):
+        plan = catalog.queries()[f"dq_{kind}"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "/lineitem.parquet" not in plan

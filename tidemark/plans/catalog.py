@@ -165,7 +165,14 @@ from tidemark.operators import quality as Q  # noqa: E402
 def _suite(kinds):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The account spine carries 11 of the checks: it is stored once, when the first of them asks for it.
+        # The usage is stored for what reads it more than once: its rollup per account, the spine and the adoption report.
         p = Pipeline.from_driver_tables(spark, sf_dir, RunContext.pinned(), materialize_spine=True)
+        tested = {c.model for c in Q.SUITE if c.test in kinds}
+        if {"stg_feature_usage", "gold_feature_adoption"} <= tested:
+            buckets = L.buckets_for(p.bronze.feature_usage)
+            p.__dict__["stg_feature_usage"] = L.store_usage(p.stg_feature_usage.repartition(buckets, "subscription_id"), scratch_path(spark, "usage"), buckets)
+        if {"int_account_feature_usage", "int_account_360"} <= tested:
+            p.store("int_account_feature_usage")
         return Q.run_suite(p.model, kinds=kinds)
     return build
 

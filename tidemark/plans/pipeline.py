@@ -175,6 +175,12 @@ class Pipeline:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def store(self, name: str) -> None:
+        """Compute a model that several others read once: it is written to the shared folder and read from there."""
+        df, path = self.model(name), scratch_path(self.spark, name)
+        write_table(df, path)
+        self.__dict__[name] = self.spark.read.schema(df.schema).parquet(path)
+
     def models(self) -> dict[str, DataFrame]:
         return {n: self.model(n) for n in SILVER_MODELS + INTERMEDIATE_MODELS + GOLD_MODELS}
 

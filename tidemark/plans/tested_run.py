@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.core import union_all
 from tidemark.operators import quality as Q
+from tidemark.plans.layout import buckets_for, store_usage
 from tidemark.plans.pipeline import GOLD_MODELS, Pipeline, write_table
 
 # Models that later models read, so they are stored whole.
@@ -69,11 +70,18 @@ def tested_run(p: Pipeline, root: str, checks: Sequence[Q.Check] = Q.SUITE, para
                     if not (columns := tested_columns(model, checks)):
                         continue
                     df = df.select(*columns)
-                measured, observation = _observe(df, mine)
-                jobs.append((model, whole, df.schema, mine, observation, pool.submit(write_table, measured, f"{root}/{model}")))
+                if model == "stg_feature_usage":
+                    # Four readers join or group it by subscription: stored in buckets, none of them shuffles it. Observed after this shuffle.
+                    buckets = buckets_for(p.bronze.feature_usage)
+                    measured, observation = _observe(df.repartition(buckets, "subscription_id"), mine)
+                    job = pool.submit(store_usage, measured, f"{root}/{model}", buckets)
+                else:
+                    measured, observation = _observe(df, mine)
+                    job = pool.submit(write_table, measured, f"{root}/{model}")
+                jobs.append((model, whole, df.schema, mine, observation, job))
             for model, whole, schema, mine, observation, job in jobs:
-                job.result()
-                stored[model] = spark.read.schema(schema).parquet(f"{root}/{model}")
+                table = job.result()
+                stored[model] = spark.read.schema(schema).parquet(f"{root}/{model}") if table is None else table
                 if whole:
                     p.__dict__[model] = stored[model]
                 if observation is not None:
