@@ -171,3 +171,17 @@ def test_bitmap_has_no_false_negative(spark):
     found = bitmap.build(spark.createDataFrame([(int(k),) for k in keys], "h long"), "h", bits=12)
     assert bitmap.contains(found, keys.view(np.uint64), bits=12).all()
     assert not bitmap.contains(bitmap.build(spark.createDataFrame([], "h long"), "h"), keys.view(np.uint64)).any()
+
+
+def test_hot_node_joins_each_class_once(spark, monkeypatch):
+    text, joined, groups = prose(9, 120), [], J.candidate_groups
+
+    def counted(classes, tries, *rest):
+        found = groups(classes, tries, *rest)
+        joined.append((tries.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(J, "candidate_groups", counted)
+    J.link_documents(documents(spark, [edited(text, k % 3, k) for k in range(200)]).repartition(4), block=8)
+    assert all(rows < paths for paths, rows in joined)  # a row a block, not a row a class, in each of its 25 pairs of blocks
+    assert len(joined) > 0

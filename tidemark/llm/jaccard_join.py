@@ -13,7 +13,8 @@ Two texts are linked if their sets of five-word shingles have a Jaccard similari
 * A node of any size is cut into blocks of about ``BLOCK`` classes and each pair of blocks
   is a group of its own, so a hot node is spread over many tasks and no group grows with the data. A pair counts at the
   longest prefix and in the first tree in which it meets, and nowhere else. Pairs are never rows: a group's pairs live in
-  one matrix, and only the classes that have some pair in it go on. Link counts are exact, so a node of n classes costs n * n / BLOCK short rows.
+  one matrix, and only the classes that have some pair in it go on. Link counts are exact, so each block meets each other one, but as one
+  packed row: a node of n classes costs n rows in the joins and (n / BLOCK) ** 2 rows of blocks.
 * A group returns, for each class, how many documents it
   is linked to there, and a star of links for each cluster within the group, from which the components follow.
 
@@ -184,8 +185,9 @@ def sorted_tries(classes: DataFrame, lengths: list[int]) -> DataFrame:
 
 
 def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer: int | None, threshold: float, block: int) -> DataFrame:
-    """(tree, node, lo, hi, block, set_id) of the classes that have a pair to verify in that pair of blocks of a trie node.
+    """(tree, node, lo, hi, block, set_ids): the classes of a block that have a pair to verify in that pair of blocks of a trie node.
 
+    A class joins its values once a node; blocks travel to their pairs packed, as a row each.
     ``length``: of the node's prefix; ``longer``: the length before it, by which no pair counts again (None: there is none).
     """
     here, child = prefix_column(length), F.lit(None).cast("long") if longer is None else F.col(prefix_column(longer))
@@ -196,13 +198,14 @@ def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer:
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     members = (paths.join(crowded.where(F.col("size") > 1).where(several).select("tree", "node", "size"), ["tree", "node"])
-               .withColumn("blocks", blocks).withColumn("block", own)
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("tree", "node", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "set_id", "child"))
+               .withColumn("blocks", blocks).select("tree", "node", "blocks", own.alias("block"), "set_id", "child"))
     member = F.struct("set_id", "block", "n", *_prefixes(length, longer))
-    groups = (members.join(classes, "set_id")
-              .groupBy("tree", "node", "lo", "hi").agg(F.collect_list(member).alias("members"), F.min("child").alias("first"), F.max("child").alias("last"))
-              .where(F.size("members") > 1).where(several).drop("first", "last"))
+    packed = (members.join(classes, "set_id").groupBy("tree", "node", "blocks", "block")
+              .agg(F.collect_list(member).alias("members"), F.min("child").alias("first"), F.max("child").alias("last"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    groups = (packed.groupBy("tree", "node", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+              .agg(F.collect_list("members").alias("members"), F.min("first").alias("first"), F.max("last").alias("last"))
+              .where((F.size("members") > 1) | (F.size(F.col("members")[0]) > 1)).where(several).drop("first", "last"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,20 +213,27 @@ def candidate_groups(classes: DataFrame, tries: DataFrame, length: int, longer:
             for tree, node, lo, hi, members in _groups(batch):
                 left, right, same = _sides(np.array([m["block"] for m in members]), lo, hi)
                 pairs = meeting_pairs(tree, *_matrices(members, longer), np.array([m["n"] for m in members]), left, right, same, threshold)
-                for i in sorted({*left[pairs.any(axis=1)].tolist(), *right[pairs.any(axis=0)].tolist()}):
-                    rows.append((tree, node, lo, hi, members[i]["block"], members[i]["set_id"]))
-            types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                some = {*left[pairs.any(axis=1)].tolist(), *right[pairs.any(axis=0)].tolist()}
+                for b in {lo, hi} if some else ():
+                    rows.append((tree, node, lo, hi, b, [members[i]["set_id"] for i in sorted(some) if members[i]["block"] == b]))
+            types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.binary()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, types)],
-                                             names=["tree", "node", "lo", "hi", "block", "set_id"])
+                                             names=["tree", "node", "lo", "hi", "block", "set_ids"])
 
-    return groups.mapInArrow(meet, "tree int, node long, lo int, hi int, block int, set_id binary")
+    return groups.mapInArrow(meet, "tree int, node long, lo int, hi int, block int, set_ids array<binary>")
+
+
+def block_classes(groups: DataFrame) -> DataFrame:
+    """(tree, node, block, set_id) of the classes that have a pair to verify in some group of their block."""
+    return (groups.groupBy("tree", "node", "block").agg(F.array_distinct(F.flatten(F.collect_list("set_ids"))).alias("set_ids"))
+            .select("tree", "node", "block", F.explode("set_ids").alias("set_id")))
 
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """Rows of a batch; the members (last column) of one group at a time become Python objects."""
+    """Rows of a batch; the members (last column, a list a block) of one group at a time become Python objects, in one list."""
     *keys, members = batch.columns
     for i, key in enumerate(zip(*(c.to_pylist() for c in keys))):
-        yield *key, members[i].as_py()
+        yield *key, [m for packed in members[i] for m in packed.as_py()]
 
 
 def _prefixes(length: int, longer: int | None) -> list:
@@ -261,8 +271,11 @@ def verified(groups: DataFrame, classes: DataFrame, sets: DataFrame, length: int
     for each of ``lengths``.
     """
     member = F.struct("set_id", "block", "n", "documents", "grams", *_prefixes(length, longer))
-    packed = (groups.join(classes.join(sets, "set_id"), "set_id")
-              .groupBy("tree", "node", "lo", "hi").agg(F.collect_list(member).alias("members")))
+    blocks = (block_classes(groups).join(classes.join(sets, "set_id"), "set_id")
+              .groupBy("tree", "node", "block").agg(F.collect_list(member).alias("members")))
+    here = F.filter("members", lambda m: F.array_contains(F.col("set_ids"), m["set_id"]))
+    packed = (groups.join(blocks, ["tree", "node", "block"]).select("tree", "node", "lo", "hi", here.alias("members"))
+              .groupBy("tree", "node", "lo", "hi").agg(F.collect_list("members").alias("members")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,7 +311,7 @@ def climb(docs: DataFrame, classes: DataFrame, lengths: list[int], threshold: fl
     levels, longer = [], None
     for k, length in enumerate(lengths):
         groups = materialize(candidate_groups(classes, tries, length, longer, threshold, block), "candidate-groups")
-        wanted = groups.select("set_id").distinct().join(classes, "set_id").select("set_id", "first._id", "first._th")
+        wanted = block_classes(groups).select("set_id").distinct().join(classes, "set_id").select("set_id", "first._id", "first._th")
         links = materialize(verified(groups, classes, shingle_sets(docs, wanted), length, longer, lengths, threshold), "links")
         levels.append(links)
         found, unseen = reduce(DataFrame.unionAll, levels).agg(
