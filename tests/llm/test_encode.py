@@ -30,3 +30,14 @@ def test_whole_units_and_slices():
     texts = ["x" * n for n in (5, 1, 0, 30, 2, 2)]
     assert [texts[a:b] for a, b in slices(texts, 6)] == [texts[:2], texts[2:4], texts[4:]]
     assert list(slices([])) == []
+
+
+@pytest.mark.parametrize("name,units", CASES)
+def test_marks_that_end_a_word_are_no_units_of_their_own_with_it(name, units):
+    enc, spelled = UnitEncoder(public_tokenizers.path(name), units), []
+    encode = enc._encode_units
+    enc._encode_units = lambda new: spelled.extend(new) or encode(new)
+    texts = ["some word### word,$$$ word!\nword&&& word", "word;", "word  word-- don't!!"]
+    assert enc.encode(texts) == enc._whole(texts)
+    assert not any("word" in u and u.endswith(("#", "$", "!", "&", ";", "-")) for u in spelled)
+    assert len(spelled) == len(set(spelled))

@@ -2,10 +2,10 @@
 
 The ids of a text are exactly those of ``Tokenizer.encode``. For the two
 vocabularies whose pre-tokenizer never joins a non-space character to the
-white space after it, nor a letter to the full stops and commas that end a
+white space after it, nor a letter to the punctuation marks that end a
 word, a text falls apart into units that encode independently: words led by
 their white space (``space_led``) or bare words (``bare``). Each distinct unit
-is encoded once and looked up afterwards. Any other tokenizer (``whole``), and
+is encoded once and looked up afterwards, once for each slice of texts. Any other tokenizer (``whole``), and
 any text with the separators U+001C..U+001F (white space to Python, not to
 the tokenizer), is encoded whole.
 """
@@ -15,15 +15,19 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 FIRST = "\x1f"  # marks the first unit of a text, which has no white space before it
-ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
+ODD_SEPARATORS = "\x1c\x1d\x1e\x1f"
 UNEVEN_SPACE = re.compile(r"\s[ \n]")
 WORD_WITH_SPACE = re.compile(r"\s*\S+|\s+")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation that ends a word; an apostrophe may belong to its letters
 
 
 def space_led(text: str) -> list[str]:
@@ -48,9 +52,12 @@ def byte_characters() -> dict[int, int]:
 
 
 BYTE_CHARACTERS = byte_characters()
+BYTE_SPACE = chr(BYTE_CHARACTERS[ord(" ")])
 
 
 def byte_level(word: str) -> str:
+    if word.isalpha() and word.isascii():
+        return word
     return word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
 
 
@@ -65,7 +72,7 @@ def is_plain(word: str) -> bool:
 
 
 # How to split a text into units, what a unit stands for, and what a plain word is to the model.
-SPLIT = {"space_led": (space_led, spelled, lambda w: byte_level(" " + w)), "bare": (str.split, str, lower_byte_level),
+SPLIT = {"space_led": (space_led, spelled, lambda w: BYTE_SPACE + byte_level(w)), "bare": (str.split, str, lower_byte_level),
          "whole": (None, None, None)}
 
 
@@ -94,9 +101,10 @@ class UnitEncoder:
     def _encode_units(self, units: list[str]) -> list[bytes]:
         """The ids of each unit. Plain words go straight to the vocabulary's model; where another
         unit spells a special token, those others are encoded one by one."""
-        plain = [u for u in units if is_plain(u)]
-        if len(plain) < len(units):
-            rest = [u for u in units if not is_plain(u)]
+        plain, rest = [], []
+        for u in units:
+            (plain if is_plain(u) else rest).append(u)
+        if rest:
             known = dict(zip(rest, self._encode_spelled([self.spelled(u) for u in rest])))
         tokenize, words, ids, ends = self.model.tokenize, map(self.for_model, plain), [], [0]
         for w in words:
@@ -104,7 +112,7 @@ class UnitEncoder:
             ends.append(4 * len(ids))
         coded = np.asarray(ids, dtype="<u4").tobytes()
         out = [coded[a:b] for a, b in zip(ends, ends[1:])]
-        if len(plain) < len(units):
+        if rest:
             known.update(zip(plain, out))
             out = [known[u] for u in units]
         return out
@@ -123,7 +131,7 @@ class UnitEncoder:
         """Add the ids of new units to ``known``; returns what was added."""
         known, parts, need = self.known, [], set()
         for u in new:
-            stem = u.rstrip(".,") if u and u[-1] in ".," else u
+            stem = u.rstrip(MARKS) if u and u[-1] in MARKS else u
             if stem is not u and stem and is_plain(stem[-1]):
                 tail = self.tail(u[len(stem):])
                 parts.append((u, stem, tail))
@@ -137,20 +145,39 @@ class UnitEncoder:
         return need + [p[0] for p in parts]
 
     def tail(self, marks: str) -> str:
-        """Full stops and commas that end a word, as a unit."""
+        """Punctuation marks that end a word, as a unit."""
         return FIRST + marks if self.split is space_led else marks
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.split is None:
             return self._whole(texts)
-        split = [None if ODD_SEPARATORS.search(t) else self.split(t) if t else () for t in texts]
+        odd = {i for i, t in enumerate(texts) if any(c in t for c in ODD_SEPARATORS)}
+        even = [i for i, t in enumerate(texts) if t and i not in odd and self.split is space_led and not UNEVEN_SPACE.search(t)]
+        alone = set(even)
+        rest = [i for i, t in enumerate(texts) if t and i not in odd and i not in alone]
+        # What space_led() does to a text of single spaces, for all of them at once.
+        spaced = pc.split_pattern(pa.array([FIRST + texts[i].replace("\n", " \n") for i in even], pa.large_string()), " ")
+        split = [self.split(texts[i]) for i in rest]
+        # Each distinct unit of the slice is looked up once; its ids are then copied to where it occurs.
+        occurring = pa.concat_arrays([spaced.flatten(), pa.array(list(chain.from_iterable(split)), pa.large_string())]).dictionary_encode()
+        units, at = occurring.dictionary.to_numpy(zero_copy_only=False).tolist(), occurring.indices.to_numpy(zero_copy_only=False)
         known = self.known
-        added = self._learn([u for u in set().union(*(s for s in split if s)) if u not in known])
-        get = known.__getitem__
-        out = [b"" if s is None else b"".join(map(get, s)) for s in split]
-        whole = [i for i, s in enumerate(split) if s is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
-            out[i] = ids
+        coded = list(map(known.get, units))
+        new = [i for i, c in enumerate(coded) if c is None]
+        added = self._learn([units[i] for i in new])
+        for i in new:
+            coded[i] = known[units[i]]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        first, n = (np.cumsum(size) - size)[at], size[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(coded), dtype="<u4")[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[np.cumsum([0, *pc.list_value_length(spaced).to_pylist(), *map(len, split)])]).tolist()
+        out = [b""] * len(texts)
+        for i, a, b in zip(even + rest, cuts, cuts[1:]):
+            out[i] = ids[a:b]
+        whole = sorted(odd)
+        for i, coded in zip(whole, self._whole([texts[i] for i in whole])):
+            out[i] = coded
         if len(known) > self.limit:  # frequent units came early and stay; the rest are encoded again when met
             for u in added:
                 del known[u]
